@@ -163,8 +163,9 @@ SQL["completed_flights"] = B + "SELECT ROW_ID, ARRIVAL_DELAY, DISTANCE FROM flig
 SQL["quantile_filter"] = """SELECT event_id, value FROM events,
   (SELECT quantile_cont(value, 0.05) AS lo, quantile_cont(value, 0.95) AS hi FROM events) b
   WHERE value >= b.lo AND value <= b.hi"""
-SQL["quantile_bounds"] = f"""SELECT p, {R('quantile_cont(value, p)')} AS q FROM events,
-  (SELECT unnest([0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]::double[]) AS p) ps GROUP BY p"""
+SQL["quantile_bounds"] = f"""SELECT p, {R('q')} AS q FROM (
+  SELECT unnest([0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]::double[]) AS p,
+         unnest(quantile_cont(value, [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0])) AS q FROM events)"""
 SQL["sigma_filter"] = """SELECT event_id, value FROM events,
   (SELECT avg(value) AS m, stddev_samp(value) AS s FROM events) b
   WHERE value >= b.m - 3 * b.s AND value <= b.m + 3 * b.s"""
@@ -337,3 +338,84 @@ res AS (SELECT sm AS var_smoothing, avg(f1) AS cv_mean, stddev_pop(f1) AS cv_std
 SQL["nb_cv"] = _cv_sql([1e-5]) + f"SELECT var_smoothing, {R('cv_mean')} AS cv_mean, {R('cv_std')} AS cv_std, folds FROM res"
 SQL["nb_smoothing_search"] = _cv_sql(GRID) + f"""SELECT var_smoothing, {R('cv_mean')} AS cv_mean, {R('cv_std')} AS cv_std, folds,
   row_number() OVER (ORDER BY cv_mean DESC, var_smoothing ASC) AS rank FROM res"""
+
+
+# ------------------------------------------------ all features (one-hot) ---
+# The category domains of the test data are listed here because a dynamic PIVOT
+# cannot read a CTE; the Spark side discovers them from the data.
+ONE_HOT_DOMAINS = {
+    "AIRLINE": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+    "SEASON": ["autumn", "spring", "summer", "winter"],
+    "DISTANCE_CATEGORY": ["long", "medium", "short", "very_long"],
+    "SCHEDULED_DEPARTURE_PERIOD": ["afternoon", "midnight", "morning", "night"],
+    "SCHEDULED_ARRIVAL_PERIOD": ["afternoon", "midnight", "morning", "night"],
+}
+ALL_FEATURES = [
+    "DEPARTURE_DELAY", "TAXI_OUT", "WHEELS_OFF", "ORIGIN_AIRPORT_LATITUDE", "ORIGIN_AIRPORT_LONGITUDE",
+    "DESTINATION_AIRPORT_LATITUDE", "DESTINATION_AIRPORT_LONGITUDE", "DAY_OF_WEEK_SIN", "DAY_OF_WEEK_COS",
+    "DAY_OF_YEAR_SIN", "DAY_OF_YEAR_COS", "SCHEDULED_DEPARTURE_SIN", "SCHEDULED_DEPARTURE_COS",
+    "SCHEDULED_ARRIVAL_SIN", "SCHEDULED_ARRIVAL_COS", "IS_WEEKEND", "DISTANCE_NORMALIZED",
+    "SCHEDULED_TIME_NORMALIZED",
+] + [f"{c}_{v.upper()}" for c, vs in ONE_HOT_DOMAINS.items() for v in vs] + ["FLIGHT_NUMBER_FREQ"]
+
+
+def features_all_cte(name: str, src: str, fit: str) -> str:
+    """M16 with every produced column (one-hot included) for ``src``, fitted on ``fit``."""
+    sd, sa = minutes("s.SCHEDULED_DEPARTURE"), minutes("s.SCHEDULED_ARRIVAL")
+    season = ("CASE WHEN s.DAY_OF_YEAR < 80 OR s.DAY_OF_YEAR >= 355 THEN 'winter' WHEN s.DAY_OF_YEAR < 172 THEN 'spring' "
+              "WHEN s.DAY_OF_YEAR < 266 THEN 'summer' WHEN s.DAY_OF_YEAR < 355 THEN 'autumn' END")
+    dist = ("CASE WHEN s.DISTANCE > 0 AND s.DISTANCE <= 500 THEN 'short' WHEN s.DISTANCE > 500 AND s.DISTANCE <= 1000 "
+            "THEN 'medium' WHEN s.DISTANCE > 1000 AND s.DISTANCE <= 2000 THEN 'long' WHEN s.DISTANCE > 2000 THEN 'very_long' END")
+    cat_expr = {
+        "AIRLINE": "s.AIRLINE", "SEASON": season, "DISTANCE_CATEGORY": dist,
+        "SCHEDULED_DEPARTURE_PERIOD": period_sql("s.SCHEDULED_DEPARTURE"),
+        "SCHEDULED_ARRIVAL_PERIOD": period_sql("s.SCHEDULED_ARRIVAL"),
+    }
+    onehots = ",\n         ".join(
+        f"CASE WHEN ({cat_expr[c]}) = '{v}' THEN 1.0 ELSE 0.0 END AS {c}_{v.upper()}"
+        for c, vs in ONE_HOT_DOMAINS.items() for v in vs
+    )
+    return f"""
+{name}_st AS (SELECT avg(DISTANCE) AS d_mu, stddev_pop(DISTANCE) AS d_sd,
+                     avg(SCHEDULED_TIME) AS t_mu, stddev_pop(SCHEDULED_TIME) AS t_sd FROM {fit}),
+{name}_fq AS (SELECT FLIGHT_NUMBER, count(*) / (SELECT count(FLIGHT_NUMBER) FROM {fit}) AS FLIGHT_NUMBER_FREQ
+              FROM {fit} WHERE FLIGHT_NUMBER IS NOT NULL GROUP BY FLIGHT_NUMBER),
+{name}_all AS (
+  SELECT s.ROW_ID, s.ARRIVAL_DELAY, s.DEPARTURE_DELAY, s.TAXI_OUT, s.WHEELS_OFF,
+         s.ORIGIN_AIRPORT_LATITUDE, s.ORIGIN_AIRPORT_LONGITUDE,
+         s.DESTINATION_AIRPORT_LATITUDE, s.DESTINATION_AIRPORT_LONGITUDE,
+         sin(2 * pi() * s.DAY_OF_WEEK / 7) AS DAY_OF_WEEK_SIN, cos(2 * pi() * s.DAY_OF_WEEK / 7) AS DAY_OF_WEEK_COS,
+         sin(2 * pi() * s.DAY_OF_YEAR / 365) AS DAY_OF_YEAR_SIN, cos(2 * pi() * s.DAY_OF_YEAR / 365) AS DAY_OF_YEAR_COS,
+         sin(2 * pi() * {sd} / 1440) AS SCHEDULED_DEPARTURE_SIN, cos(2 * pi() * {sd} / 1440) AS SCHEDULED_DEPARTURE_COS,
+         sin(2 * pi() * {sa} / 1440) AS SCHEDULED_ARRIVAL_SIN, cos(2 * pi() * {sa} / 1440) AS SCHEDULED_ARRIVAL_COS,
+         CASE WHEN s.DAY_OF_WEEK IN (6, 7) THEN 1 ELSE 0 END AS IS_WEEKEND,
+         CASE WHEN st.d_sd = 0 THEN 0.0 ELSE (s.DISTANCE - st.d_mu) / st.d_sd END AS DISTANCE_NORMALIZED,
+         CASE WHEN st.t_sd = 0 THEN 0.0 ELSE (s.SCHEDULED_TIME - st.t_mu) / st.t_sd END AS SCHEDULED_TIME_NORMALIZED,
+         {onehots},
+         fq.FLIGHT_NUMBER_FREQ
+  FROM {src} s CROSS JOIN {name}_st st LEFT JOIN {name}_fq fq ON s.FLIGHT_NUMBER = fq.FLIGHT_NUMBER),
+{name} AS (SELECT * FROM {name}_all WHERE COLUMNS(*) IS NOT NULL)"""
+
+
+FEAT_ALL = with_ctes(FLIGHTS, AIRPORTS, CLEANED, LABELLED, features_all_cte("ftrain", "train_raw", "train_raw"),
+                     features_all_cte("ftest", "test_raw", "train_raw"))
+
+SQL["features_all_columns"] = FEAT_ALL + "SELECT ROW_ID, ARRIVAL_DELAY, " + ", ".join(
+    (R(c) if c != "IS_WEEKEND" else c) + f" AS {c}" for c in ALL_FEATURES) + " FROM ftrain"
+
+_CORR = ", ".join(
+    f"abs(CASE WHEN stddev_pop({c}) * stddev_pop(ARRIVAL_DELAY) = 0 THEN NULL "
+    f"ELSE covar_pop({c}, ARRIVAL_DELAY) / (stddev_pop({c}) * stddev_pop(ARRIVAL_DELAY)) END) AS {c}"
+    for c in ALL_FEATURES
+)
+CORR_CTE = f"""
+corr_wide AS (SELECT {_CORR} FROM ftrain),
+corr_long AS (UNPIVOT corr_wide ON COLUMNS(*) INTO NAME feature VALUE abs_corr),
+corr_all AS (SELECT f.feature, c.abs_corr FROM (SELECT unnest({ALL_FEATURES!r}) AS feature) f LEFT JOIN corr_long c USING (feature)),
+corr_ranked AS (SELECT feature, abs_corr, row_number() OVER (ORDER BY round(abs_corr, 9) DESC NULLS LAST, feature) AS rank FROM corr_all),
+corr_sel AS (SELECT *, CASE WHEN (SELECT count(*) FROM corr_ranked WHERE abs_corr > 0.6) > 0
+                            THEN coalesce(abs_corr > 0.6, false) ELSE rank <= 15 END::integer AS selected FROM corr_ranked)"""
+FEAT_CORR = FEAT_ALL.rstrip() + ",\n" + CORR_CTE.strip() + "\n"
+SQL["correlation_screen"] = FEAT_CORR + f"SELECT feature, {R('abs_corr')} AS abs_corr, rank, selected FROM corr_sel"
+SQL["column_profile"] = FEAT_ALL + "SELECT column_name, " + R("mn") + " AS min, " + R("mx") + " AS max FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, min({c})::double AS mn, max({c})::double AS mx FROM ftrain" for c in ALL_FEATURES) + ")"

@@ -397,3 +397,30 @@ def q_nb_search(spark, sf):
     folded, feat = _folded_train(spark, sf)
     res = bayes.smoothing_search(folded, feat, LABEL)
     return res.select("var_smoothing", r6("cv_mean").alias("cv_mean"), r6("cv_std").alias("cv_std"), "folds", "rank")
+
+
+# ---------------------------------------------------------------- selection ---
+
+def _all_features_train(spark, sf):
+    sfe = training.split_features(spark, sf, keep=None, one_hot=True)
+    return sfe.train, sfe.test, sfe.features
+
+
+@query("correlation_screen")
+def q_corr(spark, sf):
+    """A6 + T3 over every feature of the training split (threshold 0.6, else top 15)."""
+    from ..operators import select
+
+    train, _, cols = _all_features_train(spark, sf)
+    s = select.correlation_screen(train, cols, LABEL, 0.6, 15)
+    return s.select("feature", r6("abs_corr").alias("abs_corr"), "rank", "selected")
+
+
+@query("column_profile")
+def q_profile(spark, sf):
+    """A5: min/max of every feature column of the training split."""
+    from ..operators import select
+
+    train, _, cols = _all_features_train(spark, sf)
+    p = select.column_profile(train, cols)
+    return p.select("column_name", r6("min").alias("min"), r6("max").alias("max"))
