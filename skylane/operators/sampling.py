@@ -49,12 +49,16 @@ def class_counts(df: DataFrame, label: str) -> dict:
 
 
 def class_weights(df: DataFrame, label: str, out: str = "WEIGHT") -> DataFrame:
-    """M9: balanced weight n / (k * n_c) joined back as a column (k classes)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    k = counts.count()
-    n = df.count()
-    w = counts.select(label, (F.lit(float(n)) / (F.lit(float(k)) * F.col("_nc"))).alias(out))
-    return df.join(F.broadcast(w), [label])
+    """M9: balanced weight n / (k * n_c) for k classes, as a literal per-class column
+    (the class counts are one small aggregate)."""
+    counts = class_counts(df, label)
+    n, k = sum(counts.values()), len(counts)
+    expr = None
+    for c, nc in sorted(counts.items(), key=lambda kv: (kv[0] is None, kv[0])):
+        cond = F.col(label).isNull() if c is None else F.col(label) == F.lit(c)
+        w = F.lit(n / (k * nc))
+        expr = F.when(cond, w) if expr is None else expr.when(cond, w)
+    return df.withColumn(out, expr if expr is not None else F.lit(None).cast("double"))
 
 
 def random_oversample(df: DataFrame, label: str, seed: int = 42, ratio: float | None = None,

@@ -424,3 +424,45 @@ def q_profile(spark, sf):
     train, _, cols = _all_features_train(spark, sf)
     p = select.column_profile(train, cols)
     return p.select("column_name", r6("min").alias("min"), r6("max").alias("max"))
+
+
+# ------------------------------------------------------------------ trees ---
+
+def _tree_run(spark, sf):
+    from ..operators import trees
+
+    cache = getattr(spark, "_skylane_tree_cache", {})
+    if sf not in cache:
+        train, test, feat = _nb_inputs(spark, sf)
+        folded = sampling.kfold(train)
+        res, best = trees.tree_search(folded, feat, LABEL, n_candidates=5)
+        cache[sf] = (res, best, test, feat)
+        spark._skylane_tree_cache = cache
+    return cache[sf]
+
+
+@query("tree_search")
+def q_tree_search(spark, sf):
+    """Five sampled candidates x five folds, F1 of the delayed class."""
+    res, _, _, _ = _tree_run(spark, sf)
+    return res
+
+
+@query("tree_importance")
+def q_tree_importance(spark, sf):
+    """M14 + T1 + T2: importances of the best tree model, top 15."""
+    from ..operators import select, trees
+
+    _, best, _, feat = _tree_run(spark, sf)
+    return select.rank_by_importance(trees.feature_importance(best, feat, spark), top=15)
+
+
+@query("tree_metrics")
+def q_tree_metrics(spark, sf):
+    """M8 evaluated on the test split with the exact metrics."""
+    from ..operators import trees
+
+    _, best, test, feat = _tree_run(spark, sf)
+    scored = trees.tree_scores(best, test, feat)
+    rates = metrics.classification_metrics(scored, LABEL, "PREDICTION")
+    return metrics.tidy_metrics(rates, metrics.roc_auc(scored, LABEL, "PROBA"), "test")
