@@ -419,3 +419,44 @@ FEAT_CORR = FEAT_ALL.rstrip() + ",\n" + CORR_CTE.strip() + "\n"
 SQL["correlation_screen"] = FEAT_CORR + f"SELECT feature, {R('abs_corr')} AS abs_corr, rank, selected FROM corr_sel"
 SQL["column_profile"] = FEAT_ALL + "SELECT column_name, " + R("mn") + " AS min, " + R("mx") + " AS max FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, min({c})::double AS mn, max({c})::double AS mx FROM ftrain" for c in ALL_FEATURES) + ")"
+
+
+# ---------------------------------------------------- scoring and storage ---
+
+SQL["align_schema"] = FEAT_FIT + "SELECT ROW_ID, ARRIVAL_DELAY, " + ", ".join(
+    (R(c) if c != "FLIGHT_NUMBER_FREQ" else "0.0") + f" AS {c}" for c in KEEP) + " FROM test"
+SQL["model_roundtrip"] = SQL["nb_params"]
+SQL["score_batch"] = NB + f"SELECT ROW_ID, {R('PROBA')} AS PROBA, ARGMAX AS PREDICTION FROM s_test"
+SQL["roundtrip_tables"] = SQL["clean_flights"]
+_E2E_CV = _cv_sql([1e-5]).rstrip() + ",\n" + ",\n".join(
+    c.strip() for c in (nb_ctes("train"), scored_cte("s_test", "test"), scored_cte("s_train", "train"))) + "\n"
+SQL["train_end_to_end"] = _E2E_CV + (
+    "SELECT * FROM (" + metric_rows("s_train", "train", "ARGMAX") + ") UNION ALL SELECT * FROM ("
+    + metric_rows("(SELECT *, CASE WHEN PROBA >= 0.5 THEN 1 ELSE 0 END AS PRED FROM s_test)", "test", "PRED") + ")"
+    + f" UNION ALL SELECT 'cv', 'cv_mean', {R('cv_mean')} FROM res UNION ALL SELECT 'cv', 'cv_std', {R('cv_std')} FROM res"
+    + " UNION ALL SELECT 'params', 'var_smoothing', 1e-5 UNION ALL SELECT 'params', 'threshold', 0.5"
+)
+
+# -------------------------------------------------------------- resampling ---
+
+
+def _ros_sql(cols: list[str], ratio: float | None) -> str:
+    target = "n_maj" if ratio is None else f"cast(floor({ratio} * n_maj) as bigint)"
+    sel = ", ".join(f"{R(c)} AS {c}" for c in cols)
+    return FEAT_FIT.rstrip() + f""",
+cnt AS (SELECT ARRIVAL_DELAY AS y, count(*) AS n FROM train GROUP BY 1),
+roles AS (SELECT (SELECT y FROM cnt ORDER BY n, y LIMIT 1) AS ymin, (SELECT n FROM cnt ORDER BY n, y LIMIT 1) AS n_min,
+                 (SELECT n FROM cnt ORDER BY n DESC, y DESC LIMIT 1) AS n_maj),
+mins AS (SELECT t.*, row_number() OVER (ORDER BY md5('42|' || ROW_ID), ROW_ID) - 1 AS idx
+         FROM train t, roles WHERE t.ARRIVAL_DELAY = roles.ymin),
+draws AS (SELECT j, cast(('0x' || substr(md5('42|ros|' || cast(j as varchar)), 1, 8)) as bigint) % roles.n_min AS idx
+          FROM roles, (SELECT unnest(range((SELECT {target} - n_min FROM roles))) AS j)),
+allrows AS (SELECT ROW_ID, ARRIVAL_DELAY, {', '.join(cols)} FROM train
+            UNION ALL
+            SELECT md5(m.ROW_ID || '|ros|' || cast(d.j as varchar)), m.ARRIVAL_DELAY, {', '.join('m.' + c for c in cols)}
+            FROM draws d JOIN mins m USING (idx))
+SELECT ROW_ID, ARRIVAL_DELAY, {sel} FROM allrows"""
+
+
+SQL["random_oversample"] = _ros_sql(["DEPARTURE_DELAY", "DISTANCE_NORMALIZED"], None)
+SQL["random_oversample_ratio"] = _ros_sql(["DEPARTURE_DELAY"], 0.3)

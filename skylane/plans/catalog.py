@@ -466,3 +466,84 @@ def q_tree_metrics(spark, sf):
     scored = trees.tree_scores(best, test, feat)
     rates = metrics.classification_metrics(scored, LABEL, "PREDICTION")
     return metrics.tidy_metrics(rates, metrics.roc_auc(scored, LABEL, "PROBA"), "test")
+
+
+# ---------------------------------------------------- scoring and storage ---
+
+@query("align_schema")
+def q_align(spark, sf):
+    """A frame missing one trained feature and carrying an extra one."""
+    from .scoring import align_schema
+
+    _, test, feat = _nb_inputs(spark, sf)
+    odd = test.drop("FLIGHT_NUMBER_FREQ").withColumn("EXTRA", F.lit(1))
+    out = align_schema(odd, feat)
+    return out.select(ID, LABEL, *[r6(c).alias(c) for c in feat])
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    """Save the fitted parameters to the shared folder and load them back."""
+    from .scoring import shared_path
+
+    train, _, feat = _nb_inputs(spark, sf)
+    model = bayes.fit_gaussian_nb(train, feat, LABEL, 1e-5)
+    path = shared_path(spark, "model")
+    model.save(spark, path)
+    back = bayes.GaussianNB.load(spark, path)
+    p = back.params_frame(spark)
+    return p.select("label", "feature", r6("prior").alias("prior"), r6("theta").alias("theta"), r6("sigma").alias("sigma"))
+
+
+@query("score_batch")
+def q_score_batch(spark, sf):
+    """Stored model + stored feature fit applied to the raw test rows (argmax class)."""
+    from .scoring import score_batch
+
+    lab = training.cleaned_labelled(spark, sf)
+    s = sampling.stratified_split(lab, LABEL)
+    train_raw = s.where(F.col("IS_TEST") == 0).drop("IS_TEST")
+    test_raw = s.where(F.col("IS_TEST") == 1).drop("IS_TEST")
+    fitted = feats.fit_features(train_raw, one_hot=False)
+    model = bayes.fit_gaussian_nb(feats.whitelist(fitted.transform(train_raw)), feats.KEEP_FEATURES, LABEL, 1e-5)
+    out = score_batch(test_raw, model, fitted)
+    return out.select(ID, r6("PROBA").alias("PROBA"), "PREDICTION")
+
+
+@query("roundtrip_tables")
+def q_roundtrip(spark, sf):
+    """S5/S6 + S4: write the cleaned table as Parquet to the shared folder, read it back."""
+    from ..sources.tables import write_table
+    from .scoring import shared_path
+
+    path = shared_path(spark, "cleaned")
+    write_table(training.cleaned(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+@query("train_end_to_end")
+def q_e2e(spark, sf):
+    """Train, evaluate, cross-validate and save; the metric rows (time excluded)."""
+    from .scoring import train_and_save
+
+    _, report, _ = train_and_save(spark, sf)
+    return report.select("split", "metric", r6("value").alias("value"))
+
+
+# -------------------------------------------------------------- resampling ---
+
+@query("random_oversample")
+def q_ros(spark, sf):
+    """M12 on the training features: minority copies until the classes are equal."""
+    train, _, _ = _nb_inputs(spark, sf)
+    out = sampling.random_oversample(train.select(ID, LABEL, "DEPARTURE_DELAY", "DISTANCE_NORMALIZED"), LABEL)
+    return out.select(ID, LABEL, r6("DEPARTURE_DELAY").alias("DEPARTURE_DELAY"),
+                      r6("DISTANCE_NORMALIZED").alias("DISTANCE_NORMALIZED"))
+
+
+@query("random_oversample_ratio")
+def q_ros_ratio(spark, sf):
+    """M11 + M12: oversample the minority to 0.3 of the majority."""
+    train, _, _ = _nb_inputs(spark, sf)
+    out = sampling.random_oversample(train.select(ID, LABEL, "DEPARTURE_DELAY"), LABEL, ratio=0.3)
+    return out.select(ID, LABEL, r6("DEPARTURE_DELAY").alias("DEPARTURE_DELAY"))
