@@ -460,3 +460,59 @@ SELECT ROW_ID, ARRIVAL_DELAY, {sel} FROM allrows"""
 
 SQL["random_oversample"] = _ros_sql(["DEPARTURE_DELAY", "DISTANCE_NORMALIZED"], None)
 SQL["random_oversample_ratio"] = _ros_sql(["DEPARTURE_DELAY"], 0.3)
+
+
+# ------------------------------------------------------------ SMOTE k-NN ---
+_D2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in KEEP)
+SQL["smote_neighbors"] = FEAT_FIT.rstrip() + f""",
+mins AS (SELECT * FROM train WHERE ARRIVAL_DELAY = 1),
+pairs AS (SELECT a.ROW_ID, {_D2} AS d2, b.ROW_ID AS nid FROM mins a JOIN mins b ON a.ROW_ID <> b.ROW_ID),
+nn_ranked AS (SELECT ROW_ID, d2, row_number() OVER (PARTITION BY ROW_ID ORDER BY d2, nid) - 1 AS slot FROM pairs)
+SELECT ROW_ID, cast(slot as integer) AS slot, {R('d2')} AS d2 FROM nn_ranked WHERE slot < 5"""
+
+
+def _variant_sql(features: list[str], train: str = "ftrain", test: str = "ftest", name: str = "all_features") -> str:
+    mom = ", ".join(f"avg(t.{c}) AS t_{i}, var_pop(t.{c}) AS v_{i}" for i, c in enumerate(features))
+    overall = "greatest(" + ", ".join(f"var_pop(t.{c})" for c in features) + ")"
+    grid_list = ", ".join(repr(g) for g in GRID)
+
+    def j(alias, src="x", var_expr=lambda a, i: f"({a}.v_{i} + g.sm * {a}.mv)"):
+        const = f"ln({alias}.prior) - 0.5 * (" + " + ".join(f"ln(2 * pi() * {var_expr(alias, i)})" for i in range(len(features))) + ")"
+        quad = " + ".join(f"({src}.{c} - {alias}.t_{i}) * ({src}.{c} - {alias}.t_{i}) / {var_expr(alias, i)}" for i, c in enumerate(features))
+        return f"(({const}) - 0.5 * ({quad}))"
+
+    return FEAT_ALL.rstrip() + f""",
+folded AS (SELECT *, (row_number() OVER (ORDER BY md5('42|fold|' || ROW_ID), ROW_ID) - 1) % 5 AS FOLD FROM {train}),
+folds AS (SELECT DISTINCT FOLD AS f FROM folded),
+fm AS (SELECT fo.f, t.ARRIVAL_DELAY AS label, count(*) AS n, {mom} FROM folds fo JOIN folded t ON t.FOLD <> fo.f GROUP BY fo.f, t.ARRIVAL_DELAY),
+fg AS (SELECT fo.f, {overall} AS mv, count(*) AS n_all FROM folds fo JOIN folded t ON t.FOLD <> fo.f GROUP BY fo.f),
+fp AS (SELECT fm.*, fm.n::double / fg.n_all AS prior, fg.mv FROM fm JOIN fg USING (f)),
+grid AS (SELECT unnest([{grid_list}]::double[]) AS sm),
+preds AS (SELECT g.sm, x.FOLD, x.ARRIVAL_DELAY AS y, CASE WHEN {j('p1')} > {j('p0')} THEN 1 ELSE 0 END AS p
+          FROM folded x CROSS JOIN grid g
+          JOIN fp p0 ON p0.f = x.FOLD AND p0.label = 0 JOIN fp p1 ON p1.f = x.FOLD AND p1.label = 1),
+f1s AS (SELECT sm, FOLD, coalesce(2.0 * count(*) FILTER (WHERE y = 1 AND p = 1) /
+               nullif(2 * count(*) FILTER (WHERE y = 1 AND p = 1) + count(*) FILTER (WHERE y = 0 AND p = 1)
+                      + count(*) FILTER (WHERE y = 1 AND p = 0), 0), 0) AS f1 FROM preds GROUP BY sm, FOLD),
+res AS (SELECT sm AS var_smoothing, avg(f1) AS cv_mean FROM f1s GROUP BY sm),
+best AS (SELECT * FROM res ORDER BY cv_mean DESC, var_smoothing ASC LIMIT 1),
+bm AS (SELECT t.ARRIVAL_DELAY AS label, count(*) AS n, {mom} FROM {train} t GROUP BY 1),
+bg AS (SELECT {overall} AS mv, count(*) AS n_all FROM {train} t),
+bp AS (SELECT bm.*, bm.n::double / bg.n_all AS prior, bg.mv, best.var_smoothing AS sm FROM bm, bg, best),
+sc AS (SELECT x.ARRIVAL_DELAY AS y, {j('q0', var_expr=lambda a, i: f"({a}.v_{i} + {a}.sm * {a}.mv)")} AS j0,
+              {j('q1', var_expr=lambda a, i: f"({a}.v_{i} + {a}.sm * {a}.mv)")} AS j1
+       FROM {test} x, (SELECT * FROM bp WHERE label = 0) q0, (SELECT * FROM bp WHERE label = 1) q1),
+scp AS (SELECT y, CASE WHEN j0 - j1 > 0 THEN exp(-(j0 - j1)) / (1 + exp(-(j0 - j1))) ELSE 1 / (1 + exp(j0 - j1)) END AS PROBA FROM sc),
+sct AS (SELECT y AS ARRIVAL_DELAY, PROBA, CASE WHEN PROBA >= 0.5 THEN 1 ELSE 0 END AS PRED FROM scp),
+cc AS ({confusion("sct", "PRED")})
+SELECT '{name}' AS variant, (SELECT var_smoothing FROM best) AS var_smoothing, {R('(SELECT cv_mean FROM best)')} AS cv_f1,
+       {len(features)} AS n_features,
+       {R('coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0)')} AS f1,
+       {R('coalesce(tp::double / nullif(tp + fn, 0), 0)')} AS recall,
+       {R('coalesce(tp::double / nullif(tp + fp, 0), 0)')} AS precision,
+       {R('coalesce((tp + tn)::double / nullif(tp + tn + fp + fn, 0), 0)')} AS accuracy,
+       {R(auc_window('sct'))} AS roc_auc
+FROM cc"""
+
+
+SQL["variant_all_features"] = _variant_sql(ALL_FEATURES)

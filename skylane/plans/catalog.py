@@ -547,3 +547,82 @@ def q_ros_ratio(spark, sf):
     train, _, _ = _nb_inputs(spark, sf)
     out = sampling.random_oversample(train.select(ID, LABEL, "DEPARTURE_DELAY"), LABEL, ratio=0.3)
     return out.select(ID, LABEL, r6("DEPARTURE_DELAY").alias("DEPARTURE_DELAY"))
+
+
+@query("smote_neighbors")
+def q_smote_nn(spark, sf):
+    """M10 core: exact 5-NN distances of every minority training row (slot order)."""
+    from ..operators import smote
+
+    train, _, feat = _nb_inputs(spark, sf)
+    mins = train.where(F.col(LABEL) == 1)
+    w = smote.principal_direction(mins, feat)
+    t = None
+    for wi, c in zip(w.tolist(), feat):
+        term = F.lit(float(wi)) * F.col(c)
+        t = term if t is None else t + term
+    v = mins.withColumn("vec", F.array(*[F.col(c) for c in feat])).withColumn("t", t)
+    v = v.withColumn("key", F.md5(F.to_json("vec")))
+    distinct = v.groupBy("key").agg(F.first("vec").alias("vec"), F.first("t").alias("t"), F.count(F.lit(1)).alias("mult"))
+    nn = smote.knn_table(distinct, 5)
+    out = v.select(ID, "key", "vec").join(nn, "key")
+    d2 = F.aggregate(F.zip_with("vec", "nvec", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
+    return out.select(ID, "slot", r6(d2).alias("d2"))
+
+
+@query("smote_balanced")
+def q_smote(spark, sf):
+    """SMOTE to a 1:1 class balance on the 15 training features."""
+    from ..operators import smote
+
+    train, _, feat = _nb_inputs(spark, sf)
+    out = smote.smote(train, feat, LABEL)
+    return out.select(ID, LABEL, *[r6(c).alias(c) for c in feat])
+
+
+@query("smote_ratio")
+def q_smote_ratio(spark, sf):
+    """M10 + M11: SMOTE until the minority is 0.3 of the majority."""
+    from ..operators import smote
+
+    train, _, feat = _nb_inputs(spark, sf)
+    out = smote.smote(train, feat, LABEL, ratio=0.3)
+    return out.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"))
+
+
+# -------------------------------------------------------------- comparison ---
+
+@query("variant_all_features")
+def q_variant_all(spark, sf):
+    """M15 variant 1: smoothing search over every feature, refit, test metrics."""
+    from .compare import _variant_inputs, nb_search_and_evaluate
+
+    train, test, cols = _variant_inputs(spark, sf)
+    r = nb_search_and_evaluate("all_features", train, test, cols)
+    return r.select("variant", "var_smoothing", r6("cv_f1").alias("cv_f1"), "n_features", r6("f1").alias("f1"),
+                    r6("recall").alias("recall"), r6("precision").alias("precision"),
+                    r6("accuracy").alias("accuracy"), r6("roc_auc").alias("roc_auc"))
+
+
+@query("compare_variants")
+def q_compare(spark, sf):
+    """M15 + T4: all six variants ranked by test F1 (timings excluded from the check)."""
+    from .compare import compare_variants
+
+    rep = compare_variants(spark, sf)
+    cache = getattr(spark, "_skylane_compare", {})
+    cache[sf] = rep.persist()
+    spark._skylane_compare = cache
+    return rep.drop("training_time")
+
+
+@query("best_by_metric")
+def q_best(spark, sf):
+    """A17 + T5: best variant by test F1 and by AUC."""
+    from .compare import best_by, compare_variants
+
+    cache = getattr(spark, "_skylane_compare", {})
+    rep = cache.get(sf) or compare_variants(spark, sf)
+    a = best_by(rep, "f1").withColumn("metric", F.lit("f1")).withColumnRenamed("best_f1", "value")
+    b = best_by(rep, "roc_auc").withColumn("metric", F.lit("roc_auc")).withColumnRenamed("best_roc_auc", "value")
+    return a.unionByName(b)
