@@ -61,5 +61,16 @@ def compare(spark_df, sql: str, sf_dir: str, con=None, digits: int = 6) -> dict:
     if not out["values_match"]:
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
         out["first_diffs"] = diff
-    out["ok"] = out["cols_match"] and out["values_match"] and len(s_rows) == len(d_rows)
+    s_types = {f.name: f.dataType.simpleString() for f in spark_df.schema.fields}
+    d_types = {d[0]: str(d[1]).upper() for d in res.description}
+    mism = {c: (s_types[c], d_types.get(c)) for c in s_types
+            if c in d_types and TYPE_MAP.get(s_types[c], s_types[c].upper()) != d_types[c]}
+    out["types_match"] = not mism
+    if mism:
+        out["type_diffs"] = mism
+    out["ok"] = out["cols_match"] and out["values_match"] and len(s_rows) == len(d_rows) and out["types_match"]
     return out
+
+
+TYPE_MAP = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "float": "FLOAT",
+            "boolean": "BOOLEAN", "tinyint": "TINYINT", "smallint": "SMALLINT"}

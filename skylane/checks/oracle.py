@@ -58,8 +58,8 @@ def features_cte(name: str, src: str, fit: str) -> str:
          sin(2 * pi() * {minutes('s.SCHEDULED_DEPARTURE')} / 1440) AS SCHEDULED_DEPARTURE_SIN,
          sin(2 * pi() * {minutes('s.SCHEDULED_ARRIVAL')} / 1440) AS SCHEDULED_ARRIVAL_SIN,
          cos(2 * pi() * {minutes('s.SCHEDULED_ARRIVAL')} / 1440) AS SCHEDULED_ARRIVAL_COS,
-         CASE WHEN st.d_sd = 0 THEN 0.0 ELSE (s.DISTANCE - st.d_mu) / st.d_sd END AS DISTANCE_NORMALIZED,
-         CASE WHEN st.t_sd = 0 THEN 0.0 ELSE (s.SCHEDULED_TIME - st.t_mu) / st.t_sd END AS SCHEDULED_TIME_NORMALIZED,
+         CASE WHEN st.d_sd = 0 THEN 0.0::double ELSE (s.DISTANCE - st.d_mu) / st.d_sd END AS DISTANCE_NORMALIZED,
+         CASE WHEN st.t_sd = 0 THEN 0.0::double ELSE (s.SCHEDULED_TIME - st.t_mu) / st.t_sd END AS SCHEDULED_TIME_NORMALIZED,
          fq.FLIGHT_NUMBER_FREQ,
          s.DAY_OF_WEEK, s.AIRLINE
   FROM {src} s CROSS JOIN {name}_st st LEFT JOIN {name}_fq fq ON s.FLIGHT_NUMBER = fq.FLIGHT_NUMBER),
@@ -152,7 +152,7 @@ SQL["drop_static_columns"] = B + f"SELECT {STATIC_COLS} FROM flights"
 SQL["drop_sparse_columns"] = B + ("SELECT * EXCLUDE (CANCELLATION_REASON, AIR_SYSTEM_DELAY, SECURITY_DELAY, AIRLINE_DELAY, "
                                   "LATE_AIRCRAFT_DELAY, WEATHER_DELAY) FROM flights")
 SQL["null_share"] = B + f"""SELECT column_name, {R('null_share')} AS null_share FROM (
-  UNPIVOT (SELECT {', '.join(f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS {c}" for c in
+  UNPIVOT (SELECT {', '.join(f"avg(CASE WHEN {c} IS NULL THEN 1.0::double ELSE 0.0::double END) AS {c}" for c in
    ['ROW_ID', 'YEAR', 'MONTH', 'DAY', 'DAY_OF_WEEK', 'AIRLINE', 'FLIGHT_NUMBER', 'TAIL_NUMBER', 'ORIGIN_AIRPORT',
     'DESTINATION_AIRPORT', 'SCHEDULED_DEPARTURE', 'SCHEDULED_ARRIVAL', 'SCHEDULED_TIME', 'DISTANCE',
     'DEPARTURE_DELAY', 'TAXI_OUT', 'WHEELS_OFF', 'ARRIVAL_DELAY', 'CANCELLED', 'DIVERTED', 'CANCELLATION_REASON',
@@ -217,17 +217,17 @@ SQL["distance_bins"] = B + """SELECT ROW_ID, CASE WHEN DISTANCE > 0 AND DISTANCE
   WHEN DISTANCE > 500 AND DISTANCE <= 1000 THEN 'medium' WHEN DISTANCE > 1000 AND DISTANCE <= 2000 THEN 'long'
   WHEN DISTANCE > 2000 THEN 'very_long' END AS DISTANCE_CATEGORY FROM flights"""
 SQL["standardise"] = f"""SELECT l_orderkey, l_linenumber,
-  {R('CASE WHEN s.sd = 0 THEN 0.0 ELSE (l_extendedprice - s.mu) / s.sd END')} AS PRICE_NORMALIZED
+  {R('CASE WHEN s.sd = 0 THEN 0.0::double ELSE (l_extendedprice - s.mu) / s.sd END')} AS PRICE_NORMALIZED
 FROM lineitem, (SELECT avg(l_extendedprice) AS mu, stddev_pop(l_extendedprice) AS sd FROM lineitem) s"""
 SQL["min_max"] = f"""SELECT l_orderkey, l_linenumber,
-  {R('CASE WHEN s.hi = s.lo THEN 0.0 ELSE (l_extendedprice - s.lo) / (s.hi - s.lo) END')} AS PRICE_NORMALIZED
+  {R('CASE WHEN s.hi = s.lo THEN 0.0::double ELSE (l_extendedprice - s.lo) / (s.hi - s.lo) END')} AS PRICE_NORMALIZED
 FROM lineitem, (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem) s"""
 SQL["one_hot"] = """SELECT o_orderkey AS O_ORDERKEY,
-  CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0 ELSE 0.0 END AS "O_ORDERPRIORITY_1-URGENT",
-  CASE WHEN o_orderpriority = '2-HIGH' THEN 1.0 ELSE 0.0 END AS "O_ORDERPRIORITY_2-HIGH",
-  CASE WHEN o_orderpriority = '3-MEDIUM' THEN 1.0 ELSE 0.0 END AS "O_ORDERPRIORITY_3-MEDIUM",
-  CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 1.0 ELSE 0.0 END AS "O_ORDERPRIORITY_4-NOT SPECIFIED",
-  CASE WHEN o_orderpriority = '5-LOW' THEN 1.0 ELSE 0.0 END AS "O_ORDERPRIORITY_5-LOW"
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0::double ELSE 0.0::double END AS "O_ORDERPRIORITY_1-URGENT",
+  CASE WHEN o_orderpriority = '2-HIGH' THEN 1.0::double ELSE 0.0::double END AS "O_ORDERPRIORITY_2-HIGH",
+  CASE WHEN o_orderpriority = '3-MEDIUM' THEN 1.0::double ELSE 0.0::double END AS "O_ORDERPRIORITY_3-MEDIUM",
+  CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 1.0::double ELSE 0.0::double END AS "O_ORDERPRIORITY_4-NOT SPECIFIED",
+  CASE WHEN o_orderpriority = '5-LOW' THEN 1.0::double ELSE 0.0::double END AS "O_ORDERPRIORITY_5-LOW"
 FROM orders"""
 SQL["frequency"] = f"""SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, {R('f.fr')} AS L_PARTKEY_FREQ
 FROM lineitem l LEFT JOIN (SELECT l_partkey, count(*) / (SELECT count(l_partkey) FROM lineitem) AS fr
@@ -337,7 +337,7 @@ res AS (SELECT sm AS var_smoothing, avg(f1) AS cv_mean, stddev_pop(f1) AS cv_std
 
 SQL["nb_cv"] = _cv_sql([1e-5]) + f"SELECT var_smoothing, {R('cv_mean')} AS cv_mean, {R('cv_std')} AS cv_std, folds FROM res"
 SQL["nb_smoothing_search"] = _cv_sql(GRID) + f"""SELECT var_smoothing, {R('cv_mean')} AS cv_mean, {R('cv_std')} AS cv_std, folds,
-  row_number() OVER (ORDER BY cv_mean DESC, var_smoothing ASC) AS rank FROM res"""
+  cast(row_number() OVER (ORDER BY cv_mean DESC, var_smoothing ASC) as integer) AS rank FROM res"""
 
 
 # ------------------------------------------------ all features (one-hot) ---
@@ -372,7 +372,7 @@ def features_all_cte(name: str, src: str, fit: str) -> str:
         "SCHEDULED_ARRIVAL_PERIOD": period_sql("s.SCHEDULED_ARRIVAL"),
     }
     onehots = ",\n         ".join(
-        f"CASE WHEN ({cat_expr[c]}) = '{v}' THEN 1.0 ELSE 0.0 END AS {c}_{v.upper()}"
+        f"CASE WHEN ({cat_expr[c]}) = '{v}' THEN 1.0::double ELSE 0.0::double END AS {c}_{v.upper()}"
         for c, vs in ONE_HOT_DOMAINS.items() for v in vs
     )
     return f"""
@@ -389,8 +389,8 @@ def features_all_cte(name: str, src: str, fit: str) -> str:
          sin(2 * pi() * {sd} / 1440) AS SCHEDULED_DEPARTURE_SIN, cos(2 * pi() * {sd} / 1440) AS SCHEDULED_DEPARTURE_COS,
          sin(2 * pi() * {sa} / 1440) AS SCHEDULED_ARRIVAL_SIN, cos(2 * pi() * {sa} / 1440) AS SCHEDULED_ARRIVAL_COS,
          CASE WHEN s.DAY_OF_WEEK IN (6, 7) THEN 1 ELSE 0 END AS IS_WEEKEND,
-         CASE WHEN st.d_sd = 0 THEN 0.0 ELSE (s.DISTANCE - st.d_mu) / st.d_sd END AS DISTANCE_NORMALIZED,
-         CASE WHEN st.t_sd = 0 THEN 0.0 ELSE (s.SCHEDULED_TIME - st.t_mu) / st.t_sd END AS SCHEDULED_TIME_NORMALIZED,
+         CASE WHEN st.d_sd = 0 THEN 0.0::double ELSE (s.DISTANCE - st.d_mu) / st.d_sd END AS DISTANCE_NORMALIZED,
+         CASE WHEN st.t_sd = 0 THEN 0.0::double ELSE (s.SCHEDULED_TIME - st.t_mu) / st.t_sd END AS SCHEDULED_TIME_NORMALIZED,
          {onehots},
          fq.FLIGHT_NUMBER_FREQ
   FROM {src} s CROSS JOIN {name}_st st LEFT JOIN {name}_fq fq ON s.FLIGHT_NUMBER = fq.FLIGHT_NUMBER),
@@ -412,7 +412,7 @@ CORR_CTE = f"""
 corr_wide AS (SELECT {_CORR} FROM ftrain),
 corr_long AS (UNPIVOT corr_wide ON COLUMNS(*) INTO NAME feature VALUE abs_corr),
 corr_all AS (SELECT f.feature, c.abs_corr FROM (SELECT unnest({ALL_FEATURES!r}) AS feature) f LEFT JOIN corr_long c USING (feature)),
-corr_ranked AS (SELECT feature, abs_corr, row_number() OVER (ORDER BY round(abs_corr, 9) DESC NULLS LAST, feature) AS rank FROM corr_all),
+corr_ranked AS (SELECT feature, abs_corr, cast(row_number() OVER (ORDER BY round(abs_corr, 9) DESC NULLS LAST, feature) as integer) AS rank FROM corr_all),
 corr_sel AS (SELECT *, CASE WHEN (SELECT count(*) FROM corr_ranked WHERE abs_corr > 0.6) > 0
                             THEN coalesce(abs_corr > 0.6, false) ELSE rank <= 15 END::integer AS selected FROM corr_ranked)"""
 FEAT_CORR = FEAT_ALL.rstrip() + ",\n" + CORR_CTE.strip() + "\n"
@@ -424,7 +424,7 @@ SQL["column_profile"] = FEAT_ALL + "SELECT column_name, " + R("mn") + " AS min,
 # ---------------------------------------------------- scoring and storage ---
 
 SQL["align_schema"] = FEAT_FIT + "SELECT ROW_ID, ARRIVAL_DELAY, " + ", ".join(
-    (R(c) if c != "FLIGHT_NUMBER_FREQ" else "0.0") + f" AS {c}" for c in KEEP) + " FROM test"
+    (R(c) if c != "FLIGHT_NUMBER_FREQ" else "0.0::double") + f" AS {c}" for c in KEEP) + " FROM test"
 SQL["model_roundtrip"] = SQL["nb_params"]
 SQL["score_batch"] = NB + f"SELECT ROW_ID, {R('PROBA')} AS PROBA, ARGMAX AS PREDICTION FROM s_test"
 SQL["roundtrip_tables"] = SQL["clean_flights"]

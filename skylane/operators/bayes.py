@@ -165,8 +165,12 @@ def nb_params_frame(df: DataFrame, features: Sequence[str], label: str,
 
 # ------------------------------------------------------------ CV / search ---
 
-def _fold_param_table(spark: SparkSession, fm: dict, features, k: int, classes) -> DataFrame:
-    """Per fold: training moments = merge of the other folds (k rows, broadcast)."""
+def _fold_param_table(spark: SparkSession, fm: dict, features, k: int, classes, smoothings) -> DataFrame:
+    """Per fold: training moments = merge of the other folds (k rows, broadcast).
+
+    For every (class, smoothing) the row carries the jll constant and the inverse
+    smoothed variances, so scoring needs no ``log`` per row.
+    """
     rows = []
     nf = len(features)
     for f in range(k):
@@ -180,26 +184,33 @@ def _fold_param_table(spark: SparkSession, fm: dict, features, k: int, classes)
         total = Moments(0, [0.0] * nf, [0.0] * nf)
         for c in classes:
             total = total.merge(per_class[c])
-        row = [f, float(max(total.var))]
+        maxvar = float(max(total.var))
+        row = [f]
         for c in classes:
             pc = per_class[c]
-            row.append(math.log(pc.n / total.n) if pc.n else -math.inf)
-            row += [float(x) for x in pc.mean] + [float(x) for x in pc.var]
+            row += [float(x) for x in pc.mean]
+            for s in smoothings:
+                var = [v + s * maxvar for v in pc.var]
+                lp = math.log(pc.n / total.n) if pc.n else -math.inf
+                row.append(lp - 0.5 * sum(LOG_2PI + math.log(v) for v in var))
+                row += [1.0 / v for v in var]
         rows.append(tuple(row))
-    cols = ["FOLD int", "_maxvar double"]
+    cols = ["FOLD int"]
     for ci in range(len(classes)):
-        cols.append(f"_lp{ci} double")
-        cols += [f"_t{ci}_{j} double" for j in range(nf)] + [f"_s{ci}_{j} double" for j in range(nf)]
+        cols += [f"_t{ci}_{j} double" for j in range(nf)]
+        for si in range(len(smoothings)):
+            cols.append(f"_c{ci}_{si} double")
+            cols += [f"_iv{ci}_{si}_{j} double" for j in range(nf)]
     return spark.createDataFrame(rows, ", ".join(cols))
 
 
-def _jll_expr(features, ci: int, smoothing: float) -> Column:
-    acc = F.col(f"_lp{ci}")
+def _jll_expr(features, ci: int, si: int) -> Column:
+    quad = None
     for j, c in enumerate(features):
-        var = F.col(f"_s{ci}_{j}") + F.lit(smoothing) * F.col("_maxvar")
         d = F.col(c) - F.col(f"_t{ci}_{j}")
-        acc = acc - F.lit(0.5) * (F.lit(LOG_2PI) + F.log(var)) - F.lit(0.5) * d * d / var
-    return acc
+        term = d * d * F.col(f"_iv{ci}_{si}_{j}")
+        quad = term if quad is None else quad + term
+    return F.col(f"_c{ci}_{si}") - F.lit(0.5) * quad
 
 
 def cv_fold_counts(folded: DataFrame, features: Sequence[str], label: str, smoothings: Sequence[float],
@@ -209,23 +220,26 @@ def cv_fold_counts(folded: DataFrame, features: Sequence[str], label: str, smoot
     fm_raw = _collect_moments(moments_frame(folded, features, label, [fold_col]), features, label, [fold_col])
     classes = sorted({key[1] for key in fm_raw})
     k = max(key[0] for key in fm_raw) + 1
-    params = _fold_param_table(spark, fm_raw, features, k, classes)
+    params = _fold_param_table(spark, fm_raw, features, k, classes, list(smoothings))
+    # k rows by construction: broadcast equi-join on the fold id
     scored = folded.join(F.broadcast(params), folded[fold_col] == params["FOLD"]).drop(params["FOLD"])
-    preds = []
-    for i, s in enumerate(smoothings):
-        pred = (_jll_expr(features, len(classes) - 1, s) > _jll_expr(features, 0, s)).cast("int")
-        preds.append(F.struct(F.lit(i).alias("s"), pred.alias("p")))
+    last = len(classes) - 1
     y = F.col(label)
-    return (
-        scored.select(F.col(fold_col), y, F.explode(F.array(*preds)).alias("_x"))
-        .groupBy(fold_col, F.col("_x.s").alias("s"))
-        .agg(
-            F.count_if((y == 1) & (F.col("_x.p") == 1)).alias("tp"),
-            F.count_if((y == 0) & (F.col("_x.p") == 1)).alias("fp"),
-            F.count_if((y == 1) & (F.col("_x.p") == 0)).alias("fn"),
-            F.count_if((y == 0) & (F.col("_x.p") == 0)).alias("tn"),
-        )
-    )
+    aggs = []
+    for si in range(len(smoothings)):
+        pred = _jll_expr(features, last, si) > _jll_expr(features, 0, si)
+        aggs += [
+            F.count_if((y == 1) & pred).alias(f"tp{si}"),
+            F.count_if((y == 0) & pred).alias(f"fp{si}"),
+            F.count_if((y == 1) & ~pred).alias(f"fn{si}"),
+            F.count_if((y == 0) & ~pred).alias(f"tn{si}"),
+        ]
+    wide = scored.groupBy(fold_col).agg(*aggs)
+    return wide.select(fold_col, F.explode(F.array(*[
+        F.struct(F.lit(si).alias("s"), F.col(f"tp{si}").alias("tp"), F.col(f"fp{si}").alias("fp"),
+                 F.col(f"fn{si}").alias("fn"), F.col(f"tn{si}").alias("tn"))
+        for si in range(len(smoothings))
+    ])).alias("x")).select(fold_col, "x.*")
 
 
 def cv_f1(folded: DataFrame, features: Sequence[str], label: str, smoothings: Sequence[float] = (DEFAULT_SMOOTHING,),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -157,13 +158,20 @@ def airport_coordinates(flights: DataFrame, airports: DataFrame) -> DataFrame:
 
 
 def clean_flights(flights: DataFrame, airports: DataFrame, lower: float = 0.0, upper: float = 1.0,
-                  sigmas: float = 1.0) -> DataFrame:
-    """P1 -> P2 -> F1 -> X8 -> J1 -> F2 -> P3 -> F3 -> F6."""
+                  sigmas: float = 1.0, cache: bool = True) -> DataFrame:
+    """P1 -> P2 -> F1 -> X8 -> J1 -> F2 -> P3 -> F3 -> F6.
+
+    The target filters need statistics of the joined rows, so the joined frame
+    is read twice; ``cache`` keeps it (MEMORY_AND_DISK, recomputed from lineage
+    if an executor is lost) instead of running the fact joins twice.
+    """
     df = drop_sparse_columns(flights)
     df = drop_leakage_columns(df)
     df = completed_flights(df)
     df = add_day_of_year(df)
     df = airport_coordinates(df, airports)
+    if cache:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     target = F.col("ARRIVAL_DELAY")
     if lower <= 0.0 and upper >= 1.0:
         # Default bounds are min/max: F2 only removes NULL targets, so the F3

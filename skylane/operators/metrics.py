@@ -91,11 +91,11 @@ def roc_curve(df: DataFrame, label: str, score: str, drop_intermediate: bool = T
     """(threshold, fpr, tpr) per distinct score, descending, with the leading
     (inf, 0, 0) point; interior points whose step equals the next step are dropped
     (the second-difference rule)."""
-    per = score_table(df, label, score)
+    per = score_table(df, label, score).persist()
+    totals = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.max(score).alias("top")).first()
+    P, N = float(totals["P"] or 0), float(totals["N"] or 0)
     b = _bucketed(per, score, buckets).withColumn("_sb", -F.col("_sb"))
     cum = bucketed_prefix_sums(b, "_sb", [F.col(score).desc()], ["pos", "neg"], inclusive=True)
-    totals = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
-    P, N = float(totals["P"] or 0), float(totals["N"] or 0)
     pts = cum
     if drop_intermediate:
         w = Window.partitionBy("_sb").orderBy(F.col(score).desc())
@@ -108,8 +108,7 @@ def roc_curve(df: DataFrame, label: str, score: str, drop_intermediate: bool = T
         j = ranked.join(F.broadcast(nxt), "_sb", "left")
         np_ = F.coalesce(F.lead("pos").over(w), F.col("_np_b"))
         nn_ = F.coalesce(F.lead("neg").over(w), F.col("_nn_b"))
-        top_score = per.agg(F.max(score)).first()[0]
-        is_first = F.col(score) == F.lit(top_score)
+        is_first = F.col(score) == F.lit(totals["top"])
         is_last = np_.isNull()
         keep = is_first | is_last | (np_ != F.col("pos")) | (nn_ != F.col("neg"))
         pts = j.withColumn("_keep", keep).where(F.col("_keep"))

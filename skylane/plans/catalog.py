@@ -567,7 +567,7 @@ def q_smote_nn(spark, sf):
     nn = smote.knn_table(distinct, 5)
     out = v.select(ID, "key", "vec").join(nn, "key")
     d2 = F.aggregate(F.zip_with("vec", "nvec", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
-    return out.select(ID, "slot", r6(d2).alias("d2"))
+    return out.select(ID, F.col("slot").cast("int").alias("slot"), r6(d2).alias("d2"))
 
 
 @query("smote_balanced")

@@ -42,9 +42,12 @@ class SplitFeatures:
 
 def split_features(spark: SparkSession, sf_dir: str, test_size: float = 0.3, seed: int = 42,
                    refit: bool = False, one_hot: bool = False, keep=feats.KEEP_FEATURES,
-                   persist: bool = True) -> SplitFeatures:
-    """M1 then M16 fitted on the training side (or refitted per side), then P8."""
-    lab = cleaned_labelled(spark, sf_dir)
+                   persist: bool = True, cleaned_df: DataFrame | None = None) -> SplitFeatures:
+    """M1 then M16 fitted on the training side (or refitted per side), then P8.
+
+    ``cleaned_df`` reuses an already cleaned (unlabelled) frame.
+    """
+    lab = feats.label_target(cleaned_df) if cleaned_df is not None else cleaned_labelled(spark, sf_dir)
     s = sampling.stratified_split(lab, LABEL, test_size, seed)
     if persist:
         s = s.persist(StorageLevel.MEMORY_AND_DISK)
