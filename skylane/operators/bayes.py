@@ -118,7 +118,15 @@ class GaussianNB:
         ).otherwise(F.lit(self.classes[0]))
 
     def transform(self, df: DataFrame, proba: str = "PROBA", pred: str = "PREDICTION") -> DataFrame:
-        return df.withColumns({proba: self.proba(), pred: self.predict()})
+        """Adds P(last class) and the argmax class; each jll is computed once per row."""
+        last = len(self.classes) - 1
+        j = df.withColumns({"_jll0": self.joint_log_likelihood(0), "_jll1": self.joint_log_likelihood(last)})
+        gap = F.col("_jll0") - F.col("_jll1")
+        out = j.withColumns({
+            proba: stable_sigmoid_of_gap(gap),
+            pred: F.when(F.col("_jll1") > F.col("_jll0"), F.lit(self.classes[-1])).otherwise(F.lit(self.classes[0])),
+        })
+        return out.drop("_jll0", "_jll1")
 
     # ---- persistence (S10) --------------------------------------------
     def params_frame(self, spark: SparkSession) -> DataFrame:
@@ -168,8 +176,10 @@ def nb_params_frame(df: DataFrame, features: Sequence[str], label: str,
 def _fold_param_table(spark: SparkSession, fm: dict, features, k: int, classes, smoothings) -> DataFrame:
     """Per fold: training moments = merge of the other folds (k rows, broadcast).
 
-    For every (class, smoothing) the row carries the jll constant and the inverse
-    smoothed variances, so scoring needs no ``log`` per row.
+    Per class the row carries the means, an array of jll constants (one per
+    smoothing value) and a flat array of inverse smoothed variances (smoothing
+    major), so scoring needs no ``log`` per row and its expression size does not
+    grow with the grid.
     """
     rows = []
     nf = len(features)
@@ -188,29 +198,29 @@ def _fold_param_table(spark: SparkSession, fm: dict, features, k: int, classes,
         row = [f]
         for c in classes:
             pc = per_class[c]
-            row += [float(x) for x in pc.mean]
-            for s in smoothings:
-                var = [v + s * maxvar for v in pc.var]
-                lp = math.log(pc.n / total.n) if pc.n else -math.inf
-                row.append(lp - 0.5 * sum(LOG_2PI + math.log(v) for v in var))
-                row += [1.0 / v for v in var]
+            consts, inv = [], []
+            lp = math.log(pc.n / total.n) if pc.n else -math.inf
+            for sm in smoothings:
+                var = [v + sm * maxvar for v in pc.var]
+                consts.append(lp - 0.5 * sum(LOG_2PI + math.log(v) for v in var))
+                inv += [1.0 / v for v in var]
+            row += [float(x) for x in pc.mean] + [consts, inv]
         rows.append(tuple(row))
     cols = ["FOLD int"]
     for ci in range(len(classes)):
-        cols += [f"_t{ci}_{j} double" for j in range(nf)]
-        for si in range(len(smoothings)):
-            cols.append(f"_c{ci}_{si} double")
-            cols += [f"_iv{ci}_{si}_{j} double" for j in range(nf)]
+        cols += [f"_t{ci}_{j} double" for j in range(nf)] + [f"_c{ci} array<double>", f"_iv{ci} array<double>"]
     return spark.createDataFrame(rows, ", ".join(cols))
 
 
-def _jll_expr(features, ci: int, si: int) -> Column:
+def _jll_expr(features, ci: int, s: Column) -> Column:
+    """jll of class ``ci`` for smoothing index ``s`` (a column) from the parameter arrays."""
+    nf = len(features)
     quad = None
     for j, c in enumerate(features):
         d = F.col(c) - F.col(f"_t{ci}_{j}")
-        term = d * d * F.col(f"_iv{ci}_{si}_{j}")
+        term = d * d * F.col(f"_iv{ci}")[s * nf + j]
         quad = term if quad is None else quad + term
-    return F.col(f"_c{ci}_{si}") - F.lit(0.5) * quad
+    return F.col(f"_c{ci}")[s] - F.lit(0.5) * quad
 
 
 def cv_fold_counts(folded: DataFrame, features: Sequence[str], label: str, smoothings: Sequence[float],
@@ -223,23 +233,18 @@ def cv_fold_counts(folded: DataFrame, features: Sequence[str], label: str, smoot
     params = _fold_param_table(spark, fm_raw, features, k, classes, list(smoothings))
     # k rows by construction: broadcast equi-join on the fold id
     scored = folded.join(F.broadcast(params), folded[fold_col] == params["FOLD"]).drop(params["FOLD"])
+    scored = scored.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(len(smoothings) - 1))))
     last = len(classes) - 1
-    y = F.col(label)
-    aggs = []
-    for si in range(len(smoothings)):
-        pred = _jll_expr(features, last, si) > _jll_expr(features, 0, si)
-        aggs += [
-            F.count_if((y == 1) & pred).alias(f"tp{si}"),
-            F.count_if((y == 0) & pred).alias(f"fp{si}"),
-            F.count_if((y == 1) & ~pred).alias(f"fn{si}"),
-            F.count_if((y == 0) & ~pred).alias(f"tn{si}"),
-        ]
-    wide = scored.groupBy(fold_col).agg(*aggs)
-    return wide.select(fold_col, F.explode(F.array(*[
-        F.struct(F.lit(si).alias("s"), F.col(f"tp{si}").alias("tp"), F.col(f"fp{si}").alias("fp"),
-                 F.col(f"fn{si}").alias("fn"), F.col(f"tn{si}").alias("tn"))
-        for si in range(len(smoothings))
-    ])).alias("x")).select(fold_col, "x.*")
+    s = F.col("s")
+    pred = scored.select(fold_col, "s", F.col(label).alias("_y"),
+                         (_jll_expr(features, last, s) > _jll_expr(features, 0, s)).alias("_p"))
+    y, p = F.col("_y"), F.col("_p")
+    return pred.groupBy(fold_col, "s").agg(
+        F.count_if((y == 1) & p).alias("tp"),
+        F.count_if((y == 0) & p).alias("fp"),
+        F.count_if((y == 1) & ~p).alias("fn"),
+        F.count_if((y == 0) & ~p).alias("tn"),
+    )
 
 
 def cv_f1(folded: DataFrame, features: Sequence[str], label: str, smoothings: Sequence[float] = (DEFAULT_SMOOTHING,),
