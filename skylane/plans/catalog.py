@@ -555,19 +555,16 @@ def q_smote_nn(spark, sf):
     from ..operators import smote
 
     train, _, feat = _nb_inputs(spark, sf)
-    mins = train.where(F.col(LABEL) == 1)
-    w = smote.principal_direction(mins, feat)
-    t = None
-    for wi, c in zip(w.tolist(), feat):
-        term = F.lit(float(wi)) * F.col(c)
-        t = term if t is None else t + term
-    v = mins.withColumn("vec", F.array(*[F.col(c) for c in feat])).withColumn("t", t)
-    v = v.withColumn("key", F.md5(F.to_json("vec")))
-    distinct = v.groupBy("key").agg(F.first("vec").alias("vec"), F.first("t").alias("t"), F.count(F.lit(1)).alias("mult"))
-    nn = smote.knn_table(distinct, 5)
-    out = v.select(ID, "key", "vec").join(nn, "key")
-    d2 = F.aggregate(F.zip_with("vec", "nvec", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
-    return out.select(ID, F.col("slot").cast("int").alias("slot"), r6(d2).alias("d2"))
+    mins = train.where(F.col(LABEL) == 1).select(ID, *feat)
+    keyed, distinct = smote.distinct_points(mins, feat, smote.principal_directions(mins, feat, 3))
+    nn = smote.knn_table(distinct, feat, 5)
+    nvec = distinct.select(F.col("key").alias("nkey"), *[F.col(c).alias(f"_n_{c}") for c in feat])
+    out = keyed.join(nn, "key").join(nvec, "nkey")
+    d2 = None
+    for c in feat:
+        d = F.col(c) - F.col(f"_n_{c}")
+        d2 = d * d if d2 is None else d2 + d * d
+    return out.select(ID, "slot", r6(d2).alias("d2"))
 
 
 @query("smote_balanced")

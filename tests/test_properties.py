@@ -123,17 +123,15 @@ def test_knn_exact_against_brute_force(spark):
     rng = np.random.default_rng(2)
     pts = rng.normal(size=(120, 3)).round(1)
     pts[:40] = pts[0]  # a hot duplicate vector
-    df = spark.createDataFrame([(f"k{i}", [float(x) for x in p]) for i, p in enumerate(pts)], "rid string, vec array<double>")
-    w = np.array([1.0, 0.0, 0.0])
-    df = df.withColumn("t", F.col("vec")[0]).withColumn("key", F.md5(F.to_json("vec")))
-    distinct = df.groupBy("key").agg(F.first("vec").alias("vec"), F.first("t").alias("t"), F.count(F.lit(1)).alias("mult"))
-    nn = smote.knn_table(distinct, 5)
-    vecs = {r["key"]: np.array(r["vec"]) for r in distinct.collect()}
+    feats = ["a", "b", "c"]
+    df = spark.createDataFrame([(f"k{i}", *map(float, p)) for i, p in enumerate(pts)], "rid string, a double, b double, c double")
+    keyed, distinct = smote.distinct_points(df, feats, smote.principal_directions(df, feats, 3))
+    nn = smote.knn_table(distinct, feats, 5)
+    vecs = {r["key"]: np.array([r["a"], r["b"], r["c"]]) for r in distinct.collect()}
     got = {}
     for r in nn.collect():
-        got.setdefault(r["key"], {})[r["slot"]] = float(((vecs[r["key"]] - np.array(r["nvec"])) ** 2).sum())
-    for r in df.select("rid", "key").collect():
+        got.setdefault(r["key"], {})[r["slot"]] = float(((vecs[r["key"]] - vecs[r["nkey"]]) ** 2).sum())
+    for r in keyed.select("rid", "key").collect():
         i = int(r["rid"][1:])
         dd = sorted(((pts[j] - pts[i]) ** 2).sum() for j in range(len(pts)) if j != i)[:5]
         assert [got[r["key"]][s] for s in range(5)] == pytest.approx(dd)
-    assert w is not None
