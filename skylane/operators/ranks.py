@@ -25,14 +25,23 @@ def _cols(xs):
 
 
 def bucketed_row_number(df: DataFrame, bucket: str, order: Sequence[str | Column],
-                        groups: Sequence[str] = (), out: str = "_rank", total: str | None = None) -> DataFrame:
+                        groups: Sequence[str] = (), out: str = "_rank", total: str | None = None,
+                        collapse_copies: bool = True) -> DataFrame:
     """0-based ``row_number`` within ``groups`` ordered by (bucket, *order).
 
     ``bucket`` must be a non-NULL column with a bounded number of values.
-    ``total`` optionally adds the group size.
+    ``total`` optionally adds the group size. With ``collapse_copies`` identical
+    rows are first merged into one row with a count (map-side partial
+    aggregation), ranked once, and expanded to consecutive ranks, so a group of
+    copies holding a third of the table is one row in the window, not one task.
     """
     g = list(groups)
-    counts = df.groupBy(*g, bucket).agg(F.count(F.lit(1)).alias("_cnt"))
+    cols = df.columns
+    if collapse_copies:
+        base = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+    else:
+        base = df.withColumn("_copies", F.lit(1).cast("long"))
+    counts = base.groupBy(*g, bucket).agg(F.sum("_copies").alias("_cnt"))
     w = Window.partitionBy(*g).orderBy(bucket)
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -40,12 +49,17 @@ def bucketed_row_number(df: DataFrame, bucket: str, order: Sequence[str | Column
     if total:
         offsets = offsets.withColumn(total, F.sum("_cnt").over(Window.partitionBy(*g)))
     offsets = offsets.drop("_cnt")
-    inner = Window.partitionBy(*g, bucket).orderBy(*_cols(order))
-    return (
-        df.join(F.broadcast(offsets), [*g, bucket])
-        .withColumn(out, F.row_number().over(inner) - 1 + F.col("_off"))
-        .drop("_off")
+    # every remaining column breaks ties, so the order is total and deterministic
+    tie = [F.col(c) for c in cols if c not in (*g, bucket)]
+    inner = Window.partitionBy(*g, bucket).orderBy(*_cols(order), *tie).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = base.join(F.broadcast(offsets), [*g, bucket]).withColumn(
+        "_start", F.coalesce(F.sum("_copies").over(inner), F.lit(0)) + F.col("_off")
     )
+    if collapse_copies:
+        ranked = ranked.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+    else:
+        ranked = ranked.withColumn("_i", F.lit(0))
+    return ranked.withColumn(out, F.col("_start") + F.col("_i")).drop("_off", "_start", "_i", "_copies")
 
 
 def bucketed_prefix_sums(df: DataFrame, bucket: str, order: Sequence[str | Column], values: Sequence[str],

@@ -135,3 +135,20 @@ def test_knn_exact_against_brute_force(spark):
         i = int(r["rid"][1:])
         dd = sorted(((pts[j] - pts[i]) ** 2).sum() for j in range(len(pts)) if j != i)[:5]
         assert [got[r["key"]][s] for s in range(5)] == pytest.approx(dd)
+
+
+def test_rank_with_hot_copies(spark):
+    """A third of the rows are identical copies: ranks stay a permutation of 0..n-1."""
+    from skylane.operators.ranks import bucketed_row_number, hash_bucket
+    from skylane.functions.features import hash_hex
+
+    rows = [("dup", 1)] * 300 + [(f"r{i}", i % 2) for i in range(600)]
+    df = spark.createDataFrame(rows, "ROW_ID string, y int")
+    x = df.withColumn("_h", hash_hex(42, "ROW_ID")).withColumn("_b", hash_bucket(F.col("_h"), 2))
+    r = bucketed_row_number(x, "_b", ["_h", "ROW_ID"], out="r")
+    got = sorted(v["r"] for v in r.select("r").collect())
+    assert got == list(range(900))
+    s = sampling.stratified_split(df, "y")
+    assert s.count() == 900
+    per = {v["y"]: (v["n"], v["t"]) for v in s.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.sum("IS_TEST").alias("t")).collect()}
+    assert per[1] == (600, 180) and per[0] == (300, 90)
