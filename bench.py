@@ -68,6 +68,10 @@ def main() -> None:
     _, q["nb_cv5"] = timed(lambda: bayes.cv_f1(folded, feat, LABEL, [1e-5]).collect())
     _, q["nb_smoothing_search"] = timed(lambda: bayes.smoothing_search(folded, feat, LABEL).collect())
 
+    from skylane.operators import smote
+
+    _, q["smote_balanced"] = timed(lambda: smote.smote(sfe.train, feat, LABEL).count())
+
     roc_df = model.transform(sfe.test)
     _, q["roc_curve"] = timed(lambda: metrics.roc_curve(roc_df, LABEL, "PROBA").count())
 
