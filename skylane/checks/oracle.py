@@ -516,3 +516,16 @@ FROM cc"""
 
 
 SQL["variant_all_features"] = _variant_sql(ALL_FEATURES)
+
+
+# ------------------------------------------------------- remaining outputs ---
+SQL["csv_roundtrip"] = B + "SELECT ROW_ID, AIRLINE, FLIGHT_NUMBER, DISTANCE, ARRIVAL_DELAY, CANCELLATION_REASON FROM flights"
+SQL["roc_curve_roundtrip"] = SQL["roc_curve"]
+SQL["label_int8"] = L + "SELECT ROW_ID, cast(ARRIVAL_DELAY as tinyint) AS ARRIVAL_DELAY FROM labelled"
+_METRICS = ("(SELECT * FROM (" + metric_rows("s_train", "train", "ARGMAX") + ") UNION ALL SELECT * FROM ("
+            + metric_rows("(SELECT *, CASE WHEN PROBA >= 0.5 THEN 1 ELSE 0 END AS PRED FROM s_test)", "test", "PRED") + "))")
+SQL["overfit_report"] = NB + f"""SELECT a.metric, a.value AS train, b.value AS test, {R('abs(a.value - b.value)')} AS diff,
+  CASE WHEN abs(a.value - b.value) > 0.1 THEN 1 ELSE 0 END AS overfit
+FROM {_METRICS} a JOIN {_METRICS} b ON a.metric = b.metric AND a.split = 'train' AND b.split = 'test'"""
+SQL["score_first_rows"] = NB + f"""SELECT ROW_ID, {R('PROBA')} AS PROBA, CASE WHEN PROBA >= 0.5 THEN 1 ELSE 0 END AS PREDICTION
+FROM s_test ORDER BY ROW_ID LIMIT 10"""

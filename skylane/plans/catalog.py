@@ -623,3 +623,54 @@ def q_best(spark, sf):
     a = best_by(rep, "f1").withColumn("metric", F.lit("f1")).withColumnRenamed("best_f1", "value")
     b = best_by(rep, "roc_auc").withColumn("metric", F.lit("roc_auc")).withColumnRenamed("best_roc_auc", "value")
     return a.unionByName(b)
+
+
+# ------------------------------------------------------- remaining outputs ---
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf):
+    """S5 (CSV) + S1: write the flight view as CSV to the shared folder, read it back with a declared schema."""
+    from ..sources.tables import read_csv, write_table
+    from .scoring import shared_path
+
+    f = flights_view(spark, sf).select(ID, "AIRLINE", "FLIGHT_NUMBER", "DISTANCE", "ARRIVAL_DELAY", "CANCELLATION_REASON")
+    path = shared_path(spark, "flights-csv")
+    write_table(f, path, fmt="csv")
+    return read_csv(spark, path, f.schema)
+
+
+@query("roc_curve_roundtrip")
+def q_roc_roundtrip(spark, sf):
+    """ROC rows written as JSON (the infinite threshold as text) and read back."""
+    from .scoring import shared_path, write_metrics
+
+    s = _nb_scored_test(spark, sf).withColumn("PROBA", r6("PROBA"))
+    roc = metrics.roc_curve(s, LABEL, "PROBA").select("threshold", r6("fpr").alias("fpr"), r6("tpr").alias("tpr"))
+    path = shared_path(spark, "roc-json")
+    write_metrics(spark, roc, path)
+    back = spark.read.schema("threshold string, fpr string, tpr string").json(path)
+    return back.select(*[F.col(c).cast("double").alias(c) for c in ("threshold", "fpr", "tpr")])
+
+
+@query("label_int8")
+def q_label_int8(spark, sf):
+    """The binary target as an 8-bit integer."""
+    return training.cleaned_labelled(spark, sf).select(ID, F.col(LABEL).cast("tinyint").alias(LABEL))
+
+
+@query("overfit_report")
+def q_overfit(spark, sf):
+    """Train vs test per metric, absolute gap and the gap > 0.1 flag."""
+    train, test, feat = _nb_inputs(spark, sf)
+    _, rows = training.nb_report(train, test, feat)
+    rows = rows.withColumn("value", r6("value"))  # the gap of the reported (rounded) metrics
+    rep = metrics.overfit_report(rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test"))
+    return rep.select("metric", r6("train").alias("train"), r6("test").alias("test"), r6("diff").alias("diff"),
+                      F.col("overfit").cast("int").alias("overfit"))
+
+
+@query("score_first_rows")
+def q_first_rows(spark, sf):
+    """T6 + M18: the smoke prediction of the first ten test rows by ROW_ID."""
+    s = _nb_scored_test(spark, sf)
+    return s.orderBy(ID).limit(10).select(ID, r6("PROBA").alias("PROBA"), "PREDICTION")
