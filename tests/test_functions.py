@@ -119,6 +119,18 @@ def test_exact_quantile_hot_value(spark):
     assert clean.exact_quantiles(df, "x", ps, buckets=16) == pytest.approx(list(np.quantile(vals, ps)))
 
 
+def test_exact_quantile_refines_large_buckets(spark):
+    # max_rows forces the per-bucket refinement; a hot value (a third of the rows) must stop it cleanly
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    vals = [3.5] * 1500 + rng.normal(0, 10, 3000).round(3).tolist()
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    ps = [0.01, 0.2, 0.34, 0.5, 0.66, 0.9, 0.995]
+    got = clean.exact_quantiles(df, "x", ps, buckets=4, max_rows=20)
+    assert got == pytest.approx(list(np.quantile(vals, ps)))
+
+
 def test_auc_ties_and_constant(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.8), (1, 0.8), (0, 0.1), (1, 0.1)], "y int, p double")
     assert metrics.roc_auc(df, "y", "p").first()["roc_auc"] == pytest.approx(2 / 3)
