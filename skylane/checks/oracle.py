@@ -471,7 +471,8 @@ nn_ranked AS (SELECT ROW_ID, d2, row_number() OVER (PARTITION BY ROW_ID ORDER BY
 SELECT ROW_ID, cast(slot as integer) AS slot, {R('d2')} AS d2 FROM nn_ranked WHERE slot < 5"""
 
 
-def _variant_sql(features: list[str], train: str = "ftrain", test: str = "ftest", name: str = "all_features") -> str:
+def _variant_sql(features: list[str], train: str = "ftrain", test: str = "ftest", name: str = "all_features",
+                 extra_ctes: str = "") -> str:
     mom = ", ".join(f"avg(t.{c}) AS t_{i}, var_pop(t.{c}) AS v_{i}" for i, c in enumerate(features))
     overall = "greatest(" + ", ".join(f"var_pop(t.{c})" for c in features) + ")"
     grid_list = ", ".join(repr(g) for g in GRID)
@@ -481,7 +482,7 @@ def _variant_sql(features: list[str], train: str = "ftrain", test: str = "ftest"
         quad = " + ".join(f"({src}.{c} - {alias}.t_{i}) * ({src}.{c} - {alias}.t_{i}) / {var_expr(alias, i)}" for i, c in enumerate(features))
         return f"(({const}) - 0.5 * ({quad}))"
 
-    return FEAT_ALL.rstrip() + f""",
+    return FEAT_ALL.rstrip() + ",\n" + (extra_ctes.strip() + ",\n" if extra_ctes else "") + f"""
 folded AS (SELECT *, (row_number() OVER (ORDER BY md5('42|fold|' || ROW_ID), ROW_ID) - 1) % 5 AS FOLD FROM {train}),
 folds AS (SELECT DISTINCT FOLD AS f FROM folded),
 fm AS (SELECT fo.f, t.ARRIVAL_DELAY AS label, count(*) AS n, {mom} FROM folds fo JOIN folded t ON t.FOLD <> fo.f GROUP BY fo.f, t.ARRIVAL_DELAY),
@@ -517,6 +518,22 @@ FROM cc"""
 
 SQL["variant_all_features"] = _variant_sql(ALL_FEATURES)
 
+# variant 6: the all-feature train split grown to balance by random oversampling
+_ROS_TRAIN = f"""
+rcnt AS (SELECT ARRIVAL_DELAY AS y, count(*) AS n FROM ftrain GROUP BY 1),
+rroles AS (SELECT (SELECT y FROM rcnt ORDER BY n, y LIMIT 1) AS ymin, (SELECT n FROM rcnt ORDER BY n, y LIMIT 1) AS n_min,
+                  (SELECT n FROM rcnt ORDER BY n DESC, y DESC LIMIT 1) AS n_maj),
+rmins AS (SELECT t.*, row_number() OVER (ORDER BY md5('42|' || ROW_ID), ROW_ID) - 1 AS idx
+          FROM ftrain t, rroles WHERE t.ARRIVAL_DELAY = rroles.ymin),
+rdraws AS (SELECT j, cast(('0x' || substr(md5('42|ros|' || cast(j as varchar)), 1, 8)) as bigint) % rroles.n_min AS idx
+           FROM rroles, (SELECT unnest(range((SELECT n_maj - n_min FROM rroles))) AS j)),
+rtrain AS (SELECT ROW_ID, ARRIVAL_DELAY, {', '.join(ALL_FEATURES)} FROM ftrain
+           UNION ALL
+           SELECT md5(m.ROW_ID || '|ros|' || cast(d.j as varchar)), m.ARRIVAL_DELAY, {', '.join('m.' + c for c in ALL_FEATURES)}
+           FROM rdraws d JOIN rmins m USING (idx))"""
+SQL["variant_random_oversample"] = _variant_sql(ALL_FEATURES, train="rtrain", name="random_oversample",
+                                                extra_ctes=_ROS_TRAIN)
+
 
 # ------------------------------------------------------- remaining outputs ---
 SQL["csv_roundtrip"] = B + "SELECT ROW_ID, AIRLINE, FLIGHT_NUMBER, DISTANCE, ARRIVAL_DELAY, CANCELLATION_REASON FROM flights"

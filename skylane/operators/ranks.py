@@ -20,6 +20,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# 5 leading hex digits = 1,048,576 hash buckets: about a million rows per window
+# task at 10^12 rows, while the per-bucket offset table stays bounded by
+# 2^20 rows per group, small enough to broadcast. The rank order is the same for
+# any digit count (the bucket is a prefix of the hash it orders by).
+RANK_DIGITS = 5
+
+
 def _cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -83,6 +90,6 @@ def bucketed_prefix_sums(df: DataFrame, bucket: str, order: Sequence[str | Colum
     )
 
 
-def hash_bucket(hexcol: Column, digits: int = 4) -> Column:
+def hash_bucket(hexcol: Column, digits: int = RANK_DIGITS) -> Column:
     """Monotone bucket of an md5 hex string: its first ``digits`` hex digits."""
     return F.conv(F.substring(hexcol, 1, digits), 16, 10).cast("int")

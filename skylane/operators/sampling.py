@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.features import hash_hex, hash_int
-from .ranks import bucketed_row_number, hash_bucket
+from .ranks import RANK_DIGITS, bucketed_row_number, hash_bucket
 
 ID = "ROW_ID"
 
 
 def stratified_split(df: DataFrame, label: str, test_size: float = 0.3, seed: int = 42, id_col: str = ID,
-                     digits: int = 4, out: str = "IS_TEST") -> DataFrame:
+                     digits: int = RANK_DIGITS, out: str = "IS_TEST") -> DataFrame:
     """M1: per class, rows ordered by md5('<seed>|' || id) (then id); the first
     ``round(test_size * n_class)`` rows are test. Adds 0/1 ``out``.
     """
@@ -35,7 +35,7 @@ def split_frames(df: DataFrame, label: str, test_size: float = 0.3, seed: int =
     return s.where(F.col("IS_TEST") == 0).drop("IS_TEST"), s.where(F.col("IS_TEST") == 1).drop("IS_TEST")
 
 
-def kfold(df: DataFrame, k: int = 5, seed: int = 42, id_col: str = ID, digits: int = 4, out: str = "FOLD") -> DataFrame:
+def kfold(df: DataFrame, k: int = 5, seed: int = 42, id_col: str = ID, digits: int = RANK_DIGITS, out: str = "FOLD") -> DataFrame:
     """M2: shuffled, unstratified k folds; fold = rank mod k so sizes differ by at most one."""
     h = hash_hex(f"{seed}|fold", id_col)
     x = df.withColumn("_h", h).withColumn("_b", hash_bucket(F.col("_h"), digits))
@@ -62,7 +62,7 @@ def class_weights(df: DataFrame, label: str, out: str = "WEIGHT") -> DataFrame:
 
 
 def random_oversample(df: DataFrame, label: str, seed: int = 42, ratio: float | None = None,
-                      id_col: str = ID, digits: int = 4) -> DataFrame:
+                      id_col: str = ID, digits: int = RANK_DIGITS) -> DataFrame:
     """Keep every row and add minority copies drawn with replacement.
 
     Draw ``j`` (0..m-1) copies minority row number ``hash(seed, j) mod n_min``.

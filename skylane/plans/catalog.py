@@ -601,6 +601,19 @@ def q_variant_all(spark, sf):
                     r6("accuracy").alias("accuracy"), r6("roc_auc").alias("roc_auc"))
 
 
+@query("variant_random_oversample")
+def q_variant_ros(spark, sf):
+    """M15 variant 6: random oversampling to balance, then the same search, refit and test metrics."""
+    from .compare import _variant_inputs, nb_search_and_evaluate
+
+    train, test, cols = _variant_inputs(spark, sf)
+    grown = sampling.random_oversample(train, LABEL)
+    r = nb_search_and_evaluate("random_oversample", grown, test, cols)
+    return r.select("variant", "var_smoothing", r6("cv_f1").alias("cv_f1"), "n_features", r6("f1").alias("f1"),
+                    r6("recall").alias("recall"), r6("precision").alias("precision"),
+                    r6("accuracy").alias("accuracy"), r6("roc_auc").alias("roc_auc"))
+
+
 @query("compare_variants")
 def q_compare(spark, sf):
     """M15 + T4: all six variants ranked by test F1 (timings excluded from the check)."""
