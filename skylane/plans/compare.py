@@ -79,11 +79,19 @@ def variant_frames(spark: SparkSession, sf_dir: str, names: Sequence[str] = VARI
         screen = select.correlation_screen(train, cols, LABEL, 0.6, 15)
         return train, select.selected_features(screen)
 
+    shared = {}
+
+    def basis():
+        # both SMOTE variants oversample the same training rows: one neighbour search
+        if "b" not in shared:
+            shared["b"] = smote.smote_basis(train, cols, LABEL)
+        return shared["b"]
+
     def smote_full():
-        return smote.smote(train, cols, LABEL), cols
+        return smote.smote(train, cols, LABEL, basis=basis()), cols
 
     def smote_ratio():
-        return smote.smote(train, cols, LABEL, ratio=0.3), cols
+        return smote.smote(train, cols, LABEL, ratio=0.3, basis=basis()), cols
 
     def ros():
         return sampling.random_oversample(train, LABEL), cols

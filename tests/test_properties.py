@@ -119,6 +119,21 @@ def test_smote_points_lie_between_parents(spark):
         assert ok
 
 
+def test_smote_shared_basis_matches_standalone(spark):
+    # the comparison shares one neighbour search between two ratios; rows must not change
+    rng = np.random.default_rng(3)
+    pts = rng.normal(size=(40, 2)).round(2)
+    rows = [(f"m{i}", 1, *map(float, p)) for i, p in enumerate(pts)] + [(f"n{i}", 0, 1.0, 1.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "ROW_ID string, y int, a double, b double")
+    basis = smote.smote_basis(df, ["a", "b"], "y")
+    for ratio in (None, 0.5):
+        alone = sorted(tuple(r) for r in smote.smote(df, ["a", "b"], "y", ratio=ratio).collect())
+        shared = sorted(tuple(r) for r in smote.smote(df, ["a", "b"], "y", ratio=ratio, basis=basis).collect())
+        assert alone == shared and len(alone) == 200 + (200 if ratio is None else 100)
+    with pytest.raises(ValueError):
+        smote.smote(df, ["a", "b"], "y", ratio=0.1, basis=basis)
+
+
 def test_knn_exact_against_brute_force(spark):
     rng = np.random.default_rng(2)
     pts = rng.normal(size=(120, 3)).round(1)
