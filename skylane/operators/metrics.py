@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,7 +76,8 @@ def _bucketed(per: DataFrame, score: str, buckets: int) -> DataFrame:
 
 def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 256) -> DataFrame:
     """Tie-aware ROC-AUC = P(s+ > s-) + 0.5 P(s+ = s-); NULL if a class is absent."""
-    per = score_table(df, label, score)
+    # read twice (split points, then the sums): one scan and shuffle of the scored rows, not two
+    per = score_table(df, label, score).persist(StorageLevel.MEMORY_AND_DISK)
     b = _bucketed(per, score, buckets)
     cum = bucketed_prefix_sums(b, "_sb", [score], ["neg"], inclusive=False)
     return cum.agg(
@@ -91,7 +93,7 @@ def roc_curve(df: DataFrame, label: str, score: str, drop_intermediate: bool = T
     """(threshold, fpr, tpr) per distinct score, descending, with the leading
     (inf, 0, 0) point; interior points whose step equals the next step are dropped
     (the second-difference rule)."""
-    per = score_table(df, label, score).persist()
+    per = score_table(df, label, score).persist(StorageLevel.MEMORY_AND_DISK)
     totals = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.max(score).alias("top")).first()
     P, N = float(totals["P"] or 0), float(totals["N"] or 0)
     b = _bucketed(per, score, buckets).withColumn("_sb", -F.col("_sb"))
