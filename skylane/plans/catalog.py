@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -607,7 +608,8 @@ def q_variant_ros(spark, sf):
     from .compare import _variant_inputs, nb_search_and_evaluate
 
     train, test, cols = _variant_inputs(spark, sf)
-    grown = sampling.random_oversample(train, LABEL)
+    # read by the fold ranking and again by the refit
+    grown = sampling.random_oversample(train, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     r = nb_search_and_evaluate("random_oversample", grown, test, cols)
     return r.select("variant", "var_smoothing", r6("cv_f1").alias("cv_f1"), "n_features", r6("f1").alias("f1"),
                     r6("recall").alias("recall"), r6("precision").alias("precision"),

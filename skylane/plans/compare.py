@@ -94,7 +94,8 @@ def variant_frames(spark: SparkSession, sf_dir: str, names: Sequence[str] = VARI
         return smote.smote(train, cols, LABEL, ratio=0.3, basis=basis()), cols
 
     def ros():
-        return sampling.random_oversample(train, LABEL), cols
+        # read by the fold ranking and again by the refit
+        return sampling.random_oversample(train, LABEL).persist(StorageLevel.MEMORY_AND_DISK), cols
 
     table = {
         "all_features": all_features, "top15_tree_importance": top15_tree, "correlation_screen": corr,
