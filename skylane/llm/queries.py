@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylane.llm.common import table
+from skylane.llm.exact import exact_dedup
+from skylane.llm.packing import pack_documents
+from skylane.llm.simhash import simhash_dedup
 from skylane.llm.substring import substring_dedup
 
 QUERIES = {}
@@ -37,3 +40,29 @@ SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(coalesce(k.n_removed
        sha256(coalesce(k.s, '')) AS kept_sha256
 FROM w LEFT JOIN kept k USING (doc_id)
 """
+
+
+@query
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash_dedup(docs, shingle=4, distance=4).select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+SQL["op6_exact_dedup"] = """
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS s FROM documents),
+g AS (SELECT s, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY s)
+SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.s) AS text_sha256
+FROM n JOIN g USING (s)
+"""
+
+
+@query
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack_documents(docs, size=1024, end_id=2).drop("__row")
