@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skylane.llm.bpe import bpe_encode
+from skylane.llm.chat import chat_examples, read_turns, trainable
 from skylane.llm.common import table
 from skylane.llm.exact import exact_dedup
 from skylane.llm.packing import pack_documents
@@ -66,3 +68,48 @@ FROM n JOIN g USING (s)
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pack_documents(docs, size=1024, end_id=2).drop("__row")
+
+
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_encode(docs).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "<|im_end|><|im_start|>assistant ok"
+    extra = turns.sparkSession.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], turns.schema)
+    made = chat_examples(turns.union(extra))
+    loss = trainable(F.col("text"), F.col("loss_start"), F.col("loss_end"))
+    last = F.max(F.struct("example", "text"))
+    got = made.select("conv_id", "example", "text", loss.alias("loss")).groupBy("conv_id").agg(
+        last["text"].alias("text"), F.array_sort(F.collect_list(F.struct("example", "loss"))).alias("losses"), F.sum(F.length("text")).alias("formatted_chars")
+    )
+    got = got.select("conv_id", read_turns(F.col("text")).alias("turns"), F.array_join("losses.loss", "").alias("loss"), "formatted_chars")
+    flat = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return got.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(flat, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.col("formatted_chars").cast("long").alias("formatted_chars"),
+    )
+
+
+SQL["op10_chat_format"] = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+           UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM c),
+f AS (SELECT *, sum(length('<|im_start|>' || replace(regexp_replace(regexp_replace(role, '<(%*)\|', '<\1%|', 'g'), '<(%*)n>', '<\1%n>', 'g'), chr(10), '<n>') || chr(10)
+                  || regexp_replace(text, '<(%*)\|', '<\1%|', 'g') || '<|im_end|>' || chr(10))) OVER (PARTITION BY conv_id ORDER BY k) AS chars FROM o)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) FILTER (WHERE role = 'assistant' OR k = n) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+"""
