@@ -12,6 +12,7 @@ from skylane.llm.exact import exact_dedup
 from skylane.llm.packing import pack_documents
 from skylane.llm.simhash import simhash_dedup
 from skylane.llm.substring import substring_dedup
+from skylane.llm.vectors import embedding_dedup
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -113,3 +114,22 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(chars) FILTER (WHERE role = 'assistant' OR k = n) AS BIGINT) AS formatted_chars
 FROM f GROUP BY conv_id
 """
+
+
+@query
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return embedding_dedup(vectors, threshold=0.9, recall=0.999).select("vec_id", "n_links", "component_id", "kept")
+
+
+SQL["op9_embedding_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+fine AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN c ON v.vec_id = c.a LEFT JOIN n ON n.a = v.vec_id
+"""
