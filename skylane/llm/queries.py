@@ -12,6 +12,7 @@ from skylane.llm.exact import exact_dedup
 from skylane.llm.packing import pack_documents
 from skylane.llm.simhash import simhash_dedup
 from skylane.llm.substring import substring_dedup
+from skylane.llm.toxicity import fit_toxicity, held_out, score_toxicity
 from skylane.llm.vectors import embedding_dedup
 
 QUERIES = {}
@@ -133,3 +134,11 @@ n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
 SELECT v.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
 FROM v JOIN c ON v.vec_id = c.a LEFT JOIN n ON n.a = v.vec_id
 """
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    ids = F.col("doc_id")
+    return score_toxicity(docs, model, threshold=0.3).select("doc_id", held_out(ids).alias("held_out"), "score", "predicted")
