@@ -9,6 +9,8 @@ from skylane.llm.bpe import bpe_encode
 from skylane.llm.chat import chat_examples, read_turns, trainable
 from skylane.llm.common import table
 from skylane.llm.exact import exact_dedup
+from skylane.llm.licenses import PHRASES, TEMPLATES, _template_words, scan_licenses
+from skylane.llm.lines import line_dedup
 from skylane.llm.packing import pack_documents
 from skylane.llm.simhash import simhash_dedup
 from skylane.llm.substring import substring_dedup
@@ -142,3 +144,66 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     ids = F.col("doc_id")
     return score_toxicity(docs, model, threshold=0.3).select("doc_id", held_out(ids).alias("held_out"), "score", "predicted")
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs, min_docs=3, fixed=0.6).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+SQL["op3_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+raw AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS k FROM d),
+l AS (SELECT doc_id, line, k, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS ws FROM raw),
+p AS (SELECT doc_id, k, line, ws, array_to_string(ws, ' ') AS m, len(ws) || ' ' || array_to_string(list_slice(ws, 1, 3), ' ') AS path FROM l),
+pairs AS (SELECT DISTINCT doc_id, path, m, ws FROM p WHERE len(ws) > 0),
+counted AS (SELECT path, m, ws, count(*) AS docs FROM pairs GROUP BY path, m, ws),
+leaves AS (SELECT path FROM counted GROUP BY path HAVING sum(docs) >= 3),
+words AS (SELECT path, m, docs, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM counted SEMI JOIN leaves USING (path)),
+fix AS (SELECT path, pos, w FROM words WHERE w <> '<*>' GROUP BY path, pos, w HAVING sum(docs) >= 3),
+shape AS (SELECT a.path, a.m, string_agg(CASE WHEN f.w IS NULL THEN '<*>' ELSE a.w END, ' ' ORDER BY a.pos) AS shape
+          FROM words a LEFT JOIN fix f ON a.path = f.path AND a.pos = f.pos AND a.w = f.w
+          GROUP BY a.path, a.m HAVING avg(CASE WHEN f.w IS NULL THEN 0 ELSE 1 END) >= 0.6),
+placed AS (SELECT doc_id, path, m, shape FROM pairs JOIN shape USING (path, m)),
+rec AS (SELECT path, shape FROM placed GROUP BY path, shape HAVING count(DISTINCT doc_id) >= 3),
+gone AS (SELECT DISTINCT doc_id, m FROM placed SEMI JOIN rec USING (path, shape))
+SELECT p.doc_id, count(*) AS n_lines, count(g.m) AS n_dropped,
+       sha256(coalesce(string_agg(p.line, chr(10) ORDER BY p.k) FILTER (WHERE g.m IS NULL), '')) AS kept_sha256
+FROM p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.m = g.m GROUP BY p.doc_id
+"""
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_licenses(docs, containment=0.8).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def _license_sql() -> str:
+    longest = max(len(_template_words(t)) for _, t in TEMPLATES)
+    rows = ", ".join(f"('{label}', {sorted(set(_template_words(t)))})" for label, t in TEMPLATES)
+    tests = " OR ".join("(" + " AND ".join(f"w.ws[i + {j + 1}] = '{q}'" for j, q in enumerate(p.split(" "))) + f" AND label = '{label}')" for p, label in PHRASES.items())
+    bases = ", ".join(f"('{label}')" for label in PHRASES.values())
+    return rf"""
+WITH t(label, s) AS (VALUES {rows}), b(label) AS (VALUES {bases}),
+low AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM low),
+pl AS (SELECT doc_id, unnest(range(len(ws))) AS i FROM w WHERE list_contains(ws, 'license')),
+places AS (SELECT doc_id, i, label FROM pl JOIN w USING (doc_id), b WHERE {tests}),
+base AS (SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS z, list(DISTINCT label) AS ls FROM places GROUP BY doc_id),
+ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM low),
+lw AS (SELECT doc_id, regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM ln),
+bs AS (SELECT doc_id, ws, unnest(range(0, greatest(len(ws) - {longest}, 1), {longest})) AS o FROM lw),
+bl AS (SELECT doc_id, list_slice(ws, o + 1, o + {2 * longest}) AS ws FROM bs),
+m AS (SELECT doc_id, label, len(list_filter(s, lambda x: list_contains(ws, x))) / len(s) AS share FROM bl, t WHERE list_has_any(ws, s)),
+tm AS (SELECT doc_id, list(DISTINCT label) AS ls, max(share) AS share FROM m WHERE share >= 0.8 - 1e-9 GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, coalesce(base.n, 0) AS n_base, base.a AS first_word, base.z AS last_word,
+       coalesce(array_to_string(list_sort(base.ls), ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.ls, []), coalesce(tm.ls, [])))), ',') AS labels,
+       CAST(CASE WHEN base.n > 0 THEN 1 ELSE coalesce(tm.share, 0) END AS DOUBLE) AS score
+FROM w LEFT JOIN base USING (doc_id) LEFT JOIN tm USING (doc_id)
+"""
+
+
+SQL["op8_license_scan"] = _license_sql()
