@@ -14,8 +14,8 @@ distinct words. The join tests few blocks:
 What is left is verified exactly. Base labels are places where a phrase's words
 stand one after another. DataFrame functions only.
 
-Defined results: null text counts as empty; repeated rows are documents of
-their own; first_word and last_word are null without a base place; score is 1
+Defined results: null text counts as empty; repeated rows get equal
+results; first_word and last_word are null without a base place; score is 1
 with a base place, else the best containment found, else 0.
 """
 
@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylane.llm.common import lower_ascii
+from skylane.llm.common import keyed, lower_ascii
 
 BREAK = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -87,7 +87,7 @@ def block_words(text: Column, longest: int) -> Column:
 
 
 def template_matches(docs: DataFrame, templates: list[tuple[str, str]], containment: float) -> DataFrame:
-    """(__row, label, share) for each block of ``docs`` (__row, text) that contains a template."""
+    """(__id, __tx, label, share) for each block of ``keyed`` ``docs`` that contains a template."""
     spark = docs.sparkSession
     sets = [(label, sorted(set(_template_words(t)))) for label, t in templates]
     vocabulary = sorted({w for _, s in sets for w in s})
@@ -107,16 +107,16 @@ def template_matches(docs: DataFrame, templates: list[tuple[str, str]], containm
     ranked = sorted(vocabulary, key=order.__getitem__)
     # a document without any prefix word has no matching block; the search for one stays on the raw text
     hit = _any([F.contains(F.lower("text"), F.lit(w)) for w in rare])
-    blocks = docs.filter(hit).select("__row", F.explode(block_words(F.col("text"), longest)).alias("ws"))
+    blocks = docs.filter(hit).select("__id", "__tx", F.explode(block_words(F.col("text"), longest)).alias("ws"))
     # words of the vocabulary only, in the global order
-    blocks = blocks.select("__row", F.array_intersect(lit(ranked), F.col("ws")).alias("have")).filter(F.size("have") > 0)
-    tried = blocks.withColumn("block", F.monotonically_increasing_id()).select("__row", "have", F.posexplode("have").alias("pos", "word"))
+    blocks = blocks.select("__id", "__tx", F.array_intersect(lit(ranked), F.col("ws")).alias("have")).filter(F.size("have") > 0)
+    tried = blocks.select("__id", "__tx", "have", F.posexplode("have").alias("pos", "word"))
     tried = tried.join(F.broadcast(prefixes), "word")
     enough = (F.size("have") >= F.col("need")) & (1 + F.least(F.col("size") - 1 - F.col("at"), F.size("have") - 1 - F.col("pos")) >= F.col("need"))
     # the first shared prefix word speaks for the pair
     first = F.array_position("have", F.get(F.array_intersect("tokens", "have"), F.lit(0))) - 1 == F.col("pos")
     share = F.size(F.array_intersect("tokens", "have")) / F.col("size")
-    return tried.filter(enough & first).select("__row", "label", share.alias("share"), (F.size(F.array_intersect("tokens", "have")) >= F.col("need")).alias("ok")).filter("ok").drop("ok")
+    return tried.filter(enough & first).select("__id", "__tx", "label", share.alias("share"), (F.size(F.array_intersect("tokens", "have")) >= F.col("need")).alias("ok")).filter("ok").drop("ok")
 
 
 def scan_licenses(docs: DataFrame, containment: float = 0.8, phrases: dict[str, str] | None = None, templates: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -125,12 +125,12 @@ def scan_licenses(docs: DataFrame, containment: float = 0.8, phrases: dict[str,
     Other columns are passed on; columns of these names are replaced.
     """
     own = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
-    src = docs.drop(*own).withColumn("__row", F.monotonically_increasing_id())
-    found = template_matches(src.select("__row", "text"), templates or TEMPLATES, containment)
-    found = found.groupBy("__row").agg(F.collect_set("label").alias("__labels"), F.max("share").alias("__share"))
+    src = keyed(docs.drop(*own))
+    found = template_matches(src.select("__id", "__tx", "text"), templates or TEMPLATES, containment)
+    found = found.groupBy("__id", "__tx").agg(F.collect_set("label").alias("__labels"), F.max("share").alias("__share"))
     base = src.withColumn("__ws", words(F.col("text")))
     base = base.withColumns({"n_words": F.size("__ws").cast("long"), "__places": phrase_places(F.col("__ws"), phrases or PHRASES)}).drop("__ws", "text")
-    out = base.join(found, "__row", "left")
+    out = base.join(found, ["__id", "__tx"], "left")
     starts, labels = F.col("__places.start"), F.array_distinct("__places.label")
     none = F.array().cast("array<string>")
     return out.withColumns(
@@ -142,4 +142,4 @@ def scan_licenses(docs: DataFrame, containment: float = 0.8, phrases: dict[str,
             "labels": F.array_join(F.array_sort(F.array_union(labels, F.coalesce("__labels", none))), ","),
             "score": F.when(F.size("__places") > 0, F.lit(1.0)).otherwise(F.coalesce("__share", F.lit(0.0))),
         }
-    ).drop("__places", "__labels", "__share", "__row")
+    ).drop("__places", "__labels", "__share", "__id", "__tx")

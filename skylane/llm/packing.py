@@ -58,8 +58,8 @@ def _piece_batches(path: str, size: int, end_id: int, with_ids: bool):
                         met[n] += 1
                         raw.append(own)
                 take = pa.array(doc, pa.int64())
-                cols = [part.column("doc_id").take(take), part.column("__row").take(take), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-                names = ["doc_id", "__row", "piece", "start", "length", "ids_crc32"]
+                cols = [part.column("doc_id").take(take), part.column("text_hash").take(take), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+                names = ["doc_id", "text_hash", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
                     cols, names = [*cols, pa.array(raw, pa.binary())], [*names, "ids"]
                 else:
@@ -116,24 +116,26 @@ def plan_best_fit(counts: dict[int, int], size: int) -> list[tuple[int, int, int
 
 
 def token_pieces(docs: DataFrame, path: str | None = None, size: int = 1024, end_id: int = 2) -> DataFrame:
-    """doc_id, __row, piece, start, length, ids_crc32 and ids (little-endian 32-bit) of each piece."""
+    """doc_id, text_hash, piece, start, length, ids_crc32 and ids (little-endian 32-bit) of each piece."""
     ship(docs.sparkSession)
-    src = docs.select("doc_id", "text").withColumn("__row", F.monotonically_increasing_id())
+    src = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(_piece_batches(path or public_tokenizers.path("byte_bpe_50k.json"), size, end_id, True), f"doc_id {kind}, __row long, piece int, start long, length long, ids_crc32 long, ids binary")
+    return src.mapInArrow(_piece_batches(path or public_tokenizers.path("byte_bpe_50k.json"), size, end_id, True), f"doc_id {kind}, text_hash long, piece int, start long, length long, ids_crc32 long, ids binary")
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, size: int = 1024, end_id: int = 2) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset and __row.
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset and text_hash.
+
+    text_hash is xxhash64 of the text; with doc_id it names a document.
 
     ``packed_sequences`` turns these places into token sequences.
     """
     spark = docs.sparkSession
     ship(spark)
     stash = Stash(spark)
-    src = docs.select("doc_id", "text").withColumn("__row", F.monotonically_increasing_id())
+    src = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    cuts = src.mapInArrow(_piece_batches(path or public_tokenizers.path("byte_bpe_50k.json"), size, end_id, False), f"doc_id {kind}, __row long, piece int, start long, length long, ids_crc32 long, writer long, nth long")
+    cuts = src.mapInArrow(_piece_batches(path or public_tokenizers.path("byte_bpe_50k.json"), size, end_id, False), f"doc_id {kind}, text_hash long, piece int, start long, length long, ids_crc32 long, writer long, nth long")
     cuts = stash.write(cuts)
     per_writer = cuts.groupBy("length", "writer").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("writer").rowsBetween(Window.unboundedPreceding, -1))
@@ -144,7 +146,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, size: int = 1024, e
     # the plan is bounded by the lengths, not by the data
     ranges = F.broadcast(plan.groupBy("length").agg(F.sort_array(F.collect_list(F.struct("rank_lo", "n", "seq", "offset"))).alias("plan")))
     placed = ranked.join(ranges, "length").withColumn("p", F.filter("plan", lambda p: (p["rank_lo"] <= F.col("rank")) & (F.col("rank") < p["rank_lo"] + p["n"]))[0])
-    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("p.seq") + F.col("rank") - F.col("p.rank_lo")).alias("sequence_id"), F.col("p.offset").alias("offset"), "__row")
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("p.seq") + F.col("rank") - F.col("p.rank_lo")).alias("sequence_id"), F.col("p.offset").alias("offset"), "text_hash")
 
 
 def _plan_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -153,8 +155,10 @@ def _plan_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 
 def packed_sequences(docs: DataFrame, places: DataFrame, path: str | None = None, size: int = 1024, end_id: int = 2) -> DataFrame:
     """sequence_id, n_tokens, ids (binary, little-endian 32-bit) and pieces, gapless from offset 0."""
-    cuts = token_pieces(docs, path, size, end_id).select("__row", "piece", "ids")
-    joined = cuts.join(places, ["__row", "piece"])
+    cuts = token_pieces(docs, path, size, end_id).select(F.col("doc_id").alias("__doc"), "text_hash", "piece", "ids")
+    places = places.withColumnRenamed("text_hash", "__hash").withColumnRenamed("piece", "__piece")
+    joined = cuts.join(places, F.col("__doc").eqNullSafe(F.col("doc_id")) & (F.col("__hash") == F.col("text_hash")) & (F.col("__piece") == F.col("piece")))
+    joined = joined.dropDuplicates(["sequence_id", "offset"])  # repeated rows have equal tokens and meet each other's places
     rows = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "piece", "ids")))
     out = joined.groupBy("sequence_id").agg(rows.alias("rows"), F.sum("length").alias("n_tokens"))
     text = F.aggregate("rows", F.unhex(F.lit("")), lambda a, r: F.concat(a, r["ids"]))

@@ -71,7 +71,7 @@ FROM n JOIN g USING (s)
 @query
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pack_documents(docs, size=1024, end_id=2).drop("__row")
+    return pack_documents(docs, size=1024, end_id=2).drop("text_hash")
 
 
 @query

@@ -14,7 +14,8 @@ past them and returns a spanning forest of the links it finds, at most one row f
 each leaf, never the pairs. Components come from these forests.
 
 Defined results: null text counts as empty; without words the fingerprint is
-zero and links like any other; rows with one id are separate documents.
+zero and links like any other; rows with one id and different texts are separate
+documents, repeated rows are one.
 """
 
 from __future__ import annotations
@@ -244,15 +245,17 @@ def simhash_dedup(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataF
     """``docs`` without text, with fingerprint (16 hex digits), component_id and kept.
 
     component_id is the smallest doc_id reachable over links of ``distance``
-    bits or fewer; kept marks one row of each component, the first of that id.
+    bits or fewer; kept marks one document of each component, one of that id;
+    of several texts with that id the one with the smallest text_hash. text_hash is
+    xxhash64 of the text, which with doc_id names a row.
     """
     spark = docs.sparkSession
     ship(spark)
     stash = Stash(spark)
-    src = docs.drop("fingerprint", "component_id", "kept").withColumn("__row", F.monotonically_increasing_id())
+    src = docs.drop("fingerprint", "component_id", "kept").withColumn("text_hash", F.xxhash64("text"))
     marked = src.mapInArrow(_fingerprint_batches(shingle), src.drop("text").withColumn("__fp", F.lit(0).cast("long")).schema)
     marked = stash.write(marked)
-    leaves = stash.write(marked.groupBy(F.col("__fp").alias("fp")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("first")))
+    leaves = stash.write(marked.groupBy(F.col("__fp").alias("fp")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")))
     links = trie_links(leaves.select("fp"), distance)
     parts = connected_components(links, stash)
     named = leaves.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
@@ -260,4 +263,4 @@ def simhash_dedup(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataF
     labels = named.select("fp", "component").join(names, "component").select(F.col("fp").alias("__fp"), "first")
     out = marked.join(labels, "__fp", "left")
     hexed = F.lpad(F.lower(F.hex("__fp")), 16, "0")
-    return out.withColumns({"fingerprint": hexed, "component_id": F.col("first.doc_id"), "kept": F.col("first.__row") == F.col("__row")}).drop("__fp", "first", "__row")
+    return out.withColumns({"fingerprint": hexed, "component_id": F.col("first.doc_id"), "kept": F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_hash") == F.col("text_hash"))}).drop("__fp", "first")
