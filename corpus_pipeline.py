@@ -8,9 +8,14 @@ from skylane.llm import stages
 from skylane.llm.common import Stash, table
 
 STAGES = [
+    ("toxicity", stages.toxicity_stage),
+    ("exact_dedup", stages.exact_stage),
+    ("simhash_near_dedup", stages.simhash_stage),
     ("substring_dedup", stages.substring_stage),
+    ("best_fit_packing", stages.packing_stage),
 ]
 
+#: Tokens, fingerprints and the fitted grammar have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
