@@ -288,14 +288,14 @@ class SpeculativeBPE:
         return " ".join([self.name[t] for t in np.frombuffer(ids, "<u4")])
 
 
-def _batches(path: str, schema: pa.Schema):
+def _batches(path: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = SpeculativeBPE.at(path)
         for batch in batches:
             for part in pieces(batch, "text"):
                 got = bpe.encode(part.column("text").to_pylist())
                 made = {"ids": pa.array([g[0] for g in got], pa.binary()), "n_tokens": pa.array([len(g[0]) // 4 for g in got], pa.int64()), "decoded": pa.array([g[1] for g in got], pa.string())}
-                yield pa.RecordBatch.from_arrays([made[f.name] if f.name in made else part.column(f.name) for f in schema], schema=schema)
+                yield pa.RecordBatch.from_arrays([made[c] if c in made else part.column(c) for c in names], names)
 
     return run
 
@@ -305,9 +305,7 @@ def bpe_encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     Other columns are passed on; columns of these names are replaced.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     ship(docs.sparkSession)
     src = docs.drop("ids", "n_tokens", "decoded")
     schema = T.StructType([*src.schema.fields, T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.StringType())])
-    return src.mapInArrow(_batches(path or public_tokenizers.path("word_bpe_49k.json"), to_arrow_schema(schema)), schema)
+    return src.mapInArrow(_batches(path or public_tokenizers.path("word_bpe_49k.json"), schema.names), schema)

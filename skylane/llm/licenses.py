@@ -39,9 +39,7 @@ TEMPLATES = [
     ("apache", "Licensed under the Apache License, Version 2.0"),
     ("apache", "you may not use this file except in compliance with the License"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
-    ("cc-by", "Licensed under CC BY 4.0"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
+    ("cc", "Licensed under CC BY 4.0"),
     ("gpl", "This work is licensed under the GNU General Public License, version 3"),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
     ("mit", "Released under the MIT License"),
@@ -119,7 +117,7 @@ def template_matches(docs: DataFrame, templates: list[tuple[str, str]], containm
     return tried.filter(enough & first).select("__id", "__tx", "label", share.alias("share"), (F.size(F.array_intersect("tokens", "have")) >= F.col("need")).alias("ok")).filter("ok").drop("ok")
 
 
-def scan_licenses(docs: DataFrame, containment: float = 0.8, phrases: dict[str, str] | None = None, templates: list[tuple[str, str]] | None = None) -> DataFrame:
+def scan_licenses(docs: DataFrame, containment: float = 0.9, phrases: dict[str, str] | None = None, templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """``docs`` without text, with n_words, n_base, first_word, last_word, base_labels, labels and score.
 
     Other columns are passed on; columns of these names are replaced.

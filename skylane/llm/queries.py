@@ -177,7 +177,7 @@ FROM p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.m = g.m GROUP BY p.doc_id
 @query
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return scan_licenses(docs, containment=0.8).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return scan_licenses(docs, containment=0.9).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
 def _license_sql() -> str:
@@ -197,7 +197,7 @@ lw AS (SELECT doc_id, regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'
 bs AS (SELECT doc_id, ws, unnest(range(0, greatest(len(ws) - {longest}, 1), {longest})) AS o FROM lw),
 bl AS (SELECT doc_id, list_slice(ws, o + 1, o + {2 * longest}) AS ws FROM bs),
 m AS (SELECT doc_id, label, len(list_filter(s, lambda x: list_contains(ws, x))) / len(s) AS share FROM bl, t WHERE list_has_any(ws, s)),
-tm AS (SELECT doc_id, list(DISTINCT label) AS ls, max(share) AS share FROM m WHERE share >= 0.8 - 1e-9 GROUP BY doc_id)
+tm AS (SELECT doc_id, list(DISTINCT label) AS ls, max(share) AS share FROM m WHERE share >= 0.9 - 1e-9 GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, coalesce(base.n, 0) AS n_base, base.a AS first_word, base.z AS last_word,
        coalesce(array_to_string(list_sort(base.ls), ','), '') AS base_labels,
        array_to_string(list_sort(list_distinct(list_concat(coalesce(base.ls, []), coalesce(tm.ls, [])))), ',') AS labels,

@@ -194,7 +194,7 @@ def _verdicts(window: int):
     return run
 
 
-def _cut(schema: pa.Schema, out_text: str):
+def _cut(names: list[str], out_text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
@@ -224,7 +224,7 @@ def _cut(schema: pa.Schema, out_text: str):
                     out_text: pa.array(kept, pa.binary()).cast(pa.string()),
                     "removed_spans": pa.array(merged, pa.list_(pa.list_(pa.int64()))),
                 }
-                yield pa.RecordBatch.from_arrays([cols[f.name] if f.name in cols else part.column(f.name) for f in schema], schema=schema)
+                yield pa.RecordBatch.from_arrays([cols[c] if c in cols else part.column(c) for c in names], names)
 
     return run
 
@@ -256,8 +256,6 @@ def substring_dedup(docs: DataFrame, window: int = 35, hot: int = 256, kept: str
     fields = [f for f in joined.schema.fields if f.name != "__spans"]
     extra = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField(kept, T.StringType()), T.StructField("removed_spans", T.ArrayType(T.ArrayType(T.LongType())))]
     schema = T.StructType(fields + [f for f in extra if f.name != "text"])
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return joined.mapInArrow(_cut(to_arrow_schema(schema), kept), schema)
+    return joined.mapInArrow(_cut(schema.names, kept), schema)
 
 

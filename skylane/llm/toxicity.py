@@ -48,7 +48,7 @@ WORDS = {
 }
 PATTERNS = ("insult", "strong_insult", "insult_at_target", "negated_insult", "reported_insult", "threat", "negated_threat", "reported_threat", "learned")
 START_WEIGHTS = {"insult": 2.0, "strong_insult": 2.5, "insult_at_target": 3.0, "negated_insult": -0.5, "reported_insult": 0.3, "threat": 3.0, "negated_threat": -0.5, "reported_threat": 0.3, "learned": 1.0}
-BIAS = -3.0
+BIAS = -2.5
 CLAUSE = re.compile(r"[.!?;:\n]+")
 TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*|[\"“”«»]")
 REACH = {"target": 6, "negation": 3, "threat": 6}
@@ -214,13 +214,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> To
     return ToxicityModel(learned, weights, bias)
 
 
-def _score_batches(model: ToxicityModel, schema: pa.Schema):
+def _score_batches(model: ToxicityModel, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = Grammar(model.learned)
         for batch in batches:
             for part in pieces(batch, "text"):
                 s = pa.array(model.scores(part.column("text").to_pylist(), grammar))
-                yield pa.RecordBatch.from_arrays([s if f.name == "score" else part.column(f.name) for f in schema], schema=schema)
+                yield pa.RecordBatch.from_arrays([s if c == "score" else part.column(c) for c in names], names)
 
     return run
 
@@ -230,10 +230,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3
 
     Other columns are passed on; columns of these names are replaced.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     ship(docs.sparkSession)
     src = docs.drop("score", "predicted")
     schema = T.StructType([*src.schema.fields, T.StructField("score", T.DoubleType())])
-    out = src.mapInArrow(_score_batches(model, to_arrow_schema(schema)), schema)
+    out = src.mapInArrow(_score_batches(model, schema.names), schema)
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
