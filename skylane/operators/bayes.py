@@ -83,11 +83,11 @@ class GaussianNB:
 
     @classmethod
     def from_moments(cls, features, per_class: dict, var_smoothing: float) -> "GaussianNB":
-        classes = sorted(per_class)
+        classes = sorted(c for c in per_class if per_class[c].n)
         total = Moments(0, [0.0] * len(features), [0.0] * len(features))
         for c in classes:
             total = total.merge(per_class[c])
-        eps = var_smoothing * max(total.var)
+        eps = var_smoothing * max(total.var) if classes else 0.0
         return cls(
             list(features), classes,
             [per_class[c].n / total.n for c in classes],
@@ -98,6 +98,9 @@ class GaussianNB:
 
     # ---- scoring -------------------------------------------------------
     def joint_log_likelihood(self, k: int) -> Column:
+        """NULL when a smoothed variance is zero (every feature is constant): no density exists."""
+        if min(self.sigma[k]) <= 0:
+            return F.lit(None).cast("double")
         const = math.log(self.prior[k]) - 0.5 * sum(LOG_2PI + math.log(s) for s in self.sigma[k])
         quad = None
         for c, th, s in zip(self.features, self.theta[k], self.sigma[k]):
@@ -107,24 +110,25 @@ class GaussianNB:
 
     def proba(self) -> Column:
         """M4: P(class = last class), computed as a stable logistic of the jll gap."""
+        if len(self.classes) == 1:
+            return F.lit(1.0)
         d = self.joint_log_likelihood(0) - self.joint_log_likelihood(len(self.classes) - 1)
         return stable_sigmoid_of_gap(d)
 
-    def predict(self) -> Column:
-        """M4 ``predict``: argmax of the jll; ties go to the first class."""
-        return F.when(
-            self.joint_log_likelihood(len(self.classes) - 1) > self.joint_log_likelihood(0),
-            F.lit(self.classes[-1]),
-        ).otherwise(F.lit(self.classes[0]))
-
     def transform(self, df: DataFrame, proba: str = "PROBA", pred: str = "PREDICTION") -> DataFrame:
-        """Adds P(last class) and the argmax class; each jll is computed once per row."""
+        """Adds P(last class) and the argmax class; each jll is computed once per row.
+
+        A model of one class gives it to every row with probability 1; without a
+        density (see ``joint_log_likelihood``) both columns are NULL.
+        """
+        if len(self.classes) == 1:
+            return df.withColumns({proba: F.lit(1.0), pred: F.lit(self.classes[0])})
         last = len(self.classes) - 1
         j = df.withColumns({"_jll0": self.joint_log_likelihood(0), "_jll1": self.joint_log_likelihood(last)})
         gap = F.col("_jll0") - F.col("_jll1")
         out = j.withColumns({
             proba: stable_sigmoid_of_gap(gap),
-            pred: F.when(F.col("_jll1") > F.col("_jll0"), F.lit(self.classes[-1])).otherwise(F.lit(self.classes[0])),
+            pred: F.when(F.col("_jll1") > F.col("_jll0"), F.lit(self.classes[-1])).when(gap.isNotNull(), F.lit(self.classes[0])),
         })
         return out.drop("_jll0", "_jll1")
 
@@ -194,16 +198,26 @@ def _fold_param_table(spark: SparkSession, fm: dict, features, k: int, classes,
         total = Moments(0, [0.0] * nf, [0.0] * nf)
         for c in classes:
             total = total.merge(per_class[c])
-        maxvar = float(max(total.var))
+        maxvar = float(max(total.var)) if total.n else 0.0
         row = [f]
+        present = [c for c in classes if per_class[c].n]
         for c in classes:
             pc = per_class[c]
             consts, inv = [], []
-            lp = math.log(pc.n / total.n) if pc.n else -math.inf
             for sm in smoothings:
                 var = [v + sm * maxvar for v in pc.var]
-                consts.append(lp - 0.5 * sum(LOG_2PI + math.log(v) for v in var))
-                inv += [1.0 / v for v in var]
+                if not pc.n:  # a class this training side lacks is never predicted
+                    consts.append(-math.inf)
+                    inv += [0.0] * nf
+                elif len(present) == 1:  # the only class is
+                    consts.append(0.0)
+                    inv += [0.0] * nf
+                elif min(var) <= 0:  # constant features: no density, no prediction
+                    consts.append(None)
+                    inv += [0.0] * nf
+                else:
+                    consts.append(math.log(pc.n / total.n) - 0.5 * sum(LOG_2PI + math.log(v) for v in var))
+                    inv += [1.0 / v for v in var]
             row += [float(x) for x in pc.mean] + [consts, inv]
         rows.append(tuple(row))
     cols = ["FOLD int"]
