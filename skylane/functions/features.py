@@ -103,8 +103,8 @@ def day_of_year(y: str | Column, m: str | Column, d: str | Column, lenient: bool
 
 
 def binarise(c: str | Column, threshold: float = DELAY_THRESHOLD) -> Column:
-    """1 when ``c >= threshold``, else 0 (NULL -> 0)."""
-    return F.coalesce(_c(c) >= F.lit(threshold), F.lit(False)).cast("int")
+    """1 when ``c >= threshold``, else 0 (NULL and NaN -> 0)."""
+    return F.coalesce(F.nanvl(_c(c).cast("double"), F.lit(None).cast("double")) >= F.lit(threshold), F.lit(False)).cast("int")
 
 
 def at_threshold(p: str | Column, threshold: float = 0.5) -> Column:
@@ -117,8 +117,8 @@ def hash_hex(seed: int | str, key: str | Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), _c(key).cast("string")))
 
 
-def hash_int(hexcol: Column, digits: int = 8) -> Column:
-    """Leading ``digits`` hex digits as a non-negative bigint."""
+def hash_int(hexcol: Column, digits: int = 15) -> Column:
+    """Leading ``digits`` hex digits as a non-negative bigint (15 digits: 2^60 values)."""
     return F.conv(F.substring(hexcol, 1, digits), 16, 10).cast("bigint")
 
 

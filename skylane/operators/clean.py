@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import day_of_year as _doy
-from .joins import lookup_join
+from .joins import lookup_join, unique_key_count
 from .stats import exact_quantiles
 
 # Column lists of the flights schema.
@@ -74,9 +73,15 @@ def add_day_of_year(df: DataFrame, lenient: bool = False) -> DataFrame:
     return df.withColumn("DAY_OF_YEAR", _doy("YEAR", "MONTH", "DAY", lenient=lenient)).drop(*DATE_COLUMNS)
 
 
+def missing_as_null(df: DataFrame, col: str) -> Column:
+    """``col`` with NaN as NULL, for statistics over columns read as stored."""
+    t = dict(df.dtypes)[col]
+    return F.nanvl(F.col(col), F.lit(None).cast(t)) if t in ("double", "float") else F.col(col)
+
+
 def quantile_bounds(df: DataFrame, col: str, lower: float = 0.0, upper: float = 1.0) -> tuple:
-    """A2: exact, linearly interpolated quantiles of ``col`` (NULLs skipped)."""
-    return tuple(exact_quantiles(df, col, [lower, upper]))
+    """A2: exact, linearly interpolated quantiles of ``col`` (NULL and NaN skipped)."""
+    return tuple(exact_quantiles(df.select(missing_as_null(df, col).alias(col)), col, [lower, upper]))
 
 
 def quantile_filter(df: DataFrame, col: str, lower: float = 0.0, upper: float = 1.0) -> DataFrame:
@@ -92,8 +97,9 @@ def quantile_filter(df: DataFrame, col: str, lower: float = 0.0, upper: float =
 
 def mean_std(df: DataFrame, col: str, sample: bool = True) -> tuple:
     """A1: mean and standard deviation (sample by default: n-1; NULL on one row)."""
-    sd = F.stddev_samp(col) if sample else F.stddev_pop(col)
-    row = df.select(F.avg(col).alias("m"), sd.alias("s")).first()
+    x = missing_as_null(df, col)
+    sd = F.stddev_samp(x) if sample else F.stddev_pop(x)
+    row = df.select(F.avg(x).alias("m"), sd.alias("s")).first()
     return row["m"], row["s"]
 
 
@@ -112,9 +118,8 @@ def zscore_filter(df: DataFrame, col: str, threshold: float = 3.0, nulls: str =
     score is missing and no row is kept. ``nulls="skip"`` drops only the NULL rows.
     A constant column (std 0) keeps no rows.
     """
-    row = df.select(
-        F.avg(col).alias("m"), F.stddev_pop(col).alias("s"), F.count_if(F.col(col).isNull()).alias("n_null")
-    ).first()
+    x = missing_as_null(df, col)
+    row = df.select(F.avg(x).alias("m"), F.stddev_pop(x).alias("s"), F.count_if(x.isNull()).alias("n_null")).first()
     m, s = row["m"], row["s"]
     if m is None or s is None or s == 0 or (nulls == "propagate" and row["n_null"] > 0):
         return df.where(F.lit(False))
@@ -143,9 +148,10 @@ def airport_coordinates(flights: DataFrame, airports: DataFrame) -> DataFrame:
     """origin/destination code -> latitude/longitude via two left lookups.
 
     Unmatched codes give NULL coordinates; the code columns are dropped. The
-    dimension must have unique keys (checked).
+    dimension must have unique keys (checked once, with its size, in one aggregate).
     """
     dim = airports.select("IATA_CODE", "LATITUDE", "LONGITUDE")
+    size = unique_key_count(dim, ["IATA_CODE"])
     out = flights
     for role in ("ORIGIN", "DESTINATION"):
         d = dim.select(
@@ -153,41 +159,37 @@ def airport_coordinates(flights: DataFrame, airports: DataFrame) -> DataFrame:
             F.col("LATITUDE").alias(f"{role}_AIRPORT_LATITUDE"),
             F.col("LONGITUDE").alias(f"{role}_AIRPORT_LONGITUDE"),
         )
-        out = lookup_join(out, d, [f"{role}_AIRPORT"], unique_keys=True)
+        out = lookup_join(out, d, [f"{role}_AIRPORT"], known_rows=size)
     return out.drop("ORIGIN_AIRPORT", "DESTINATION_AIRPORT")
 
 
 def clean_flights(flights: DataFrame, airports: DataFrame, lower: float = 0.0, upper: float = 1.0,
-                  sigmas: float = 1.0, cache: bool = True) -> DataFrame:
-    """P1 -> P2 -> F1 -> X8 -> J1 -> F2 -> P3 -> F3 -> F6.
+                  sigmas: float = 1.0) -> DataFrame:
+    """P1 -> P2 -> F1 -> X8 -> F2 -> P3 -> F3 -> J1 -> F6.
 
-    The target filters need statistics of the joined rows, so the joined frame
-    is read twice; ``cache`` keeps it (MEMORY_AND_DISK, recomputed from lineage
-    if an executor is lost) instead of running the fact joins twice.
+    The airport lookups are left joins on unique keys and change no row, so the
+    target's statistics come from its narrow projection before them, and the
+    target filter sits below both lookups, where it can reach the scan. Nothing is cached.
     """
     df = drop_sparse_columns(flights)
     df = drop_leakage_columns(df)
     df = completed_flights(df)
     df = add_day_of_year(df)
-    df = airport_coordinates(df, airports)
-    if cache:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     target = F.col("ARRIVAL_DELAY")
     if lower <= 0.0 and upper >= 1.0:
         # Default bounds are min/max: F2 only removes NULL targets, so the F3
         # statistics over the kept rows come from the same single aggregate.
-        row = df.select(
-            F.min(target).alias("lo"), F.max(target).alias("hi"),
-            F.avg(target).alias("m"), F.stddev_samp(target).alias("s"),
-        ).first()
+        x = missing_as_null(df, "ARRIVAL_DELAY")
+        row = df.select(F.min(x).alias("lo"), F.max(x).alias("hi"), F.avg(x).alias("m"), F.stddev_samp(x).alias("s")).first()
         df = drop_useless_columns(df)
         if row["m"] is None or row["s"] is None:
-            return df.where(F.lit(False))
-        lo = max(row["lo"], row["m"] - sigmas * row["s"])
-        hi = min(row["hi"], row["m"] + sigmas * row["s"])
-        df = df.where((target >= F.lit(lo)) & (target <= F.lit(hi)))
+            df = df.where(F.lit(False))
+        else:
+            lo = max(row["lo"], row["m"] - sigmas * row["s"])
+            hi = min(row["hi"], row["m"] + sigmas * row["s"])
+            df = df.where((target >= F.lit(lo)) & (target <= F.lit(hi)))
     else:
         df = quantile_filter(df, "ARRIVAL_DELAY", lower, upper)
         df = drop_useless_columns(df)
         df = sigma_filter(df, "ARRIVAL_DELAY", sigmas)
-    return drop_null_rows(df)
+    return drop_null_rows(airport_coordinates(df, airports))

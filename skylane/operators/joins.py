@@ -1,10 +1,10 @@
 """Lookup joins (J1, J2) that stay safe when a key is hot or a side is large.
 
-A dimension is broadcast only after a bounded ``limit(n + 1).count()`` proves it
-has at most ``max_broadcast_rows`` rows. Otherwise the join is salted: each fact
-row takes one of ``salts`` sub-keys from a hash of its own columns and the
-dimension is replicated once per salt, so a key holding a third of the fact rows
-is spread over ``salts`` tasks. Both paths are exact.
+A dimension is broadcast only after a bounded ``limit(n + 1).count()`` proves that
+it has at most as many rows as fit ``max_broadcast_bytes`` at its schema's row width.
+Otherwise the join is salted: each fact row takes one of ``salts`` sub-keys from a
+hash of its own columns and the dimension is replicated once per salt, so a key
+holding a third of the fact rows is spread over ``salts`` tasks. Both paths are exact.
 """
 
 from __future__ import annotations
@@ -13,8 +13,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+_WIDTH = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4}
+
+
+def row_width(df: DataFrame) -> int:
+    """Bytes of a row in a hash table: 16 of overhead, 8 a number at most, 64 for a string or any other type."""
+    wide = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.DecimalType)
+    return 16 + sum(64 if isinstance(f.dataType, wide) else _WIDTH.get(type(f.dataType), 8) for f in df.schema.fields)
 
 
 def row_count_at_most(df: DataFrame, n: int) -> bool:
@@ -22,20 +30,27 @@ def row_count_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
-def assert_unique_keys(dim: DataFrame, keys: Sequence[str]) -> None:
-    dup = dim.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
-    if dup:
+def unique_key_count(dim: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of ``dim``; an error when a key occurs twice. One aggregate answers both."""
+    row = dim.groupBy(*keys).count().agg(F.count(F.lit(1)).alias("n"), F.max("count").alias("most")).first()
+    if row["most"] and row["most"] > 1:
+        dup = dim.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
         raise ValueError(f"lookup keys {list(keys)} are not unique, e.g. {dup[0].asDict()}")
+    return row["n"]
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left",
-                unique_keys: bool = False, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                salts: int = 32) -> DataFrame:
-    """Equi-join ``fact`` to a lookup table on ``keys`` (same names on both sides)."""
+                unique_keys: bool = False, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+                salts: int = 32, known_rows: int | None = None) -> DataFrame:
+    """Equi-join ``fact`` to a lookup table on ``keys`` (same names on both sides).
+
+    ``known_rows`` is the dimension's size if the caller has counted it already.
+    """
     keys = list(keys)
     if unique_keys:
-        assert_unique_keys(dim, keys)
-    if row_count_at_most(dim, max_broadcast_rows):
+        known_rows = unique_key_count(dim, keys)
+    most = max_broadcast_bytes // row_width(dim)
+    if known_rows <= most if known_rows is not None else row_count_at_most(dim, most):
         return fact.join(F.broadcast(dim), keys, how)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts))
     f = fact.withColumn("_salt", salt)

@@ -22,8 +22,16 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+def read_table(spark: SparkSession, sf_dir: str, name: str, raw: bool = False) -> DataFrame:
+    """A table with NaN as NULL. ``raw`` leaves the columns as stored, so that
+    filters on floating columns reach Parquet; every operator here treats NaN as missing too."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return df if raw else nan_to_null(df)
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A written table read back, NaN as NULL."""
+    return nan_to_null(spark.read.parquet(path))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
