@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
 from .joins import lookup_join
 
 NULL_CATEGORY = "nan"
@@ -61,22 +62,23 @@ def normalize_column(df: DataFrame, col: str, method: str = "standard") -> DataF
 
 # ---------------------------------------------------------------- one-hot ---
 
-def fit_categories(df: DataFrame, cols: Sequence[str], max_categories: int = 1000) -> dict[str, list]:
+def fit_categories(df: DataFrame, cols: Sequence[str], max_categories: int | None = None) -> dict[str, list]:
     """Sorted distinct values per column (NULL last, as its own category).
 
-    All columns are scanned in one job over (column, value) pairs; the cap keeps
-    the collected list bounded and fails loudly instead of exploding the schema.
+    All columns are scanned in one job over (column, value) pairs. Every value becomes
+    a column, so the list is as long as the schema it makes; ``max_categories``
+    turns a longer one into an error.
     """
     cols = list(cols)
     pairs = df.select(
         F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)])).alias("p")
     ).select("p.i", "p.v").distinct()
-    rows = pairs.limit(max_categories * len(cols) + 1).collect()
+    rows = (pairs.limit(max_categories * len(cols) + 1) if max_categories else pairs).collect()
     cats: dict[str, list] = {c: [] for c in cols}
     for r in rows:
         cats[cols[r["i"]]].append(r["v"])
     for c, vals in cats.items():
-        if len(vals) > max_categories:
+        if max_categories and len(vals) > max_categories:
             raise ValueError(f"{c}: more than {max_categories} categories; refusing to one-hot encode")
         vals.sort(key=lambda v: (v is None, v))
     return cats
@@ -98,7 +100,7 @@ def apply_one_hot(df: DataFrame, cats: dict[str, list], drop_source: bool = True
     return out.drop(*cats) if drop_source else out
 
 
-def one_hot_encode(df: DataFrame, col: str, max_categories: int = 1000) -> DataFrame:
+def one_hot_encode(df: DataFrame, col: str, max_categories: int | None = None) -> DataFrame:
     """X11 fitted on ``df`` itself."""
     if col not in df.columns:
         raise ValueError(f"Column '{col}' not found")
@@ -108,10 +110,15 @@ def one_hot_encode(df: DataFrame, col: str, max_categories: int = 1000) -> DataF
 # -------------------------------------------------------------- frequency ---
 
 def fit_frequency(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """A3: (value, share of non-NULL rows) table; partial aggregation absorbs hot keys."""
+    """A3: (value, share of non-NULL rows) table; partial aggregation absorbs hot keys.
+
+    The counts are checkpointed once, at fit time: every later join reads the table
+    instead of aggregating the training rows again.
+    """
     out = out or f"{col}_FREQ"
-    total = df.select(F.count(col)).first()[0]
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    total = counts.agg(F.sum("_n")).first()[0]
     return counts.select(col, (F.col("_n") / F.lit(float(total) if total else None)).alias(out))
 
 

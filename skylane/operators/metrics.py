@@ -14,11 +14,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .ranks import bucketed_prefix_sums
-from .stats import value_bucketizer, values_at_ranks
-
-METRIC_NAMES = ["Accuracy", "Precision", "Recall", "F1-Score", "ROC-AUC"]
-
+from .stats import bucket_count, value_bucketizer, values_at_ranks
 
 def _c(x):
     return F.col(x) if isinstance(x, str) else x
@@ -69,37 +67,46 @@ def score_table(df: DataFrame, label: str, score: str) -> DataFrame:
     )
 
 
-def _bucketed(per: DataFrame, score: str, buckets: int) -> DataFrame:
-    bz = value_bucketizer(per, score, buckets, out="_sb")
+def _bucketed(per: DataFrame, score: str, buckets: int | None, n: int) -> DataFrame:
+    bz = value_bucketizer(per, score, buckets or bucket_count(n), out="_sb")
     return bz.transform(per).withColumn("_sb", F.col("_sb").cast("int"))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 256) -> DataFrame:
-    """Tie-aware ROC-AUC = P(s+ > s-) + 0.5 P(s+ = s-); NULL if a class is absent."""
+def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
+    """Tie-aware ROC-AUC = P(s+ > s-) + 0.5 P(s+ = s-); NULL if a class is absent.
+
+    The number of value buckets follows the number of distinct scores.
+    """
     # read twice (split points, then the sums): one scan and shuffle of the scored rows, not two
     per = score_table(df, label, score).persist(StorageLevel.MEMORY_AND_DISK)
-    b = _bucketed(per, score, buckets)
+    b = _bucketed(per, score, buckets, per.count())
     cum = bucketed_prefix_sums(b, "_sb", [score], ["neg"], inclusive=False)
-    return cum.agg(
+    auc = cum.agg(
         F.try_divide(
             F.sum(F.col("pos") * (F.col("neg_cum") + 0.5 * F.col("neg"))),
             F.sum("pos").cast("double") * F.sum("neg").cast("double"),
         ).alias("roc_auc")
-    )
+    ).first()["roc_auc"]
+    per.unpersist()
+    return df.sparkSession.createDataFrame([(auc,)], "roc_auc double")
 
 
 def roc_curve(df: DataFrame, label: str, score: str, drop_intermediate: bool = True,
-              buckets: int = 256) -> DataFrame:
+              buckets: int | None = None) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score, descending, with the leading
     (inf, 0, 0) point; interior points whose step equals the next step are dropped
     (the second-difference rule)."""
-    per = score_table(df, label, score).persist(StorageLevel.MEMORY_AND_DISK)
-    totals = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.max(score).alias("top")).first()
+    # read by several steps, the last of them when the caller asks: a checkpoint needs no release
+    ensure_checkpoint_dir(df.sparkSession)
+    per = score_table(df, label, score).checkpoint()
+    totals = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.max(score).alias("top"), F.count(F.lit(1)).alias("n")).first()
     P, N = float(totals["P"] or 0), float(totals["N"] or 0)
-    b = _bucketed(per, score, buckets).withColumn("_sb", -F.col("_sb"))
+    b = _bucketed(per, score, buckets, totals["n"]).withColumn("_sb", -F.col("_sb"))
     cum = bucketed_prefix_sums(b, "_sb", [F.col(score).desc()], ["pos", "neg"], inclusive=True)
     pts = cum
     if drop_intermediate:
+        # a point stays unless its step equals the next one's; the next of a bucket's last point
+        # is the first of the bucket after it
         w = Window.partitionBy("_sb").orderBy(F.col(score).desc())
         ranked = cum.withColumn("_i", F.row_number().over(w))
         firsts = ranked.where(F.col("_i") == 1).select("_sb", F.col("pos").alias("_fp"), F.col("neg").alias("_fn"))

@@ -15,7 +15,9 @@ The result equals a global ``row_number`` over the same order.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,12 +65,60 @@ def bucketed_row_number(df: DataFrame, bucket: str, order: Sequence[str | Column
         "_start", F.coalesce(F.sum("_copies").over(inner), F.lit(0)) + F.col("_off")
     )
     if collapse_copies:
-        ranked = ranked.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+        # in two steps, so that no array is longer than a million however many copies there are
+        step = 1_000_000
+        ranked = ranked.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(step))))
+        ranked = ranked.withColumn("_i", F.explode(F.sequence(F.col("_k"), F.least(F.col("_k") + step, F.col("_copies")) - 1))).drop("_k")
     else:
         ranked = ranked.withColumn("_i", F.lit(0))
     return ranked.withColumn(out, F.col("_start") + F.col("_i")).drop("_off", "_start", "_i", "_copies")
 
 
+def hash_cuts(df: DataFrame, h: Column, id_col: str, ranks: dict, group: str | None = None,
+              digits: int = RANK_DIGITS) -> dict:
+    """(hash, id) of the rows at 0-based ``ranks[g]`` in (hash, id) order, for each group g.
+
+    No row is shuffled: buckets of leading hash digits are counted (map-side sums,
+    at most 2^20 rows a group), and only the buckets that hold a wanted rank are ordered,
+    copies merged first. Returns {g: [(hash, id) or None past the end, ...]}; ``ranks``
+    may hold functions of the group's size.
+    """
+    g = F.col(group) if group else F.lit(0)
+    narrow = df.select(g.alias("_g"), h.alias("_h"), F.col(id_col).alias("_id")).withColumn("_b", hash_bucket(F.col("_h"), digits))
+    counts = narrow.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = {r["_g"]: r["n"] for r in counts.groupBy("_g").agg(F.sum("_n").alias("n")).collect()}
+    wanted = {c: [r(n) if callable(r) else r for r in ranks.get(c, ranks.get("*", []))] for c, n in sizes.items()}
+    same = lambda c: F.col("_g").eqNullSafe(F.lit(c))
+    inside = [(c, r) for c, rs in wanted.items() for r in rs if 0 <= r < sizes[c]]
+    found: dict = {}
+    if inside:
+        w = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        at = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+        hit = [same(c) & (F.col("_off") <= r) & (F.lit(r) < F.col("_off") + F.col("_n")) for c, r in inside]
+        buckets = at.where(reduce(lambda a, b: a | b, hit)).collect()  # one bucket a cut at most
+        rows = narrow.where(reduce(lambda a, b: a | b, [same(b["_g"]) & (F.col("_b") == b["_b"]) for b in buckets]))
+        rows = rows.groupBy("_g", "_b", "_h", "_id").agg(F.count(F.lit(1)).alias("_n"))
+        before = F.sum("_n").over(Window.partitionBy("_g", "_b").orderBy("_h", "_id").rowsBetween(Window.unboundedPreceding, -1))
+        rows = rows.withColumn("_lo", F.coalesce(before, F.lit(0)))
+        off = {(b["_g"], b["_b"]): (b["_off"], b["_n"]) for b in buckets}
+        cond = [same(c) & (F.col("_b") == b) & (F.col("_lo") <= r - o) & (F.lit(r - o) < F.col("_lo") + F.col("_n"))
+                for c, r in inside for (gc, b), (o, n) in off.items() if gc == c and o <= r < o + n]
+        for r in rows.where(reduce(lambda a, b: a | b, cond)).collect():
+            o = off[r["_g"], r["_b"]][0]
+            for c, k in inside:
+                if c == r["_g"] and r["_lo"] + o <= k < r["_lo"] + o + r["_n"]:
+                    found[c, k] = (r["_h"], r["_id"])
+    counts.unpersist()
+    return {c: [found.get((c, r)) for r in rs] for c, rs in wanted.items()}
+
+
+def not_before(h: Column, id_col: str, cut: tuple | None) -> Column:
+    """Whether a row stands at or after ``cut`` in (hash, id) order; nothing does when it is None."""
+    if cut is None:
+        return F.lit(False)
+    return (h > F.lit(cut[0])) | ((h == F.lit(cut[0])) & (F.col(id_col) >= F.lit(cut[1])))
+
+
 def bucketed_prefix_sums(df: DataFrame, bucket: str, order: Sequence[str | Column], values: Sequence[str],
                          groups: Sequence[str] = (), suffix: str = "_cum", inclusive: bool = True) -> DataFrame:
     """Running sums of ``values`` within ``groups`` ordered by (bucket, *order).

@@ -7,11 +7,13 @@ the same text runs in DuckDB.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.features import hash_hex, hash_int
-from .ranks import RANK_DIGITS, bucketed_row_number, hash_bucket
+from .ranks import RANK_DIGITS, bucketed_row_number, hash_bucket, hash_cuts, not_before
 
 ID = "ROW_ID"
 
@@ -20,13 +22,16 @@ def stratified_split(df: DataFrame, label: str, test_size: float = 0.3, seed: in
                      digits: int = RANK_DIGITS, out: str = "IS_TEST") -> DataFrame:
     """M1: per class, rows ordered by md5('<seed>|' || id) (then id); the first
     ``round(test_size * n_class)`` rows are test. Adds 0/1 ``out``.
+
+    Only the cut of each class is looked for; the rows then compare themselves with it,
+    so none is shuffled. Rows with one id stay on one side.
     """
     h = hash_hex(seed, id_col)
-    x = df.withColumn("_h", h).withColumn("_b", hash_bucket(F.col("_h"), digits))
-    r = bucketed_row_number(x, "_b", ["_h", id_col], groups=[label], out="_r", total="_n")
-    return r.withColumn(out, (F.col("_r") < F.round(F.lit(test_size) * F.col("_n"))).cast("int")).drop(
-        "_h", "_b", "_r", "_n"
-    )
+    cuts = hash_cuts(df, h, id_col, {"*": [lambda n: math.floor(test_size * n + 0.5)]}, label, digits)
+    test = F.lit(False)
+    for c, (cut,) in cuts.items():
+        test = F.when(F.col(label).eqNullSafe(F.lit(c)), ~not_before(h, id_col, cut)).otherwise(test)
+    return df.withColumn(out, test.cast("int"))
 
 
 def split_frames(df: DataFrame, label: str, test_size: float = 0.3, seed: int = 42, id_col: str = ID):
@@ -36,11 +41,17 @@ def split_frames(df: DataFrame, label: str, test_size: float = 0.3, seed: int =
 
 
 def kfold(df: DataFrame, k: int = 5, seed: int = 42, id_col: str = ID, digits: int = RANK_DIGITS, out: str = "FOLD") -> DataFrame:
-    """M2: shuffled, unstratified k folds; fold = rank mod k so sizes differ by at most one."""
+    """M2: shuffled, unstratified k folds: contiguous ranges of the hash order whose
+    sizes differ by at most one (ranks from floor(f * n / k) on are in fold f or later).
+
+    The k - 1 cuts are looked for, then every row compares itself with them.
+    """
     h = hash_hex(f"{seed}|fold", id_col)
-    x = df.withColumn("_h", h).withColumn("_b", hash_bucket(F.col("_h"), digits))
-    r = bucketed_row_number(x, "_b", ["_h", id_col], out="_r")
-    return r.withColumn(out, F.pmod(F.col("_r"), F.lit(k)).cast("int")).drop("_h", "_b", "_r")
+    cuts = hash_cuts(df, h, id_col, {"*": [lambda n, f=f: f * n // k for f in range(1, k)]}, None, digits)
+    fold = F.lit(0)
+    for cut in cuts.get(0, []):
+        fold = fold + not_before(h, id_col, cut).cast("int")
+    return df.withColumn(out, fold)
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
@@ -61,38 +72,58 @@ def class_weights(df: DataFrame, label: str, out: str = "WEIGHT") -> DataFrame:
     return df.withColumn(out, expr if expr is not None else F.lit(None).cast("double"))
 
 
+def growth(counts: dict, ratio: float | None = None) -> tuple[object, dict]:
+    """(majority class, {class: rows to add}) for oversampling.
+
+    ``ratio=None`` grows every other class to the majority's size. A ratio is
+    defined for two classes: the minority grows to ``ratio * n_major``.
+    """
+    if len(counts) < 2:
+        raise ValueError("oversampling needs at least two classes")
+    majority = max(counts, key=lambda c: (counts[c], -c))
+    if ratio is not None and len(counts) > 2:
+        raise ValueError("a ratio needs two classes")
+    target = counts[majority] if ratio is None else int(ratio * counts[majority])
+    adds = {}
+    for c in sorted(set(counts) - {majority}):
+        if target < counts[c]:
+            raise ValueError(f"ratio {ratio} asks for fewer minority rows ({target}) than present ({counts[c]})")
+        adds[c] = target - counts[c]
+    return majority, adds
+
+
+def class_seed(seed: int | str, c: object, counts: dict) -> str:
+    """Draws of several classes must not repeat each other; with two classes the seed alone names them."""
+    return f"{seed}" if len(counts) == 2 else f"{seed}|{c}"
+
+
 def random_oversample(df: DataFrame, label: str, seed: int = 42, ratio: float | None = None,
                       id_col: str = ID, digits: int = RANK_DIGITS) -> DataFrame:
-    """Keep every row and add minority copies drawn with replacement.
+    """Keep every row and add copies of the smaller classes drawn with replacement.
 
-    Draw ``j`` (0..m-1) copies minority row number ``hash(seed, j) mod n_min``.
-    ``ratio=None`` balances to the majority count, else to ``ratio * n_major``
-    (an error when already reached). Copies get a new id ``md5(id || '|ros|' || j)``.
+    Draw ``j`` (0..m-1) copies row number ``hash(seed, j) mod n_class`` of its class (60
+    bits of the hash, so every row can be drawn and the modulo is even). Copies get a new
+    id ``md5(id || '|ros|' || j)``. See ``growth`` for the targets and errors.
     """
-    counts = class_counts(df, label)
-    if len(counts) != 2:
-        return df
-    minority = min(counts, key=lambda c: (counts[c], c))
-    majority = max(counts, key=lambda c: (counts[c], -c))
-    n_min, n_maj = counts[minority], counts[majority]
-    target = n_maj if ratio is None else int(ratio * n_maj)
-    if target < n_min:
-        raise ValueError(f"ratio {ratio} asks for fewer minority rows ({target}) than present ({n_min})")
-    m = target - n_min
-    if m == 0:
-        return df
+    counts = class_counts(df.where(F.col(label).isNotNull()), label)
+    _, adds = growth(counts, ratio)
     spark: SparkSession = df.sparkSession
-    mins = df.where(F.col(label) == minority)
-    x = mins.withColumn("_h", hash_hex(seed, id_col)).withColumn("_b", hash_bucket(F.col("_h"), digits))
-    ranked = bucketed_row_number(x, "_b", ["_h", id_col], out="_idx").drop("_h", "_b")
-    draws = spark.range(m).select(
-        F.col("id").alias("_j"),
-        F.pmod(hash_int(hash_hex(f"{seed}|ros", F.col("id"))), F.lit(n_min)).alias("_idx"),
-    )
-    copies = ranked.join(draws, "_idx").withColumn(
-        id_col, F.md5(F.concat(F.col(id_col), F.lit("|ros|"), F.col("_j").cast("string")))
-    ).select(*df.columns)
-    return df.unionByName(copies)
+    out = df
+    for c, m in adds.items():
+        if not m:
+            continue
+        own = class_seed(seed, c, counts)
+        x = df.where(F.col(label) == c).withColumn("_h", hash_hex(seed, id_col)).withColumn("_b", hash_bucket(F.col("_h"), digits))
+        ranked = bucketed_row_number(x, "_b", ["_h", id_col], out="_idx").drop("_h", "_b")
+        draws = spark.range(m).select(
+            F.col("id").alias("_j"),
+            F.pmod(hash_int(hash_hex(f"{own}|ros", F.col("id"))), F.lit(counts[c])).alias("_idx"),
+        )
+        copies = ranked.join(draws, "_idx").withColumn(
+            id_col, F.md5(F.concat(F.col(id_col), F.lit("|ros|"), F.col("_j").cast("string")))
+        )
+        out = out.unionByName(copies.select(*df.columns))
+    return out
 
 
 def semi_by_id(df: DataFrame, ids: DataFrame, id_col: str = ID) -> DataFrame:

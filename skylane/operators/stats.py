@@ -22,6 +22,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def bucket_count(n: int, rows: int = 1_000_000, least: int = 256, most: int = 20_000) -> int:
+    """Value buckets for ``n`` distinct values: ``rows`` a bucket, so a window task does not grow with the table.
+
+    ``most`` bounds the split points that the driver holds; past ``most * rows`` values the buckets grow.
+    """
+    return max(least, min(most, -(-n // rows)))
+
+
 def value_bucketizer(df: DataFrame, col: str, buckets: int = 1000, rel_err: float | None = None,
                      out: str = "_bucket") -> Bucketizer:
     """Equi-depth value buckets (monotone in ``col``) from approximate quantiles."""

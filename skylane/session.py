@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,10 +36,15 @@ def get_spark(app: str = "skylane", cpus: int | str = "*", shuffle_partitions: i
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only invent one when unset (local runs)."""
+    """The cluster's shared ``spark.checkpoint.dir``; an error where a cluster has not set it.
+
+    Only a local session, where driver and executors are one process, gets a folder of its own.
+    """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="skylane-ckpt-")
     sc.setCheckpointDir(path)
     return path
