@@ -78,7 +78,8 @@ def main() -> None:
     try:
         from skylane.operators import trees
 
-        _, q["tree_search_small"] = timed(lambda: trees.tree_search(folded, feat, LABEL, n_candidates=2, max_iter=10)[0].collect())
+        small = {**trees.TREE_GRID, "n_estimators": [10], "max_depth": [5]}  # a cut, stated in the README
+        _, q["tree_search_small"] = timed(lambda: trees.tree_search(folded, feat, LABEL, n_candidates=2, grid=small)[0].collect())
     except ImportError:
         pass
 

@@ -16,6 +16,19 @@ KEEP = [
 GRID = [1e-9, 1e-8, 1e-7, 1e-6, 1e-5, 1e-4, 1e-3, 1e-2, 1e-1]
 
 
+# Fixed values above: stored feature order and smoothing grid.
+
+
+def fold_of(k: int = 5) -> str:
+    """Contiguous ranges of the hash order: ranks from f * n // k on are in fold f or later."""
+    return "(" + " + ".join(f"cast(_fr >= ({f} * _fn) // {k} as integer)" for f in range(1, k)) + ")"
+
+
+def folded_cte(src: str) -> str:
+    return (f"folded AS (SELECT * EXCLUDE (_fr, _fn), {fold_of()} AS FOLD FROM (SELECT *, row_number() OVER "
+            f"(ORDER BY md5('42|fold|' || ROW_ID), ROW_ID) - 1 AS _fr, count(*) OVER () AS _fn FROM {src}))")
+
+
 def R(x: str) -> str:
     return f"(round({x}, 6) + 0.0)"
 
@@ -266,8 +279,8 @@ SQL["class_weights"] = f"""SELECT doc_id, l.quality, {R('w.w')} AS WEIGHT FROM l
   SELECT quality, (SELECT count(*) FROM labels)::double / ((SELECT count(DISTINCT quality) FROM labels) * count(*)) AS w
   FROM labels GROUP BY quality) w ON l.quality = w.quality"""
 SQL["stratified_split"] = L + "SELECT ROW_ID, ARRIVAL_DELAY, IS_TEST FROM splitted"
-SQL["kfold"] = L + """SELECT ROW_ID, cast((row_number() OVER (ORDER BY md5('42|fold|' || ROW_ID), ROW_ID) - 1) % 5 as integer) AS FOLD
-FROM train_raw"""
+SQL["kfold"] = L + f"""SELECT ROW_ID, cast({fold_of()} as integer) AS FOLD
+FROM (SELECT ROW_ID, row_number() OVER (ORDER BY md5('42|fold|' || ROW_ID), ROW_ID) - 1 AS _fr, count(*) OVER () AS _fn FROM train_raw)"""
 SQL["row_semi"] = C + "SELECT ROW_ID, DISTANCE FROM flights WHERE ROW_ID IN (SELECT ROW_ID FROM cleaned)"
 
 # ------------------------------------------------------------ naive Bayes ---
@@ -319,7 +332,7 @@ def _cv_sql(grid) -> str:
         return f"(({const}) - 0.5 * ({quad}))"
 
     return FEAT_FIT.rstrip() + f""",
-folded AS (SELECT *, (row_number() OVER (ORDER BY md5('42|fold|' || ROW_ID), ROW_ID) - 1) % 5 AS FOLD FROM train),
+{folded_cte('train')},
 folds AS (SELECT DISTINCT FOLD AS f FROM folded),
 fm AS (SELECT fo.f, t.ARRIVAL_DELAY AS label, count(*) AS n, {mom} FROM folds fo JOIN folded t ON t.FOLD <> fo.f GROUP BY fo.f, t.ARRIVAL_DELAY),
 fg AS (SELECT fo.f, {overall} AS mv, count(*) AS n_all FROM folds fo JOIN folded t ON t.FOLD <> fo.f GROUP BY fo.f),
@@ -449,7 +462,7 @@ roles AS (SELECT (SELECT y FROM cnt ORDER BY n, y LIMIT 1) AS ymin, (SELECT n FR
                  (SELECT n FROM cnt ORDER BY n DESC, y DESC LIMIT 1) AS n_maj),
 mins AS (SELECT t.*, row_number() OVER (ORDER BY md5('42|' || ROW_ID), ROW_ID) - 1 AS idx
          FROM train t, roles WHERE t.ARRIVAL_DELAY = roles.ymin),
-draws AS (SELECT j, cast(('0x' || substr(md5('42|ros|' || cast(j as varchar)), 1, 8)) as bigint) % roles.n_min AS idx
+draws AS (SELECT j, cast(('0x' || substr(md5('42|ros|' || cast(j as varchar)), 1, 15)) as bigint) % roles.n_min AS idx
           FROM roles, (SELECT unnest(range((SELECT {target} - n_min FROM roles))) AS j)),
 allrows AS (SELECT ROW_ID, ARRIVAL_DELAY, {', '.join(cols)} FROM train
             UNION ALL
@@ -458,8 +471,8 @@ allrows AS (SELECT ROW_ID, ARRIVAL_DELAY, {', '.join(cols)} FROM train
 SELECT ROW_ID, ARRIVAL_DELAY, {sel} FROM allrows"""
 
 
-SQL["random_oversample"] = _ros_sql(["DEPARTURE_DELAY", "DISTANCE_NORMALIZED"], None)
-SQL["random_oversample_ratio"] = _ros_sql(["DEPARTURE_DELAY"], 0.3)
+SQL["random_oversample"] = _ros_sql(KEEP, None)
+SQL["random_oversample_ratio"] = _ros_sql(KEEP, 0.3)
 
 
 # ------------------------------------------------------------ SMOTE k-NN ---
@@ -483,7 +496,7 @@ def _variant_sql(features: list[str], train: str = "ftrain", test: str = "ftest"
         return f"(({const}) - 0.5 * ({quad}))"
 
     return FEAT_ALL.rstrip() + ",\n" + (extra_ctes.strip() + ",\n" if extra_ctes else "") + f"""
-folded AS (SELECT *, (row_number() OVER (ORDER BY md5('42|fold|' || ROW_ID), ROW_ID) - 1) % 5 AS FOLD FROM {train}),
+{folded_cte(train)},
 folds AS (SELECT DISTINCT FOLD AS f FROM folded),
 fm AS (SELECT fo.f, t.ARRIVAL_DELAY AS label, count(*) AS n, {mom} FROM folds fo JOIN folded t ON t.FOLD <> fo.f GROUP BY fo.f, t.ARRIVAL_DELAY),
 fg AS (SELECT fo.f, {overall} AS mv, count(*) AS n_all FROM folds fo JOIN folded t ON t.FOLD <> fo.f GROUP BY fo.f),
@@ -525,7 +538,7 @@ rroles AS (SELECT (SELECT y FROM rcnt ORDER BY n, y LIMIT 1) AS ymin, (SELECT n
                   (SELECT n FROM rcnt ORDER BY n DESC, y DESC LIMIT 1) AS n_maj),
 rmins AS (SELECT t.*, row_number() OVER (ORDER BY md5('42|' || ROW_ID), ROW_ID) - 1 AS idx
           FROM ftrain t, rroles WHERE t.ARRIVAL_DELAY = rroles.ymin),
-rdraws AS (SELECT j, cast(('0x' || substr(md5('42|ros|' || cast(j as varchar)), 1, 8)) as bigint) % rroles.n_min AS idx
+rdraws AS (SELECT j, cast(('0x' || substr(md5('42|ros|' || cast(j as varchar)), 1, 15)) as bigint) % rroles.n_min AS idx
            FROM rroles, (SELECT unnest(range((SELECT n_maj - n_min FROM rroles))) AS j)),
 rtrain AS (SELECT ROW_ID, ARRIVAL_DELAY, {', '.join(ALL_FEATURES)} FROM ftrain
            UNION ALL
@@ -534,6 +547,13 @@ rtrain AS (SELECT ROW_ID, ARRIVAL_DELAY, {', '.join(ALL_FEATURES)} FROM ftrain
 SQL["variant_random_oversample"] = _variant_sql(ALL_FEATURES, train="rtrain", name="random_oversample",
                                                 extra_ctes=_ROS_TRAIN)
 
+_TWO = f"""WITH pairv AS (SELECT * FROM ({SQL['variant_all_features']}) UNION ALL SELECT * FROM ({SQL['variant_random_oversample']}))"""
+SQL["rank_variants"] = _TWO + """
+SELECT *, row_number() OVER (ORDER BY f1 DESC, variant) AS rank FROM pairv"""
+SQL["best_of_variants"] = _TWO + "".join(
+    f""" {'UNION ALL' if k else ''} SELECT * FROM (SELECT '{m}' AS metric, variant AS best_variant, {m} AS value FROM pairv ORDER BY {m} DESC, f1 DESC, variant LIMIT 1)"""
+    for k, m in enumerate(["f1", "roc_auc", "recall", "precision"]))
+
 
 # ------------------------------------------------------- remaining outputs ---
 SQL["csv_roundtrip"] = B + "SELECT ROW_ID, AIRLINE, FLIGHT_NUMBER, DISTANCE, ARRIVAL_DELAY, CANCELLATION_REASON FROM flights"
@@ -546,3 +566,7 @@ SQL["overfit_report"] = NB + f"""SELECT a.metric, a.value AS train, b.value AS t
 FROM {_METRICS} a JOIN {_METRICS} b ON a.metric = b.metric AND a.split = 'train' AND b.split = 'test'"""
 SQL["score_first_rows"] = NB + f"""SELECT ROW_ID, {R('PROBA')} AS PROBA, CASE WHEN PROBA >= 0.5 THEN 1 ELSE 0 END AS PREDICTION
 FROM s_test ORDER BY ROW_ID LIMIT 10"""
+
+SQL["strict_drop"] = B + "SELECT ROW_ID, DISTANCE, ARRIVAL_DELAY FROM flights"
+SQL["feature_label"] = ("SELECT * FROM (VALUES " + ", ".join(f"({k}, '{c}', 'feature')" for k, c in enumerate(KEEP)) + f", ({len(KEEP)}, 'ARRIVAL_DELAY', 'label')) AS t(position, column_name, role)")
+SQL["feature_table_roundtrip"] = FEAT_FIT.rstrip() + f"\nSELECT ROW_ID, ARRIVAL_DELAY, {', '.join(f'{R(c)} AS {c}' for c in KEEP)} FROM train"

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import features as fx
 from ..operators import bayes, clean, encode, metrics, sampling
+from ..operators.trees import TREE_GRID
 from ..sources.tables import airports_view, flights_view, read_table
 from . import features as feats
 from . import training
@@ -72,7 +73,7 @@ def q_completed(spark, sf):
 @query("quantile_filter")
 def q_quantile(spark, sf):
     """F2 on events.value with the 5 % and 95 % interpolated quantiles."""
-    ev = read_table(spark, sf, "events").select("event_id", "value")
+    ev = read_table(spark, sf, "events", raw=True).select("event_id", "value")
     return clean.quantile_filter(ev, "value", 0.05, 0.95)
 
 
@@ -89,13 +90,13 @@ def q_quantile_bounds(spark, sf):
 
 @query("sigma_filter")
 def q_sigma(spark, sf):
-    ev = read_table(spark, sf, "events").select("event_id", "value")
+    ev = read_table(spark, sf, "events", raw=True).select("event_id", "value")
     return clean.sigma_filter(ev, "value", 3.0)
 
 
 @query("zscore_filter")
 def q_zscore(spark, sf):
-    ev = read_table(spark, sf, "events").select("event_id", "value")
+    ev = read_table(spark, sf, "events", raw=True).select("event_id", "value")
     return clean.zscore_filter(ev, "value", 3.0)
 
 
@@ -429,44 +430,57 @@ def q_profile(spark, sf):
 
 # ------------------------------------------------------------------ trees ---
 
+# A cut for the sandbox, stated in the README: the library's default is trees.TREE_GRID.
+SANDBOX_GRID = {**TREE_GRID, "n_estimators": [6, 9, 12], "max_depth": [3, 4]}
+SANDBOX_SCREENING = {"n_estimators": 10, "learning_rate": 0.1, "max_depth": 5}
+
+
 def _tree_run(spark, sf):
     from ..operators import trees
 
-    cache = getattr(spark, "_skylane_tree_cache", {})
-    if sf not in cache:
-        train, test, feat = _nb_inputs(spark, sf)
-        folded = sampling.kfold(train)
-        res, best = trees.tree_search(folded, feat, LABEL, n_candidates=5)
-        cache[sf] = (res, best, test, feat)
-        spark._skylane_tree_cache = cache
-    return cache[sf]
+    train, test, feat = _nb_inputs(spark, sf)
+    res, best = trees.tree_search(sampling.kfold(train), feat, LABEL, n_candidates=5, grid=SANDBOX_GRID)
+    return res, best, train, test, feat
 
 
 @query("tree_search")
 def q_tree_search(spark, sf):
     """Five sampled candidates x five folds, F1 of the delayed class."""
-    res, _, _, _ = _tree_run(spark, sf)
-    return res
+    return _tree_run(spark, sf)[0]
 
 
 @query("tree_importance")
 def q_tree_importance(spark, sf):
-    """M14 + T1 + T2: importances of the best tree model, top 15."""
+    """M14 + T1 + T2 + S7 + S10: importances of the best model, saved, loaded, written as CSV and read back."""
     from ..operators import select, trees
+    from ..sources.tables import read_csv
+    from .scoring import shared_path, write_importance
 
-    _, best, _, feat = _tree_run(spark, sf)
-    return select.rank_by_importance(trees.feature_importance(best, feat, spark), top=15)
+    _, best, _, _, feat = _tree_run(spark, sf)
+    path = shared_path(spark, "trees")
+    trees.save_trees(best, f"{path}/model")
+    model = trees.load_trees(f"{path}/model")
+    table = select.rank_by_importance(trees.feature_importance(model, feat, spark), top=15)
+    write_importance(table, f"{path}/importance")
+    return read_csv(spark, f"{path}/importance", table.schema)
 
 
 @query("tree_metrics")
 def q_tree_metrics(spark, sf):
-    """M8 evaluated on the test split with the exact metrics."""
+    """M8 evaluated on both splits with the exact metrics, their gaps and the test confusion counts."""
     from ..operators import trees
 
-    _, best, test, feat = _tree_run(spark, sf)
-    scored = trees.tree_scores(best, test, feat)
-    rates = metrics.classification_metrics(scored, LABEL, "PREDICTION")
-    return metrics.tidy_metrics(rates, metrics.roc_auc(scored, LABEL, "PROBA"), "test")
+    _, best, train, test, feat = _tree_run(spark, sf)
+    sides = []
+    for name, df in (("train", train), ("test", test)):
+        scored = trees.tree_scores(best, df, feat)
+        rates = metrics.classification_metrics(scored, LABEL, "PREDICTION")
+        sides.append(metrics.tidy_metrics(rates, metrics.roc_auc(scored, LABEL, "PROBA"), name))
+    counts = metrics.confusion_counts(scored, LABEL, "PREDICTION").select(
+        F.lit("test").alias("split"), F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in ("tn", "fp", "fn", "tp")])).alias("m")
+    ).select("split", "m.*")
+    gap = metrics.overfit_report(*sides).select(F.lit("gap").alias("split"), "metric", F.col("diff").alias("value"))
+    return sides[0].unionByName(sides[1]).unionByName(gap).unionByName(counts)
 
 
 # ---------------------------------------------------- scoring and storage ---
@@ -498,28 +512,25 @@ def q_model_roundtrip(spark, sf):
 
 @query("score_batch")
 def q_score_batch(spark, sf):
-    """Stored model + stored feature fit applied to the raw test rows (argmax class)."""
-    from .scoring import score_batch
-
-    lab = training.cleaned_labelled(spark, sf)
-    s = sampling.stratified_split(lab, LABEL)
-    train_raw = s.where(F.col("IS_TEST") == 0).drop("IS_TEST")
-    test_raw = s.where(F.col("IS_TEST") == 1).drop("IS_TEST")
-    fitted = feats.fit_features(train_raw, one_hot=False)
-    model = bayes.fit_gaussian_nb(feats.whitelist(fitted.transform(train_raw)), feats.KEEP_FEATURES, LABEL, 1e-5)
-    out = score_batch(test_raw, model, fitted)
+    """The raw test rows, scored from nothing but the files that ``train_and_save`` wrote."""
+    from .scoring import load_scorer, score_batch, train_and_save
+
+    _, _, path = train_and_save(spark, sf)
+    model, fitted = load_scorer(spark, path)
+    s = sampling.stratified_split(training.cleaned_labelled(spark, sf), LABEL)
+    out = score_batch(s.where(F.col("IS_TEST") == 1).drop("IS_TEST"), model, fitted)
     return out.select(ID, r6("PROBA").alias("PROBA"), "PREDICTION")
 
 
 @query("roundtrip_tables")
 def q_roundtrip(spark, sf):
     """S5/S6 + S4: write the cleaned table as Parquet to the shared folder, read it back."""
-    from ..sources.tables import write_table
+    from ..sources.tables import read_parquet, write_table
     from .scoring import shared_path
 
     path = shared_path(spark, "cleaned")
     write_table(training.cleaned(spark, sf), path)
-    return spark.read.parquet(path)
+    return read_parquet(spark, path)
 
 
 @query("train_end_to_end")
@@ -536,18 +547,15 @@ def q_e2e(spark, sf):
 @query("random_oversample")
 def q_ros(spark, sf):
     """M12 on the training features: minority copies until the classes are equal."""
-    train, _, _ = _nb_inputs(spark, sf)
-    out = sampling.random_oversample(train.select(ID, LABEL, "DEPARTURE_DELAY", "DISTANCE_NORMALIZED"), LABEL)
-    return out.select(ID, LABEL, r6("DEPARTURE_DELAY").alias("DEPARTURE_DELAY"),
-                      r6("DISTANCE_NORMALIZED").alias("DISTANCE_NORMALIZED"))
+    train, _, feat = _nb_inputs(spark, sf)
+    return sampling.random_oversample(train, LABEL).select(ID, LABEL, *[r6(c).alias(c) for c in feat])
 
 
 @query("random_oversample_ratio")
 def q_ros_ratio(spark, sf):
     """M11 + M12: oversample the minority to 0.3 of the majority."""
-    train, _, _ = _nb_inputs(spark, sf)
-    out = sampling.random_oversample(train.select(ID, LABEL, "DEPARTURE_DELAY"), LABEL, ratio=0.3)
-    return out.select(ID, LABEL, r6("DEPARTURE_DELAY").alias("DEPARTURE_DELAY"))
+    train, _, feat = _nb_inputs(spark, sf)
+    return sampling.random_oversample(train, LABEL, ratio=0.3).select(ID, LABEL, *[r6(c).alias(c) for c in feat])
 
 
 @query("smote_neighbors")
@@ -585,7 +593,7 @@ def q_smote_ratio(spark, sf):
 
     train, _, feat = _nb_inputs(spark, sf)
     out = smote.smote(train, feat, LABEL, ratio=0.3)
-    return out.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"))
+    return out.select(ID, LABEL, *[r6(c).alias(c) for c in feat])
 
 
 # -------------------------------------------------------------- comparison ---
@@ -616,28 +624,51 @@ def q_variant_ros(spark, sf):
                     r6("accuracy").alias("accuracy"), r6("roc_auc").alias("roc_auc"))
 
 
+def _two_variants(spark, sf):
+    from .compare import ranked
+
+    return ranked(q_variant_all(spark, sf).unionByName(q_variant_ros(spark, sf)))
+
+
+@query("rank_variants")
+def q_rank_variants(spark, sf):
+    """M15 + T4 on the two variants that SQL can recompute: ranked by test F1."""
+    return _two_variants(spark, sf)
+
+
+@query("best_of_variants")
+def q_best_of(spark, sf):
+    """A17 + T5 on the same two: best by F1, AUC, recall and precision."""
+    from .compare import best_by
+
+    rep = _two_variants(spark, sf).persist()
+    out = None
+    for m in ("f1", "roc_auc", "recall", "precision"):
+        b = best_by(rep, m)
+        out = b if out is None else out.unionByName(b)
+    out = spark.createDataFrame(out.collect(), out.schema)  # four rows
+    rep.unpersist()
+    return out
+
+
 @query("compare_variants")
 def q_compare(spark, sf):
-    """M15 + T4: all six variants ranked by test F1 (timings excluded from the check)."""
+    """M15 + T4 + S9: all six variants ranked by test F1, written to the shared folder and read back."""
     from .compare import compare_variants
+    from .scoring import read_metrics, shared_path
 
-    rep = compare_variants(spark, sf)
-    cache = getattr(spark, "_skylane_compare", {})
-    cache[sf] = rep.persist()
-    spark._skylane_compare = cache
-    return rep.drop("training_time")
+    path = shared_path(spark, "comparison")
+    rep = compare_variants(spark, sf, screening=SANDBOX_SCREENING, out_dir=path)
+    return read_metrics(spark, f"{path}/report", ", ".join(f"{c} {t}" for c, t in rep.dtypes)).drop("training_time")
 
 
 @query("best_by_metric")
 def q_best(spark, sf):
-    """A17 + T5: best variant by test F1 and by AUC."""
-    from .compare import best_by, compare_variants
+    """A17 + T5: best variant by F1, AUC, recall and precision, and the fastest (without its time)."""
+    from .compare import best_of_all, compare_variants
 
-    cache = getattr(spark, "_skylane_compare", {})
-    rep = cache.get(sf) or compare_variants(spark, sf)
-    a = best_by(rep, "f1").withColumn("metric", F.lit("f1")).withColumnRenamed("best_f1", "value")
-    b = best_by(rep, "roc_auc").withColumn("metric", F.lit("roc_auc")).withColumnRenamed("best_roc_auc", "value")
-    return a.unionByName(b)
+    best = best_of_all(compare_variants(spark, sf, screening=SANDBOX_SCREENING))
+    return best.withColumn("value", F.when(F.col("metric") != "training_time", F.col("value")))
 
 
 # ------------------------------------------------------- remaining outputs ---
@@ -656,15 +687,44 @@ def q_csv_roundtrip(spark, sf):
 
 @query("roc_curve_roundtrip")
 def q_roc_roundtrip(spark, sf):
-    """ROC rows written as JSON (the infinite threshold as text) and read back."""
-    from .scoring import shared_path, write_metrics
+    """ROC rows written as JSON (numbers as numbers, the infinite threshold as text) and read back."""
+    from .scoring import read_metrics, shared_path, write_metrics
 
     s = _nb_scored_test(spark, sf).withColumn("PROBA", r6("PROBA"))
     roc = metrics.roc_curve(s, LABEL, "PROBA").select("threshold", r6("fpr").alias("fpr"), r6("tpr").alias("tpr"))
     path = shared_path(spark, "roc-json")
-    write_metrics(spark, roc, path)
-    back = spark.read.schema("threshold string, fpr string, tpr string").json(path)
-    return back.select(*[F.col(c).cast("double").alias(c) for c in ("threshold", "fpr", "tpr")])
+    write_metrics(roc, path)
+    return read_metrics(spark, path, "threshold double, fpr double, tpr double")
+
+
+@query("strict_drop")
+def q_strict_drop(spark, sf):
+    """Named columns are dropped; a missing name is an error, or skipped when not strict."""
+    f = flights_view(spark, sf).select(ID, "DISTANCE", "ARRIVAL_DELAY", "TAIL_NUMBER", "AIRLINE")
+    return clean.drop_columns(clean.drop_columns(f, ["TAIL_NUMBER"]), ["AIRLINE", "NOT_THERE"], strict=False)
+
+
+@query("feature_label")
+def q_feature_label(spark, sf):
+    """P7 + P10: the columns that the split frame offers a model, and its label."""
+    from ..operators import select
+
+    train, _, feat = _nb_inputs(spark, sf)
+    cols, label = feats.features_and_label(select.select_features(train, feat, keep=(ID, LABEL)))
+    rows = [(i, c, "feature") for i, c in enumerate(cols)] + [(len(cols), label, "label")]
+    return spark.createDataFrame(rows, "position int, column_name string, role string")
+
+
+@query("feature_table_roundtrip")
+def q_feature_table(spark, sf):
+    """The training feature table as Parquet in the shared folder, read back."""
+    from ..sources.tables import read_parquet, write_table
+    from .scoring import shared_path
+
+    train, _, feat = _nb_inputs(spark, sf)
+    path = shared_path(spark, "features")
+    write_table(train, path)
+    return read_parquet(spark, path).select(ID, LABEL, *[r6(c).alias(c) for c in feat])
 
 
 @query("label_int8")

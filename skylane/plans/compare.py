@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,10 +18,13 @@ from pyspark.sql import functions as F
 from ..operators import bayes, metrics, sampling, select, smote, trees
 from . import features as feats
 from . import training
+from .scoring import write_metrics
 
 LABEL = feats.LABEL_COL
 ID = feats.ID_COL
 
+# The trees that screen features for variant 2.
+SCREENING = {"n_estimators": 1000, "learning_rate": 0.1, "max_depth": 15}
 # Variant names in run order.
 VARIANTS = [
     "all_features",
@@ -32,29 +36,57 @@ VARIANTS = [
 ]
 
 
-def nb_search_and_evaluate(name: str, train: DataFrame, test: DataFrame, features: Sequence[str],
-                           grid: Sequence[float] = bayes.SMOOTHING_GRID, folds: int = 5,
-                           threshold: float = 0.5) -> DataFrame:
-    """One variant: search the smoothing grid by CV F1, refit, score the test split."""
+@dataclass
+class VariantReport:
+    """One variant's row (parameters, sizes, test and train metrics, gaps, confusion counts) and its ROC points."""
+    row: DataFrame
+    roc: DataFrame
+
+
+RATES = ("f1", "recall", "precision", "accuracy")
+
+
+def nb_variant(name: str, train: DataFrame, test: DataFrame, features: Sequence[str],
+               grid: Sequence[float] = bayes.SMOOTHING_GRID, folds: int = 5, threshold: float = 0.5,
+               started: float | None = None) -> VariantReport:
+    """One variant: search the smoothing grid by CV F1, refit, evaluate both sides."""
     spark = train.sparkSession
-    t0 = time.perf_counter()
-    # the search reads the folds twice (moments, then scoring): rank them once
+    t0 = started or time.perf_counter()
+    # the search reads the folds twice (moments, then scoring)
     folded = sampling.kfold(train, folds).persist(StorageLevel.MEMORY_AND_DISK)
     best = bayes.smoothing_search(folded, list(features), LABEL, grid).where(F.col("rank") == 1).first()
     model = bayes.fit_gaussian_nb(train, list(features), LABEL, float(best["var_smoothing"]))
     search_time = time.perf_counter() - t0
-    te = model.transform(test).withColumn("PREDICTION", (F.col("PROBA") >= threshold).cast("int"))
-    te = te.select(LABEL, "PROBA", "PREDICTION").persist(StorageLevel.MEMORY_AND_DISK)
-    r = metrics.classification_metrics(te, LABEL, "PREDICTION").first()
-    auc = metrics.roc_auc(te, LABEL, "PROBA").first()["roc_auc"]
     folded.unpersist()
-    te.unpersist()
-    return spark.createDataFrame(
-        [(name, float(best["var_smoothing"]), float(best["cv_mean"]), len(features), search_time,
-          float(r["f1"]), float(r["recall"]), float(r["precision"]), float(r["accuracy"]), auc)],
-        "variant string, var_smoothing double, cv_f1 double, n_features int, training_time double, "
-        "f1 double, recall double, precision double, accuracy double, roc_auc double",
-    )
+    got = {}
+    for side, df in (("test", test), ("train", train)):
+        x = model.transform(df).withColumn("PREDICTION", (F.col("PROBA") >= threshold).cast("int"))
+        x = x.select(LABEL, "PROBA", "PREDICTION").persist(StorageLevel.MEMORY_AND_DISK)
+        r = metrics.classification_metrics(x, LABEL, "PREDICTION").first().asDict()
+        r["roc_auc"] = metrics.roc_auc(x, LABEL, "PROBA").first()["roc_auc"]
+        got[side] = r
+        if side == "test":
+            roc = metrics.roc_curve(x, LABEL, "PROBA").checkpoint().withColumn("variant", F.lit(name))
+        x.unpersist()
+    te, tr = got["test"], got["train"]
+    values = {"variant": name, "var_smoothing": float(best["var_smoothing"]), "cv_f1": float(best["cv_mean"]),
+              "n_features": len(features), "training_time": search_time}
+    names = (*RATES, "roc_auc")
+    values |= {m: te[m] for m in names}
+    values |= {f"train_{m}": tr[m] for m in names}
+    values |= {f"gap_{m}": abs(tr[m] - te[m]) if None not in (tr[m], te[m]) else None for m in names}
+    values |= {m: te[m] for m in ("tn", "fp", "fn", "tp", "sensitivity", "specificity")}
+    values["features"] = list(features)
+    kinds = {"variant": "string", "n_features": "int", "features": "array<string>", "tn": "long", "fp": "long", "fn": "long", "tp": "long"}
+    row = spark.createDataFrame([tuple(values.values())], ", ".join(f"{c} {kinds.get(c, 'double')}" for c in values))
+    return VariantReport(row, roc)
+
+
+def nb_search_and_evaluate(name: str, train: DataFrame, test: DataFrame, features: Sequence[str],
+                           grid: Sequence[float] = bayes.SMOOTHING_GRID, folds: int = 5,
+                           threshold: float = 0.5) -> DataFrame:
+    """The row of ``nb_variant``."""
+    return nb_variant(name, train, test, features, grid, folds, threshold).row
 
 
 def _variant_inputs(spark: SparkSession, sf_dir: str):
@@ -62,16 +94,26 @@ def _variant_inputs(spark: SparkSession, sf_dir: str):
     return sfe.train, sfe.test, sfe.features
 
 
+def screening_report(model, test: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The screening trees' own test metrics; its AUC is the one of hard labels."""
+    scored = trees.tree_scores(model, test, features)
+    r = metrics.classification_metrics(scored, LABEL, "PREDICTION")
+    return r.select("accuracy", "precision", "recall", "f1", "hard_label_auc", "tn", "fp", "fn", "tp")
+
+
 def variant_frames(spark: SparkSession, sf_dir: str, names: Sequence[str] = VARIANTS,
-                   tree_iter: int = 10, tree_depth: int = 5) -> dict[str, Callable[[], tuple]]:
-    """Lazily built (train, features) per variant; the test split never changes."""
+                   screening: dict = SCREENING) -> tuple[dict[str, Callable[[], tuple]], DataFrame]:
+    """Lazily built (train, features) per variant; the test split never changes.
+
+    ``screening`` has the parameters of the trees that pick variant 2's features.
+    """
     train, test, cols = _variant_inputs(spark, sf_dir)
 
     def all_features():
         return train, cols
 
     def top15_tree():
-        model = trees.fit_trees(train, cols, LABEL, max_iter=tree_iter, depth=tree_depth)
+        model = trees.fit_trees(train, cols, LABEL, params=screening)
         imp = select.rank_by_importance(trees.feature_importance(model, cols, spark), top=15)
         return train, [r["feature"] for r in imp.orderBy("rank").collect()]
 
@@ -104,21 +146,44 @@ def variant_frames(spark: SparkSession, sf_dir: str, names: Sequence[str] = VARI
     return {n: table[n] for n in names}, test
 
 
-def compare_variants(spark: SparkSession, sf_dir: str, names: Sequence[str] = VARIANTS) -> DataFrame:
-    """M15 + T4: one row per variant, ranked by test F1 (ties by name)."""
-    frames, test = variant_frames(spark, sf_dir, names)
-    rows = None
+def compare_variants(spark: SparkSession, sf_dir: str, names: Sequence[str] = VARIANTS, screening: dict = SCREENING,
+                     out_dir: str | None = None) -> DataFrame:
+    """M15 + T4: one row per variant, ranked by test F1 (ties by name).
+
+    With ``out_dir`` the report and the ROC points of every variant are written as JSON (S9).
+    """
+    frames, test = variant_frames(spark, sf_dir, names, screening)
+    rows, curves = None, None
     for name, build in frames.items():
+        t0 = time.perf_counter()
         tr, cols = build()
-        r = nb_search_and_evaluate(name, tr, test.select(ID, LABEL, *cols), cols)
-        rows = r if rows is None else rows.unionByName(r)
+        r = nb_variant(name, tr, test.select(ID, LABEL, *cols), cols, started=t0)
+        rows = r.row if rows is None else rows.unionByName(r.row)
+        curves = r.roc if curves is None else curves.unionByName(r.roc)
+    report = ranked(rows)
+    if out_dir:
+        write_metrics(report, f"{out_dir}/report")
+        write_metrics(curves, f"{out_dir}/roc")
+    return report
+
+
+def ranked(rows: DataFrame) -> DataFrame:
+    """T4: the variants by test F1, ties by name; a handful of rows."""
     w = Window.orderBy(F.col("f1").desc(), F.col("variant"))
     return rows.withColumn("rank", F.row_number().over(w))
 
 
 def best_by(report: DataFrame, metric: str = "f1", highest: bool = True) -> DataFrame:
-    """The first row by ``metric`` (ties: the earlier rank wins), via max_by/min_by
-    on a (metric, -rank) struct so both engines break ties the same way."""
+    """The first row by ``metric`` (ties: the earlier rank wins), via max_by on a
+    (metric, -rank) struct so both engines break ties the same way. ``highest=False`` is for times."""
     key = F.struct(F.col(metric), -F.col("rank")) if highest else F.struct(-F.col(metric), -F.col("rank"))
-    return report.agg(F.max_by("variant", key).alias("best_variant"), F.max(metric).alias(f"best_{metric}") if highest
-                      else F.min(metric).alias(f"best_{metric}"))
+    value = F.max(metric) if highest else F.min(metric)
+    return report.agg(F.lit(metric).alias("metric"), F.max_by("variant", key).alias("best_variant"), value.alias("value"))
+
+
+def best_of_all(report: DataFrame) -> DataFrame:
+    """Best by F1, AUC, recall and precision, and the fastest."""
+    out = best_by(report, "training_time", highest=False)
+    for m in ("f1", "roc_auc", "recall", "precision"):
+        out = best_by(report, m).unionByName(out)
+    return out

@@ -14,9 +14,10 @@ which reproduces the original behaviour exactly.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import features as fx
 from ..operators import clean, encode
@@ -33,6 +34,7 @@ COLUMNS_DROP = [
     "DISTANCE",
     "SCHEDULED_TIME",
 ]
+# Columns to one-hot encode, to standardise and to frequency-encode.
 ONE_HOT_COLUMNS = ["AIRLINE", "SEASON", "DISTANCE_CATEGORY", "SCHEDULED_DEPARTURE_PERIOD", "SCHEDULED_ARRIVAL_PERIOD"]
 SCALED_COLUMNS = ["DISTANCE", "SCHEDULED_TIME"]
 FREQUENCY_COLUMN = "FLIGHT_NUMBER"
@@ -109,8 +111,23 @@ class FittedFeatures:
         return encode.bools_to_ints(out)
 
 
+    # ---- persistence (S10) --------------------------------------------
+    def save(self, spark: SparkSession, path: str) -> None:
+        """The frequency table as Parquet (it grows with its key), the rest as one JSON row."""
+        self.frequency.write.mode("overwrite").parquet(f"{path}/frequency")
+        rest = {"method": self.scalers.method, "params": self.scalers.params, "categories": self.categories,
+                "one_hot": self.one_hot, "period_from": self.period_from}
+        spark.createDataFrame([(json.dumps(rest),)], "fit string").write.mode("overwrite").json(f"{path}/fit")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FittedFeatures:
+        rest = json.loads(spark.read.schema("fit string").json(f"{path}/fit").first()["fit"])
+        scalers = encode.ScalerParams(rest["method"], {c: tuple(p) for c, p in rest["params"].items()})
+        return cls(scalers, rest["categories"], spark.read.parquet(f"{path}/frequency"), rest["one_hot"], rest["period_from"])
+
+
 def fit_features(train: DataFrame, one_hot: bool = True, period_from: str = "hhmm",
-                 max_categories: int = 1000) -> FittedFeatures:
+                 max_categories: int | None = None) -> FittedFeatures:
     base = scalar_features(train, period_from)
     scalers = encode.fit_scalers(base, SCALED_COLUMNS, "standard")
     cats = encode.fit_categories(base, ONE_HOT_COLUMNS, max_categories) if one_hot else {}

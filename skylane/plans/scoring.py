@@ -11,11 +11,13 @@ import time
 import uuid
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import bayes, metrics, sampling
+from ..operators import bayes, sampling
 from ..session import ensure_checkpoint_dir
+from ..sources.tables import write_table
 from . import features as feats
 from . import training
 
@@ -51,14 +53,24 @@ def score_batch(cleaned_rows: DataFrame, model: bayes.GaussianNB, fitted: feats.
     return out if return_proba else out.drop("PROBA")
 
 
-def write_metrics(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """Metric rows as JSON (an infinite ROC threshold is written as a string)."""
-    out = rows
-    for c, t in rows.dtypes:
-        if t == "double":
-            out = out.withColumn(c, F.when(F.isnan(c) | (F.abs(F.col(c)) == float("inf")), F.col(c).cast("string"))
-                                 .otherwise(F.col(c).cast("string")))
-    out.write.mode("overwrite").json(path)
+def write_metrics(rows: DataFrame, path: str) -> None:
+    """Metric rows as JSON. Numbers stay numbers; an infinite ROC threshold is the text that JSON needs."""
+    rows.write.mode("overwrite").json(path)
+
+
+def read_metrics(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """S8/S9 read back with the declared schema (``Infinity`` becomes a double again)."""
+    return spark.read.schema(schema).json(path)
+
+
+def write_importance(importance: DataFrame, path: str) -> None:
+    """The ranked importance table as CSV."""
+    write_table(importance, path, fmt="csv")
+
+
+def load_scorer(spark: SparkSession, path: str) -> tuple[bayes.GaussianNB, feats.FittedFeatures]:
+    """The model and the feature fit that ``train_and_save`` wrote to ``path``."""
+    return bayes.GaussianNB.load(spark, f"{path}/model"), feats.FittedFeatures.load(spark, f"{path}/features")
 
 
 def train_and_save(spark: SparkSession, sf_dir: str, smoothing: float = bayes.DEFAULT_SMOOTHING,
@@ -66,12 +78,14 @@ def train_and_save(spark: SparkSession, sf_dir: str, smoothing: float = bayes.DE
     """Clean -> label -> split -> features -> CV -> fit -> metrics -> save.
 
     Returns (model, metrics DataFrame, output folder). The metrics frame holds the
-    train/test rows plus cv_mean, cv_std, var_smoothing, threshold and the fit time.
+    train/test rows plus cv_mean, cv_std, var_smoothing and threshold; the folder also
+    has the model and the feature fit (see ``load_scorer``) and the times.
     """
     sfe = training.split_features(spark, sf_dir)
     feat = list(feats.KEEP_FEATURES)
-    folded = sampling.kfold(sfe.train, k=cv_splits)
+    folded = sampling.kfold(sfe.train, k=cv_splits).persist(StorageLevel.MEMORY_AND_DISK)  # read twice below
     cv = bayes.cv_f1(folded, feat, LABEL, [smoothing]).first()
+    folded.unpersist()
     t0 = time.perf_counter()
     model, rows = training.nb_report(sfe.train, sfe.test, feat, smoothing, threshold)
     fit_time = time.perf_counter() - t0
@@ -83,13 +97,9 @@ def train_and_save(spark: SparkSession, sf_dir: str, smoothing: float = bayes.DE
     report = rows.unionByName(extra)
     out_dir = out_dir or shared_path(spark, "nb_model")
     model.save(spark, f"{out_dir}/model")
-    write_metrics(spark, report, f"{out_dir}/metrics")
+    sfe.fitted.save(spark, f"{out_dir}/features")
+    write_metrics(report, f"{out_dir}/metrics")
     meta = {"feature_columns": feat, "var_smoothing": smoothing, "threshold": threshold,
             "training_and_report_time": fit_time, "trained_at": time.time()}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(f"{out_dir}/meta")
     return model, report, out_dir
-
-
-def predicted_share(scored: DataFrame) -> DataFrame:
-    """A18 on scored rows."""
-    return metrics.predicted_share(scored, "PREDICTION")

@@ -38,6 +38,12 @@ class SplitFeatures:
     test: DataFrame
     fitted: feats.FittedFeatures
     features: list = field(default_factory=list)
+    held: list = field(default_factory=list)
+
+    def release(self) -> None:
+        """Let go of what ``split_features`` persisted, once train and test have been used."""
+        for df in self.held:
+            df.unpersist()
 
 
 def split_features(spark: SparkSession, sf_dir: str, test_size: float = 0.3, seed: int = 42,
@@ -49,8 +55,10 @@ def split_features(spark: SparkSession, sf_dir: str, test_size: float = 0.3, see
     """
     lab = feats.label_target(cleaned_df) if cleaned_df is not None else cleaned_labelled(spark, sf_dir)
     s = sampling.stratified_split(lab, LABEL, test_size, seed)
+    held = []
     if persist:
         s = s.persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(s)
     train = s.where(F.col("IS_TEST") == 0).drop("IS_TEST")
     test = s.where(F.col("IS_TEST") == 1).drop("IS_TEST")
     fitted = feats.fit_features(train, one_hot=one_hot)
@@ -65,7 +73,8 @@ def split_features(spark: SparkSession, sf_dir: str, test_size: float = 0.3, see
     if persist:
         tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
         te = te.persist(StorageLevel.MEMORY_AND_DISK)
-    return SplitFeatures(tr, te, fitted, cols)
+        held += [tr, te]
+    return SplitFeatures(tr, te, fitted, cols, held)
 
 
 def nb_report(train: DataFrame, test: DataFrame, features, smoothing: float = bayes.DEFAULT_SMOOTHING,

@@ -14,7 +14,7 @@ def plan(df):
 
 
 def test_filter_pushed_to_parquet(spark):
-    ev = read_table(spark, SF0001, "events").select("event_id", "value")
+    ev = read_table(spark, SF0001, "events", raw=True).select("event_id", "value")
     p = plan(clean.sigma_filter(ev, "value", 3.0))
     assert "PushedFilters: [IsNotNull(value), GreaterThanOrEqual(value" in p
     assert "ReadSchema: struct<event_id:bigint,value:double>" in p
@@ -33,11 +33,30 @@ def test_scoring_has_no_python(spark):
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
-def test_split_has_no_single_partition_window(spark):
+def test_split_and_folds_shuffle_no_rows(spark):
+    """Cuts are literals: the split and the folds add no exchange, window or aggregate to the rows' plan."""
     from skylane.operators import sampling
 
-    lab = training.cleaned_labelled(spark, SF0001)
-    p = plan(sampling.stratified_split(lab, feats.LABEL_COL))
-    # the row-level window is partitioned by (label, hash bucket), never by the label alone
-    assert "SinglePartition" not in p.split("Window [row_number()")[0] if "Window [row_number()" in p else True
-    assert "_b" in p
+    rows = read_table(spark, SF0001, "lineitem").select(F.md5(F.concat("l_orderkey", "l_partkey", "l_linenumber")).alias("ROW_ID"), (F.col("l_quantity") > 25).cast("int").alias("y"), "l_comment" if "l_comment" in read_table(spark, SF0001, "lineitem").columns else "l_tax")
+    for df in (sampling.stratified_split(rows, "y"), sampling.kfold(rows)):
+        p = plan(df)
+        assert "Exchange" not in p and "Window" not in p and "Aggregate" not in p
+
+
+def test_target_filter_sits_below_the_lookups(spark):
+    df = clean.clean_flights(flights_view(spark, SF0001), airports_view(spark, SF0001))
+    p = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryRelation" not in p
+    lines = p.split("\n")
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    lookup = min(depth(x) for x in lines if "Join LeftOuter" in x)
+    # the filter on the computed target stands deeper than the outermost lookup
+    assert any("Filter" in x and "l_discount" in x and depth(x) > lookup for x in lines)
+
+
+def test_rank_windows_expand_no_long_arrays(spark):
+    from skylane.operators.ranks import bucketed_row_number
+
+    df = spark.range(10).select((F.col("id") % 2).cast("int").alias("b")).union(spark.range(5).select(F.lit(0).alias("b")))
+    got = sorted(r["r"] for r in bucketed_row_number(df, "b", [], out="r").collect())
+    assert got == list(range(15))
