@@ -549,7 +549,7 @@ SQL["variant_random_oversample"] = _variant_sql(ALL_FEATURES, train="rtrain", na
 
 _TWO = f"""WITH pairv AS (SELECT * FROM ({SQL['variant_all_features']}) UNION ALL SELECT * FROM ({SQL['variant_random_oversample']}))"""
 SQL["rank_variants"] = _TWO + """
-SELECT *, row_number() OVER (ORDER BY f1 DESC, variant) AS rank FROM pairv"""
+SELECT *, cast(row_number() OVER (ORDER BY f1 DESC, variant) as integer) AS rank FROM pairv"""
 SQL["best_of_variants"] = _TWO + "".join(
     f""" {'UNION ALL' if k else ''} SELECT * FROM (SELECT '{m}' AS metric, variant AS best_variant, {m} AS value FROM pairv ORDER BY {m} DESC, f1 DESC, variant LIMIT 1)"""
     for k, m in enumerate(["f1", "roc_auc", "recall", "precision"]))
@@ -570,3 +570,4 @@ FROM s_test ORDER BY ROW_ID LIMIT 10"""
 SQL["strict_drop"] = B + "SELECT ROW_ID, DISTANCE, ARRIVAL_DELAY FROM flights"
 SQL["feature_label"] = ("SELECT * FROM (VALUES " + ", ".join(f"({k}, '{c}', 'feature')" for k, c in enumerate(KEEP)) + f", ({len(KEEP)}, 'ARRIVAL_DELAY', 'label')) AS t(position, column_name, role)")
 SQL["feature_table_roundtrip"] = FEAT_FIT.rstrip() + f"\nSELECT ROW_ID, ARRIVAL_DELAY, {', '.join(f'{R(c)} AS {c}' for c in KEEP)} FROM train"
+SQL["sql_views"] = B + "SELECT AIRLINE, count(*) AS flights, count(ARRIVAL_DELAY) AS arrived FROM flights JOIN airports ON IATA_CODE = ORIGIN_AIRPORT GROUP BY AIRLINE"

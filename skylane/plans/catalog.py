@@ -697,6 +697,15 @@ def q_roc_roundtrip(spark, sf):
     return read_metrics(spark, path, "threshold double, fpr double, tpr double")
 
 
+@query("sql_views")
+def q_sql_views(spark, sf):
+    """Every table and both derived views by name, asked in SQL."""
+    from ..sources.tables import register_views
+
+    register_views(spark, sf)
+    return spark.sql("SELECT AIRLINE, count(*) AS flights, count(ARRIVAL_DELAY) AS arrived FROM flights JOIN airports ON IATA_CODE = ORIGIN_AIRPORT GROUP BY AIRLINE")
+
+
 @query("strict_drop")
 def q_strict_drop(spark, sf):
     """Named columns are dropped; a missing name is an error, or skipped when not strict."""
