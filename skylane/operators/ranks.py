@@ -15,6 +15,7 @@ The result equals a global ``row_number`` over the same order.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -65,10 +66,7 @@ def bucketed_row_number(df: DataFrame, bucket: str, order: Sequence[str | Column
         "_start", F.coalesce(F.sum("_copies").over(inner), F.lit(0)) + F.col("_off")
     )
     if collapse_copies:
-        # in two steps, so that no array is longer than a million however many copies there are
-        step = 1_000_000
-        ranked = ranked.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(step))))
-        ranked = ranked.withColumn("_i", F.explode(F.sequence(F.col("_k"), F.least(F.col("_k") + step, F.col("_copies")) - 1))).drop("_k")
+        ranked = spell_out(ranked)
     else:
         ranked = ranked.withColumn("_i", F.lit(0))
     return ranked.withColumn(out, F.col("_start") + F.col("_i")).drop("_off", "_start", "_i", "_copies")
@@ -76,12 +74,12 @@ def bucketed_row_number(df: DataFrame, bucket: str, order: Sequence[str | Column
 
 def hash_cuts(df: DataFrame, h: Column, id_col: str, ranks: dict, group: str | None = None,
               digits: int = RANK_DIGITS) -> dict:
-    """(hash, id) of the rows at 0-based ``ranks[g]`` in (hash, id) order, for each group g.
+    """The ``Cut`` at each of the 0-based ``ranks[g]`` in (hash, id) order, for each group g.
 
     No row is shuffled: buckets of leading hash digits are counted (map-side sums,
     at most 2^20 rows a group), and only the buckets that hold a wanted rank are ordered,
-    copies merged first. Returns {g: [(hash, id) or None past the end, ...]}; ``ranks``
-    may hold functions of the group's size.
+    copies merged first. Returns {g: [Cut, ...]}; ``ranks`` may hold functions of the
+    group's size.
     """
     g = F.col(group) if group else F.lit(0)
     narrow = df.select(g.alias("_g"), h.alias("_h"), F.col(id_col).alias("_id")).withColumn("_b", hash_bucket(F.col("_h"), digits))
@@ -107,16 +105,70 @@ def hash_cuts(df: DataFrame, h: Column, id_col: str, ranks: dict, group: str | N
             o = off[r["_g"], r["_b"]][0]
             for c, k in inside:
                 if c == r["_g"] and r["_lo"] + o <= k < r["_lo"] + o + r["_n"]:
-                    found[c, k] = (r["_h"], r["_id"])
+                    found[c, k] = (r["_h"], r["_id"], r["_lo"] + o)
     counts.unpersist()
-    return {c: [found.get((c, r)) for r in rs] for c, rs in wanted.items()}
+    return {c: [Cut(r, *found.get((c, r), (None, None, r))) for r in rs] for c, rs in wanted.items()}
 
 
-def not_before(h: Column, id_col: str, cut: tuple | None) -> Column:
-    """Whether a row stands at or after ``cut`` in (hash, id) order; nothing does when it is None."""
-    if cut is None:
-        return F.lit(False)
-    return (h > F.lit(cut[0])) | ((h == F.lit(cut[0])) & (F.col(id_col) >= F.lit(cut[1])))
+@dataclass(frozen=True)
+class Cut:
+    """A place in (hash, id) order: the row of ``rank`` has this hash and id, whose copies start at
+    rank ``first``. Past the end there is no such row."""
+
+    rank: int
+    hash: str | None
+    id: object
+    first: int
+
+    @property
+    def inside(self) -> bool:
+        """Whether copies of one id stand on both sides."""
+        return self.hash is not None and self.first < self.rank
+
+    def reached(self, h: Column, id_col: str) -> Column:
+        """Whether a row stands at or after the cut (copies of its id do)."""
+        if self.hash is None:
+            return F.lit(False)
+        return (h > F.lit(self.hash)) | ((h == F.lit(self.hash)) & (F.col(id_col) >= F.lit(self.id)))
+
+
+def count_reached(df: DataFrame, h: Column, id_col: str, cuts: dict, group: str | None, out: str) -> DataFrame:
+    """``df`` with ``out``: how many of its group's cuts each row has reached.
+
+    Rows compare themselves with the cuts, which moves none. Only where a cut falls among copies
+    of one id are those copies merged into counts, ranked and spelled out again.
+    """
+    reached = F.lit(0)
+    inside: dict = {}
+    for c, places in cuts.items():
+        own = F.col(group).eqNullSafe(F.lit(c)) if group else F.lit(True)
+        n = F.lit(0)
+        for cut in places:
+            n = n + cut.reached(h, id_col).cast("int")
+            if cut.inside:
+                inside[c, cut.hash, cut.id, cut.first] = own & (h == F.lit(cut.hash)) & (F.col(id_col) == F.lit(cut.id))
+        reached = F.when(own, n).otherwise(reached)
+    if not inside:
+        return df.withColumn(out, reached)
+    torn = F.coalesce(reduce(lambda a, b: a | b, inside.values()), F.lit(False))
+    first, passed = F.lit(0), F.lit(0)
+    for (c, _, _, lo), cond in inside.items():
+        first = F.when(cond, F.lit(lo)).otherwise(first)
+        passed = F.when(cond, sum((F.col("_rank") >= F.lit(x.rank)).cast("int") for x in cuts[c])).otherwise(passed)
+    some = df.where(torn).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    keys = [id_col] + ([group] if group else [])
+    w = Window.partitionBy(*keys).orderBy(*(c for c in df.columns if c not in keys), F.lit(0)).rowsBetween(Window.unboundedPreceding, -1)
+    some = spell_out(some.withColumn("_start", first + F.coalesce(F.sum("_copies").over(w), F.lit(0))))
+    some = some.withColumn("_rank", F.col("_start") + F.col("_i")).withColumn(out, passed)
+    return df.where(~torn).withColumn(out, reached).unionByName(some.select(*df.columns, out))
+
+
+def spell_out(df: DataFrame) -> DataFrame:
+    """One row for each of ``_copies``, numbered ``_i`` from 0; in two steps, so that no array is longer
+    than a million however many copies there are."""
+    step = 1_000_000
+    df = df.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(step))))
+    return df.withColumn("_i", F.explode(F.sequence(F.col("_k"), F.least(F.col("_k") + step, F.col("_copies")) - 1))).drop("_k")
 
 
 def bucketed_prefix_sums(df: DataFrame, bucket: str, order: Sequence[str | Column], values: Sequence[str],

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.features import hash_hex, hash_int
-from .ranks import RANK_DIGITS, bucketed_row_number, hash_bucket, hash_cuts, not_before
+from .ranks import RANK_DIGITS, bucketed_row_number, count_reached, hash_bucket, hash_cuts
 
 ID = "ROW_ID"
 
@@ -24,14 +24,11 @@ def stratified_split(df: DataFrame, label: str, test_size: float = 0.3, seed: in
     ``round(test_size * n_class)`` rows are test. Adds 0/1 ``out``.
 
     Only the cut of each class is looked for; the rows then compare themselves with it,
-    so none is shuffled. Rows with one id stay on one side.
+    so none is shuffled.
     """
     h = hash_hex(seed, id_col)
     cuts = hash_cuts(df, h, id_col, {"*": [lambda n: math.floor(test_size * n + 0.5)]}, label, digits)
-    test = F.lit(False)
-    for c, (cut,) in cuts.items():
-        test = F.when(F.col(label).eqNullSafe(F.lit(c)), ~not_before(h, id_col, cut)).otherwise(test)
-    return df.withColumn(out, test.cast("int"))
+    return count_reached(df, h, id_col, cuts, label, out).withColumn(out, 1 - F.col(out))
 
 
 def split_frames(df: DataFrame, label: str, test_size: float = 0.3, seed: int = 42, id_col: str = ID):
@@ -48,10 +45,7 @@ def kfold(df: DataFrame, k: int = 5, seed: int = 42, id_col: str = ID, digits: i
     """
     h = hash_hex(f"{seed}|fold", id_col)
     cuts = hash_cuts(df, h, id_col, {"*": [lambda n, f=f: f * n // k for f in range(1, k)]}, None, digits)
-    fold = F.lit(0)
-    for cut in cuts.get(0, []):
-        fold = fold + not_before(h, id_col, cut).cast("int")
-    return df.withColumn(out, fold)
+    return count_reached(df, h, id_col, cuts, None, out)
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
