@@ -8,7 +8,8 @@ a count above one route their rows to the byte check, which groups the texts
 themselves. A block is sized from the row count, so a task's share does not grow.
 
 Defined results: null text counts as empty; of rows with one text the smallest
-doc_id stays (null last, then the first row); a repeated row is one more copy.
+doc_id stays (null last); a repeated row (one id, one text) is one more copy, and
+each such row has the same result, so a caller that wants one row drops the rest.
 """
 
 from __future__ import annotations
@@ -113,21 +114,21 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
     Other columns are passed on; columns of these names are replaced.
     """
-    src = docs.drop("keep_id", "group_size", "kept", "text_sha256").withColumn("__row", F.monotonically_increasing_id())
+    src = docs.drop("keep_id", "group_size", "kept", "text_sha256")
     src = src.withColumns({"__fp": F.xxhash64(normalised(F.col("text")))})
     repeats = repeated_fingerprints(src.select("__fp"), docs.count()).select(F.col("fp").alias("__fp"))
     routed = src.join(repeats, "__fp")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row")))
-    groups = routed.groupBy("__fp", normalised(F.col("text")).alias("__norm")).agg(first.alias("keep"), F.count("*").alias("size"))
-    # texts that share a fingerprint by accident stand side by side, told apart by their digest
-    groups = groups.select("__fp", F.struct(F.sha2("__norm", 256).alias("sha"), "keep", "size").alias("g")).groupBy("__fp").agg(F.collect_list("g").alias("__groups"))
-    out = src.withColumn("text_sha256", F.sha2(normalised(F.col("text")), 256)).join(groups, "__fp", "left")
-    mine = F.filter("__groups", lambda g: g["sha"] == F.col("text_sha256"))[0]
-    out = out.withColumn("__mine", mine)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id")))
+    # grouped by the bytes alone, so that copies are summed up where they are before they meet
+    groups = routed.groupBy(normalised(F.col("text")).alias("__norm")).agg(F.min("__fp").alias("__fp"), first.alias("keep"), F.count("*").alias("size"))
+    # joined on the digest too, so that texts which share a fingerprint by accident stay apart, and both sides
+    # are dealt out for this join alone: a group of copies is a skewed key that Spark can split
+    groups = groups.select("__fp", F.sha2("__norm", 256).alias("text_sha256"), F.struct("keep", "size").alias("__mine"))
+    out = src.withColumn("text_sha256", F.sha2(normalised(F.col("text")), 256)).join(groups, ["__fp", "text_sha256"], "left")
     return out.withColumns(
         {
             "keep_id": F.when(F.col("__mine").isNull(), F.col("doc_id")).otherwise(F.col("__mine.keep.id")),
             "group_size": F.coalesce("__mine.size", F.lit(1).cast("long")),
-            "kept": F.coalesce(F.col("__mine.keep.row") == F.col("__row"), F.lit(True)),
+            "kept": F.col("__mine").isNull() | F.col("__mine.keep.id").eqNullSafe(F.col("doc_id")),
         }
-    ).drop("__mine", "__groups", "__fp", "__row")
+    ).drop("__mine", "__fp")
