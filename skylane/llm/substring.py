@@ -18,7 +18,8 @@ meets only the text that can match it.
 
 An anchor with over ``hot`` runs (a passage that many documents share, with
 different text around it) would make one large shard. Its windows are routed one
-by one under their own hash instead, summed up before they move.
+by one under their own hash instead, summed up where they are; one that stays alone
+after the sums goes no further.
 
 Defined results: null text counts as empty; a text under ``window`` words loses
 nothing; identical rows are each other's copies; other columns are passed on.
@@ -110,33 +111,34 @@ def _segments(window: int):
                 calm = [{a["anchor"] for a in x or () if not a["hot"]} for x in listed]
                 hot = [{a["anchor"] for a in x or () if a["hot"]} for x in listed]
                 whole = gram_hashes(r.hashes, window).view(np.int64) if len(r.first) else None
-                doc, key, start, text = [], [], [], []
+                doc, key, start, text, lone = [], [], [], [], []
 
-                def put(d: int, k: int, a: int, b: int) -> None:
+                def put(d: int, k: int, a: int, b: int, alone: bool) -> None:
                     doc.append(d)
                     key.append(k)
                     start.append(a - w.first[d])
                     text.append(w.text(a, b))
+                    lone.append(alone)
 
                 for d, v, a, z in zip(r.doc.tolist(), r.value.view(np.int64).tolist(), r.first.tolist(), r.last.tolist()):
                     if v in calm[d]:
-                        put(d, v, a, z + window)
+                        put(d, v, a, z + window, False)
                     elif v in hot[d]:
                         for k in range(a, z + 1):
-                            put(d, int(whole[k]), k, k + window)
+                            put(d, int(whole[k]), k, k + window, True)
                     if len(text) >= 20_000:
-                        yield _segment_batch(part, doc, key, start, text)
-                        doc, key, start, text = [], [], [], []
-                yield _segment_batch(part, doc, key, start, text)
+                        yield _segment_batch(part, doc, key, start, text, lone)
+                        doc, key, start, text, lone = [], [], [], [], []
+                yield _segment_batch(part, doc, key, start, text, lone)
 
     return run
 
 
-def _segment_batch(part: pa.RecordBatch, doc: list, key: list, start: list, text: list) -> pa.RecordBatch:
+def _segment_batch(part: pa.RecordBatch, doc: list, key: list, start: list, text: list, lone: list) -> pa.RecordBatch:
     take = pa.array(doc, pa.int64())
     return pa.RecordBatch.from_arrays(
-        [part.column("__id").take(take), part.column("__tx").take(take), pa.array(key, pa.int64()), pa.array(np.array(start, np.int64)), pa.array(text, pa.binary()).cast(pa.string())],
-        ["__id", "__tx", "shard", "start", "segment"],
+        [part.column("__id").take(take), part.column("__tx").take(take), pa.array(key, pa.int64()), pa.array(np.array(start, np.int64)), pa.array(text, pa.binary()).cast(pa.string()), pa.array(lone, pa.bool_())],
+        ["__id", "__tx", "shard", "start", "segment", "lone"],
     )
 
 
@@ -235,9 +237,9 @@ def repeated_spans(docs: DataFrame, window: int = 35, hot: int = 256) -> DataFra
     anchors = docs.select("__id", "__tx", "text").mapInArrow(_anchors(window), "__id long, __tx long, anchor long, times long")
     counts = anchors.groupBy("anchor").agg(F.sum("times").alias("n"), F.count("*").alias("runs")).filter("n > 1").select("anchor", (F.col("runs") > hot).alias("hot"))
     listed = anchors.select("__id", "__tx", "anchor").join(counts, "anchor").groupBy("__id", "__tx").agg(F.collect_set(F.struct("anchor", "hot")).alias("__anchors"))
-    runs = docs.join(listed, ["__id", "__tx"]).mapInArrow(_segments(window), "__id long, __tx long, shard long, start long, segment string")
+    runs = docs.join(listed, ["__id", "__tx"]).mapInArrow(_segments(window), "__id long, __tx long, shard long, start long, segment string, lone boolean")
     runs = runs.withColumn("segment_id", F.xxhash64("segment"))
-    distinct = runs.groupBy("shard", "segment_id", "segment").agg(F.count("*").alias("copies"))
+    distinct = runs.groupBy("shard", "segment_id", "segment", "lone").agg(F.count("*").alias("copies")).filter("not lone or copies > 1").drop("lone")
     verdicts = distinct.repartition("shard").sortWithinPartitions("shard").mapInArrow(_verdicts(window), "shard long, segment_id long, spans array<array<long>>")
     found = runs.select("__id", "__tx", "shard", "segment_id", "start").join(verdicts, ["shard", "segment_id"])
     moved = F.transform("spans", lambda s: F.transform(s, lambda x: x + F.col("start")))
