@@ -17,10 +17,12 @@ same lines; other columns are passed on.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylane.llm.common import WHITE, keyed
+from skylane.llm.common import WHITE, Stash, keyed
 
 LEAD = 3
 MASK = "<*>"
@@ -28,8 +30,14 @@ _FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*"
 
 
 def masked(line: Column) -> Column:
-    """The words of a line joined by one space, words with a digit as variable fields."""
-    return F.trim(F.regexp_replace(F.regexp_replace(line, _FIELD, MASK), WHITE, " "))
+    """The words of a line joined by one space, words with a digit as variable fields.
+
+    Patterns run only where something is to be replaced.
+    """
+    line = F.when(F.rlike(line, F.lit("[0-9]")), F.regexp_replace(line, _FIELD, MASK)).otherwise(line)
+    odd = reduce(lambda a, b: a | b, [F.contains(line, F.lit(x)) for x in ("\t", "\x0b", "\x0c", "\r", "  ")])
+    odd = odd | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
+    return F.when(odd, F.trim(F.regexp_replace(line, WHITE, " "))).otherwise(line)
 
 
 def _lines(text: Column) -> Column:
@@ -38,9 +46,8 @@ def _lines(text: Column) -> Column:
 
 def _leaves(lines: DataFrame) -> DataFrame:
     """``lines`` (line: masked) with path and hash."""
-    words = F.split("line", " ", LEAD + 1)
-    count = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit("")))
-    path = F.xxhash64(count, *(F.coalesce(F.get(words, F.lit(i)), F.lit("")) for i in range(LEAD)))
+    spaces = F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(" "), F.lit("")))
+    path = F.xxhash64(spaces, F.substring_index("line", " ", LEAD))
     return lines.filter("line <> ''").select("*", path.alias("path"), F.xxhash64("line").alias("hash"))
 
 
@@ -48,12 +55,16 @@ def recurring_lines(src: DataFrame, min_docs: int, fixed: float) -> DataFrame:
     """(__id, __tx, __gone): hashes of the masked lines that ``keyed`` documents lose."""
     key = ["__id", "__tx"]
     each = src.select(*key, F.explode(F.transform(_lines(F.col("text")), masked)).alias("line"))
-    pairs = _leaves(each).select(*key, "path", "hash").distinct()
+    # one line of each document once; written, as five steps below read these few numbers a line
+    pairs = Stash(src.sparkSession).write(_leaves(each).select(*key, "path", "hash").distinct())
     counted = pairs.groupBy("path", "hash").agg(F.count("*").alias("docs"))
     leaves = counted.groupBy("path").agg(F.sum("docs").alias("total")).filter(F.col("total") >= min_docs).select("path")
     wanted = pairs.join(leaves, "path").groupBy(*key).agg(F.collect_set("hash").alias("__wanted"))
-    spelled = src.join(wanted, key).select("__wanted", F.explode(F.transform(_lines(F.col("text")), masked)).alias("line"))
-    spelled = _leaves(spelled).filter(F.array_contains("__wanted", F.col("hash"))).select("path", "hash", "line")
+    # reads every column, so that this join and the last one share one exchange of the texts
+    every = F.hash(*src.columns)
+    spelled = src.join(wanted, key).select("__wanted", every.alias("__every"), F.explode(F.transform(_lines(F.col("text")), masked)).alias("line"))
+    wants = F.array_contains("__wanted", F.when(F.col("__every") >= -(1 << 31), F.col("hash")))
+    spelled = _leaves(spelled).filter(wants).select("path", "hash", "line")
     distinct = spelled.groupBy("path", "hash").agg(F.min("line").alias("line")).join(counted, ["path", "hash"])
     words = distinct.select("path", "hash", "docs", F.posexplode(F.split("line", " ")).alias("at", "word"))
     fix = words.filter(F.col("word") != MASK).groupBy("path", "at", "word").agg(F.sum("docs").alias("n")).filter(F.col("n") >= min_docs).select("path", "at", "word", F.lit(True).alias("fix"))
