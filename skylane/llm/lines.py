@@ -34,10 +34,11 @@ def masked(line: Column) -> Column:
 
     Patterns run only where something is to be replaced.
     """
-    line = F.when(F.rlike(line, F.lit("[0-9]")), F.regexp_replace(line, _FIELD, MASK)).otherwise(line)
+    # masking leaves white space alone, so the line as it stands shows whether there is any to replace
     odd = reduce(lambda a, b: a | b, [F.contains(line, F.lit(x)) for x in ("\t", "\x0b", "\x0c", "\r", "  ")])
     odd = odd | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
-    return F.when(odd, F.trim(F.regexp_replace(line, WHITE, " "))).otherwise(line)
+    fields = F.when(F.rlike(line, F.lit("[0-9]")), F.regexp_replace(line, _FIELD, MASK)).otherwise(line)
+    return F.when(odd, F.trim(F.regexp_replace(fields, WHITE, " "))).otherwise(fields)
 
 
 def _lines(text: Column) -> Column:
@@ -54,7 +55,7 @@ def _leaves(lines: DataFrame) -> DataFrame:
 def recurring_lines(src: DataFrame, min_docs: int, fixed: float) -> DataFrame:
     """(__id, __tx, __gone): hashes of the masked lines that ``keyed`` documents lose."""
     key = ["__id", "__tx"]
-    each = src.select(*key, F.explode(F.transform(_lines(F.col("text")), masked)).alias("line"))
+    each = src.select(*key, F.explode(_lines(F.col("text"))).alias("raw")).select(*key, masked(F.col("raw")).alias("line"))
     # one line of each document once; written, as five steps below read these few numbers a line
     pairs = Stash(src.sparkSession).write(_leaves(each).select(*key, "path", "hash").distinct())
     counted = pairs.groupBy("path", "hash").agg(F.count("*").alias("docs"))
@@ -62,7 +63,8 @@ def recurring_lines(src: DataFrame, min_docs: int, fixed: float) -> DataFrame:
     wanted = pairs.join(leaves, "path").groupBy(*key).agg(F.collect_set("hash").alias("__wanted"))
     # reads every column, so that this join and the last one share one exchange of the texts
     every = F.hash(*src.columns)
-    spelled = src.join(wanted, key).select("__wanted", every.alias("__every"), F.explode(F.transform(_lines(F.col("text")), masked)).alias("line"))
+    spelled = src.join(wanted, key).select("__wanted", every.alias("__every"), F.explode(_lines(F.col("text"))).alias("raw"))
+    spelled = spelled.select("__wanted", "__every", masked(F.col("raw")).alias("line"))
     wants = F.array_contains("__wanted", F.when(F.col("__every") >= -(1 << 31), F.col("hash")))
     spelled = _leaves(spelled).filter(wants).select("path", "hash", "line")
     distinct = spelled.groupBy("path", "hash").agg(F.min("line").alias("line")).join(counted, ["path", "hash"])
