@@ -2,10 +2,13 @@
 
 The tree has a fixed depth: a line's path is its number of words and its first
 ``LEAD`` words, where a word with a digit is a variable field. In a leaf, a word at
-a place is fixed if at least ``min_docs`` (document, line) pairs of the leaf have it
-there, else it is variable too. A line's template is its path with its fixed words. A
-template recurs if ``min_docs`` documents have it; it must fix at least ``fixed`` of
-its words, or unrelated lines of one length would count as one.
+a place is variable too if fewer than ``min_docs`` (document, line) pairs of the leaf
+have it there. How many pairs a field's value has grows with the leaf, so the words left
+are ranked in two ways, by how many pairs have them and by how few such words their
+place has, and a line has one template for each cut in either rank: words below it are
+variable. Words that half of the leaf's pairs have are below none. A line goes if
+``min_docs`` documents have one of its templates; a template must fix at least
+``fixed`` of its words, or unrelated lines of one length would count as one.
 
 Equal lines are counted once, by hashes, before anything is compared; only lines of
 leaves with ``min_docs`` pairs are spelled out. DataFrame functions only.
@@ -26,6 +29,7 @@ from skylane.llm.common import WHITE, Stash, keyed
 
 LEAD = 3
 MASK = "<*>"
+_TOP = 1 << 62
 _FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*"
 
 
@@ -52,6 +56,15 @@ def _leaves(lines: DataFrame) -> DataFrame:
     return lines.filter("line <> ''").select("*", path.alias("path"), F.xxhash64("line").alias("hash"))
 
 
+def _templates(rank: str, fixed: float) -> Column:
+    """Hashes of a line's ``places`` at each cut in ``rank`` that fixes enough words."""
+    ranks = F.col(f"places.{rank}")
+    # the rank of the last word that must be fixed bounds the cuts
+    most = F.get(F.sort_array(ranks, asc=False), (F.ceil(F.size(ranks) * fixed - 1e-9) - 1).cast("int"))
+    cuts = F.filter(F.array_distinct(ranks), lambda r: (r > 0) & (r <= most))
+    return F.transform(cuts, lambda cut: F.xxhash64("path", F.array_join(F.transform("places", lambda x: F.when(x[rank] >= cut, x["word"]).otherwise(MASK)), " ")))
+
+
 def recurring_lines(src: DataFrame, min_docs: int, fixed: float) -> DataFrame:
     """(__id, __tx, __gone): hashes of the masked lines that ``keyed`` documents lose."""
     key = ["__id", "__tx"]
@@ -59,8 +72,8 @@ def recurring_lines(src: DataFrame, min_docs: int, fixed: float) -> DataFrame:
     # one line of each document once; written, as five steps below read these few numbers a line
     pairs = Stash(src.sparkSession).write(_leaves(each).select(*key, "path", "hash").distinct())
     counted = pairs.groupBy("path", "hash").agg(F.count("*").alias("docs"))
-    leaves = counted.groupBy("path").agg(F.sum("docs").alias("total")).filter(F.col("total") >= min_docs).select("path")
-    wanted = pairs.join(leaves, "path").groupBy(*key).agg(F.collect_set("hash").alias("__wanted"))
+    leaves = counted.groupBy("path").agg(F.sum("docs").alias("total")).filter(F.col("total") >= min_docs)
+    wanted = pairs.join(leaves.select("path"), "path").groupBy(*key).agg(F.collect_set("hash").alias("__wanted"))
     # reads every column, so that this join and the last one share one exchange of the texts
     every = F.hash(*src.columns)
     spelled = src.join(wanted, key).select("__wanted", every.alias("__every"), F.explode(_lines(F.col("text"))).alias("raw"))
@@ -69,10 +82,14 @@ def recurring_lines(src: DataFrame, min_docs: int, fixed: float) -> DataFrame:
     spelled = _leaves(spelled).filter(wants).select("path", "hash", "line")
     distinct = spelled.groupBy("path", "hash").agg(F.min("line").alias("line")).join(counted, ["path", "hash"])
     words = distinct.select("path", "hash", "docs", F.posexplode(F.split("line", " ")).alias("at", "word"))
-    fix = words.filter(F.col("word") != MASK).groupBy("path", "at", "word").agg(F.sum("docs").alias("n")).filter(F.col("n") >= min_docs).select("path", "at", "word", F.lit(True).alias("fix"))
-    kind = F.when(F.coalesce("fix", F.lit(False)), F.col("word")).otherwise(MASK)
-    shape = words.join(fix, ["path", "at", "word"], "left").groupBy("path", "hash").agg(F.array_sort(F.collect_list(F.struct("at", kind.alias("word")))).alias("shape"), F.avg(F.coalesce("fix", F.lit(False)).cast("int")).alias("share"))
-    shape = shape.filter(F.col("share") >= fixed).select("path", "hash", F.xxhash64("path", F.array_join("shape.word", " ")).alias("template"))
+    fix = words.filter(F.col("word") != MASK).groupBy("path", "at", "word").agg(F.sum("docs").alias("n")).filter(F.col("n") >= min_docs)
+    many = fix.groupBy("path", "at").agg(F.count("*").alias("many"))
+    half = F.greatest(F.lit(min_docs), F.ceil(F.col("total") / 2))
+    few = F.when(F.col("n") < half, F.lit(_TOP) - F.col("many")).otherwise(_TOP)
+    fix = fix.join(many, ["path", "at"]).join(leaves, "path").select("path", "at", "word", F.least("n", half).alias("n"), few.alias("few"))
+    place = F.struct("at", "word", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "few")))
+    places = words.join(fix, ["path", "at", "word"], "left").groupBy("path", "hash").agg(F.array_sort(F.collect_list(place)).alias("places"))
+    shape = places.select("path", "hash", F.explode(F.array_union(_templates("n", fixed), _templates("few", fixed))).alias("template"))
     placed = pairs.join(shape, ["path", "hash"])
     recurring = placed.select(*key, "template").distinct().groupBy("template").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs).select("template")
     gone = placed.join(recurring, "template")

@@ -310,6 +310,17 @@ def test_line_dedup(spark, odd_docs, no_docs):
     assert line_dedup(no_docs).collect() == []
 
 
+def test_line_dedup_in_a_large_leaf(spark):
+    """Values of a field stay variable when each recurs often; a second template shares the leaf."""
+    names, cities = "Ann Bob Cy Di Ed Flo Gus Hal".split(), "Oslo Rome Paris Bonn Kyiv Lima Cork Riga".split()
+    for copies in (1, 5):
+        visits = [f"Visits to the site from {a} in {b}" for a in names * copies for b in cities]
+        mails = [f"Visits to the page by {a} on {b}" for a in names[:4] for b in cities[:4]]
+        rows = [*enumerate(visits + mails), (-1, "Visits to the old pond were quiet once")]
+        got = {r.doc_id: r.n_dropped for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got.pop(-1) == 0 and len(got) == 64 * copies + 16 and set(got.values()) == {1}
+
+
 def test_grammar_tells_patterns_apart():
     g = Grammar({"zorb": 2.0})
     of = lambda t: [p for c in g.clauses(t) for p, _ in c]
