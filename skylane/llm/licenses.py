@@ -1,9 +1,10 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-Blocks are lines; a line longer than two of the longest templates is cut into
-windows of that size that overlap by half, so a template's words never lie across
-a cut. A block matches if it contains at least ``containment`` of a template's
-distinct words. The join tests few blocks:
+Blocks are windows over the words of the whole text, of two of the longest templates
+and overlapping by half, so a notice wrapped over lines lies in one of them if it spans
+no more words than the longest template, words in between included; lines too long to
+lie in one are cut the same way from their first word on. A block matches if it contains
+at least ``containment`` of a template's distinct words. The join tests few blocks:
 
 - words are ordered by how many documents have them, rarest first;
 - prefix: of a template of t words that needs o, one of its t - o + 1 rarest
@@ -77,11 +78,17 @@ def phrase_places(ws: Column, phrases: dict[str, str]) -> Column:
     return F.concat(*(places(p, label) for p, label in phrases.items()))
 
 
-def block_words(text: Column, longest: int) -> Column:
-    """Arrays of the words of each block of a text."""
-    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), words)
+def line_words(text: Column) -> Column:
+    """An array of words for each line of a text."""
+    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), words)
+
+
+def block_words(lines: Column, longest: int) -> Column:
+    """Arrays of the words of each block of a text, given the words of its lines."""
     cut = lambda ws: F.transform(F.sequence(F.lit(0), F.greatest(F.size(ws) - longest, F.lit(1)) - 1, F.lit(longest)), lambda s: F.slice(ws, s + 1, 2 * longest))
-    return F.flatten(F.transform(lines, cut))
+    # a line of up to longest + 1 words lies in a window over the text
+    long = F.filter(lines, lambda ws: (F.size(ws) > longest + 1) & (F.size(lines) > 1))
+    return F.concat(cut(F.flatten(lines)), F.flatten(F.transform(long, cut)))
 
 
 def template_matches(docs: DataFrame, templates: list[tuple[str, str]], containment: float) -> DataFrame:
@@ -105,7 +112,8 @@ def template_matches(docs: DataFrame, templates: list[tuple[str, str]], containm
     ranked = sorted(vocabulary, key=order.__getitem__)
     # a document without any prefix word has no matching block; the search for one stays on the raw text
     hit = _any([F.contains(F.lower("text"), F.lit(w)) for w in rare])
-    blocks = docs.filter(hit).select("__id", "__tx", F.explode(block_words(F.col("text"), longest)).alias("ws"))
+    lines = docs.filter(hit).select("__id", "__tx", line_words(F.col("text")).alias("lines"))
+    blocks = lines.select("__id", "__tx", F.explode(block_words(F.col("lines"), longest)).alias("ws"))
     # words of the vocabulary only, in the global order
     blocks = blocks.select("__id", "__tx", F.array_intersect(lit(ranked), F.col("ws")).alias("have")).filter(F.size("have") > 0)
     tried = blocks.select("__id", "__tx", "have", F.posexplode("have").alias("pos", "word"))

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from skylane.llm.automaton import SuffixAutomaton
 from skylane.llm.bpe import SpeculativeBPE, bpe_encode
 from skylane.llm.exact import CountingQuotientFilter, exact_dedup
-from skylane.llm.licenses import scan_licenses
+from skylane.llm.licenses import TEMPLATES, scan_licenses
 from skylane.llm.lines import line_dedup
 from skylane.llm.packing import cut, pack_documents, packed_sequences, plan_best_fit, token_pieces
 from skylane.llm.simhash import simhash_dedup, trie_pairs
@@ -293,6 +293,21 @@ def test_licenses(odd_docs, spark):
     assert got[3] == (2, 0, None, None, "", "", 0.0) and got[4][5] == "" and got[5][1] == 0
 
 
+def test_licenses_wrapped_over_lines(spark):
+    """Each template with 1 to 5 words a line behind a comment mark, at several places of a text."""
+    rows, want = [], {}
+    for label, t in TEMPLATES:
+        ws = t.split()
+        for n in (1, 2, 3, 5):
+            for before in (0, 13, 30, 45):
+                notice = "\n".join(" * " + " ".join(ws[i : i + n]) for i in range(0, len(ws), n))
+                want[len(rows)] = label
+                rows.append((len(rows), "code\n" * before + notice + "\n" + "more code\n" * 30))
+    got = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, label in want.items():
+        assert label in got[i].labels.split(",") and got[i].score == 1.0, rows[i]
+
+
 def test_licenses_empty(no_docs):
     assert scan_licenses(no_docs).collect() == []
 
