@@ -8,7 +8,8 @@ are ranked in two ways, by how many pairs have them and by how few such words th
 place has, and a line has one template for each cut in either rank: words below it are
 variable. Words that half of the leaf's pairs have are below none. A line goes if
 ``min_docs`` documents have one of its templates; a template must fix at least
-``fixed`` of its words, or unrelated lines of one length would count as one.
+``fixed`` of its words, or unrelated lines of one length would count as one. A line that
+``min_docs`` documents have word for word goes however many of its words hold a digit.
 
 Equal lines are counted once, by hashes, before anything is compared; only lines of
 leaves with ``min_docs`` pairs are spelled out. DataFrame functions only.
@@ -33,18 +34,27 @@ _TOP = 1 << 62
 _FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*"
 
 
-def masked(line: Column) -> Column:
-    """The words of a line joined by one space, words with a digit as variable fields.
+def spaced(line: Column, fields: Column) -> Column:
+    """``fields``, which has the white space of ``line``, with one space between words.
 
     Patterns run only where something is to be replaced.
     """
     # masking leaves white space alone, so the line as it stands shows whether there is any to replace
     odd = reduce(lambda a, b: a | b, [F.contains(line, F.lit(x)) for x in ("\t", "\x0b", "\x0c", "\r", "  ")])
     odd = odd | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
-    fields = F.when(F.rlike(line, F.lit("[0-9]")), F.regexp_replace(line, _FIELD, MASK)).otherwise(line)
     return F.when(odd, F.trim(F.regexp_replace(fields, WHITE, " "))).otherwise(fields)
 
 
+def masked(line: Column) -> Column:
+    """The words of a line joined by one space, words with a digit as variable fields."""
+    return spaced(line, F.when(F.rlike(line, F.lit("[0-9]")), F.regexp_replace(line, _FIELD, MASK)).otherwise(line))
+
+
+def verbatim(line: Column) -> Column:
+    """Hash of the words of a line as they stand; the literal keeps it apart from hashes of masked lines."""
+    return F.xxhash64(spaced(line, line), F.lit(1))
+
+
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
@@ -66,11 +76,20 @@ def _templates(rank: str, fixed: float) -> Column:
 
 
 def recurring_lines(src: DataFrame, min_docs: int, fixed: float) -> DataFrame:
-    """(__id, __tx, __gone): hashes of the masked lines that ``keyed`` documents lose."""
+    """(__id, __tx, __gone): hashes of the lines, masked or verbatim, that ``keyed`` documents lose."""
     key = ["__id", "__tx"]
-    each = src.select(*key, F.explode(_lines(F.col("text"))).alias("raw")).select(*key, masked(F.col("raw")).alias("line"))
+    each = src.select(*key, F.explode(_lines(F.col("text"))).alias("raw")).select(*key, "raw", masked(F.col("raw")).alias("line"))
+    size = lambda c: F.octet_length(c)
+    n = 1 + size("line") - size(F.replace(F.col("line"), F.lit(" "), F.lit("")))
+    fields = (size("line") - size(F.replace(F.col("line"), F.lit(MASK), F.lit("")))) / len(MASK)
+    # other lines that recur verbatim fix enough words; these have a second hash, without a path
+    dense = n - fields < fixed * n + 1e-9
+    named = F.struct("path", "hash")
+    literal = F.struct(F.lit(None).cast("long").alias("path"), verbatim(F.col("raw")).alias("hash"))
+    hashes = _leaves(each).select(*key, F.explode(F.when(dense, F.array(named, literal)).otherwise(F.array(named))).alias("x"))
     # one line of each document once; written, as five steps below read these few numbers a line
-    pairs = Stash(src.sparkSession).write(_leaves(each).select(*key, "path", "hash").distinct())
+    each_once = Stash(src.sparkSession).write(hashes.select(*key, "x.path", "x.hash").distinct())
+    pairs, dense = each_once.filter("path IS NOT NULL"), each_once.filter("path IS NULL").drop("path")
     counted = pairs.groupBy("path", "hash").agg(F.count("*").alias("docs"))
     leaves = counted.groupBy("path").agg(F.sum("docs").alias("total")).filter(F.col("total") >= min_docs)
     wanted = pairs.join(leaves.select("path"), "path").groupBy(*key).agg(F.collect_set("hash").alias("__wanted"))
@@ -92,7 +111,8 @@ def recurring_lines(src: DataFrame, min_docs: int, fixed: float) -> DataFrame:
     shape = places.select("path", "hash", F.explode(F.array_union(_templates("n", fixed), _templates("few", fixed))).alias("template"))
     placed = pairs.join(shape, ["path", "hash"])
     recurring = placed.select(*key, "template").distinct().groupBy("template").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs).select("template")
-    gone = placed.join(recurring, "template")
+    often = dense.groupBy("hash").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs).select("hash")
+    gone = placed.join(recurring, "template").select(*key, "hash").unionByName(dense.join(often, "hash").select(*key, "hash"))
     return gone.groupBy(*key).agg(F.collect_set("hash").alias("__gone"))
 
 
@@ -100,7 +120,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 3, fixed: float = 0.6, kept: str
     """``docs`` with n_lines, n_dropped and ``kept`` (the kept lines joined by line feeds)."""
     src = keyed(docs.drop("n_lines", "n_dropped", *([kept] if kept != "text" else [])))
     out = src.join(recurring_lines(src, min_docs, fixed), ["__id", "__tx"], "left").drop("__id", "__tx")
-    stay = F.filter(_lines(F.col("text")), lambda x: ~F.array_contains("__gone", F.xxhash64(masked(x))))
+    stay = F.filter(_lines(F.col("text")), lambda x: ~(F.array_contains("__gone", F.xxhash64(masked(x))) | F.array_contains("__gone", verbatim(x))))
     n = F.size(_lines(F.col("text")))
     out = out.withColumn("__kept", F.when(F.col("__gone").isNotNull(), stay))
     return out.withColumns(

@@ -336,6 +336,15 @@ def test_line_dedup_in_a_large_leaf(spark):
         assert got.pop(-1) == 0 and len(got) == 64 * copies + 16 and set(got.values()) == {1}
 
 
+def test_line_dedup_of_verbatim_lines_with_digits(spark):
+    """Lines that are mostly fields go when three documents have them as they stand, not when only the fields match."""
+    same = ["Page 3 of 10", "Copyright 2024", "12:30", " 555  0199\t12 "]
+    rows = [(i, "\n".join([*same, f"Page {i} of 1{i}", f"1{i}:45", "<*> <*>" if i < 2 else "1 2"])) for i in range(4)]
+    got = {r.doc_id: r for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(4):
+        assert got[i].n_dropped == 4 and got[i].kept_text == "\n".join(rows[i][1].split("\n")[4:])
+
+
 def test_grammar_tells_patterns_apart():
     g = Grammar({"zorb": 2.0})
     of = lambda t: [p for c in g.clauses(t) for p, _ in c]
