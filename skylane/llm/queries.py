@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from skylane.llm.bpe import bpe_encode
 from skylane.llm.chat import chat_examples, read_turns, trainable
-from skylane.llm.common import table
+from skylane.llm.common import Stash, table
 from skylane.llm.exact import exact_dedup
+from skylane.llm.langid import fit_language_id, held_out_third, predict_language
 from skylane.llm.licenses import PHRASES, TEMPLATES, _template_words, scan_licenses
 from skylane.llm.lines import line_dedup
 from skylane.llm.packing import pack_documents
+from skylane.llm.search import lexical_search
 from skylane.llm.simhash import simhash_dedup
 from skylane.llm.substring import substring_dedup
 from skylane.llm.toxicity import fit_toxicity, held_out, score_toxicity
+from skylane.llm.trie import encode_turns, prefix_trie, share_heads
 from skylane.llm.vectors import embedding_dedup
 
 QUERIES = {}
@@ -207,3 +210,73 @@ FROM w LEFT JOIN base USING (doc_id) LEFT JOIN tm USING (doc_id)
 
 
 SQL["op8_license_scan"] = _license_sql()
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    stash = Stash(spark)
+    return prefix_trie(share_heads(encode_turns(turns, stash)), stash)
+
+
+def _trie_sql() -> str:
+    # crc32 of the decimal number: each character is xor-ed in, then eight steps of the polynomial
+    step = "CASE WHEN xor(a, x) & 1 = 1 THEN xor(xor(a, x) >> 1, 3988292384) ELSE xor(a, x) >> 1 END"
+    codes = "flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), c -> [CAST(ord(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))".replace("c ->", "lambda c:")
+    crc = f"xor(list_reduce({codes}, lambda a, x: {step}, CAST(4294967295 AS BIGINT)), 4294967295)"
+    return f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS k FROM t),
+c AS (SELECT conv_id, {crc} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+own AS (SELECT conv_id, role, text, k FROM o),
+made AS (SELECT c.conv_id, 0 AS part, own.k, own.role, own.text FROM c JOIN own ON own.conv_id = c.conv_id - c.conv_id % 100 AND own.k <= c.h
+         UNION ALL SELECT c.conv_id, 1, own.k, own.role, own.text FROM c JOIN own ON own.conv_id = c.conv_id AND own.k > c.h),
+r AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, k) AS d, length(text) AS size, sha256(length(role) || ':' || role || text) AS mark FROM made),
+p AS (SELECT conv_id, d, size, string_agg(mark, ',') OVER (PARTITION BY conv_id ORDER BY d) AS path FROM r
+      UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+e AS (SELECT conv_id, max(d) AS d FROM p GROUP BY conv_id),
+n AS (SELECT p.path, p.d AS depth, any_value(p.size) AS size, min(p.conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (WHERE e.d = p.d), '')) AS ends_sha256
+      FROM p JOIN e ON p.conv_id = e.conv_id GROUP BY p.path, p.d),
+u AS (SELECT path, depth, CASE WHEN depth = 0 THEN NULL WHEN depth = 1 THEN '' ELSE left(path, length(path) - 65) END AS above FROM n),
+k AS (SELECT above AS path, count(*) AS n_children FROM u WHERE above IS NOT NULL GROUP BY above),
+s AS (SELECT a.path, count(*) FILTER (WHERE k.path IS NULL) AS n_leaves, sum((b.n_convs - 1) * b.size) AS saved_tokens
+      FROM n a JOIN n b ON a.path = '' OR a.path = b.path OR starts_with(b.path, a.path || ',') LEFT JOIN k ON k.path = b.path GROUP BY a.path)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+       s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN u ON u.path = n.path JOIN s ON s.path = n.path LEFT JOIN n up ON up.path = u.above LEFT JOIN k ON k.path = n.path
+"""
+
+
+SQL["op11_prefix_trie"] = _trie_sql()
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), k=10)
+
+
+SQL["op12_lexical_search"] = r"""
+WITH w AS (SELECT row_number() OVER () AS row, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+d AS (SELECT row, doc_id, CAST(len(ws) AS BIGINT) AS n, ws FROM w WHERE len(ws) > 0),
+c AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS l FROM d),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+v AS (SELECT DISTINCT t FROM q),
+f AS (SELECT row, t, count(*) AS tf FROM (SELECT row, unnest(ws) AS t FROM d) SEMI JOIN v USING (t) GROUP BY row, t),
+g AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM f, c GROUP BY t, n_docs),
+m AS (SELECT row, doc_id, 100 - 90 + (90 * n * n_docs) // l AS m FROM d, c),
+s AS (SELECT q.item_id, f.row, m.doc_id, sum(g.weight * ((1000000000 * f.tf) // (1000 * f.tf + 8 * m.m))) AS score
+      FROM q JOIN f USING (t) JOIN g USING (t) JOIN m USING (row) GROUP BY q.item_id, f.row, m.doc_id),
+r AS (SELECT item_id, doc_id, CAST(score AS BIGINT) AS score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = held_out_third(F.col("doc_id"))
+    model = fit_language_id(docs.filter(~out))
+    return predict_language(docs.select("doc_id", "text"), model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
