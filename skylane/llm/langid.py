@@ -41,8 +41,10 @@ LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 STRETCH = 64
 UNIT = 1 << 16
 SMOOTH = 0.01
-#: Each byte of a piece lifts its weight by this factor, so that products of a long word stay in range.
-LIFT = 8.0
+#: No piece is less likely than this, give or take the division by the sum.
+FLOOR = 1e-10
+#: Each byte of a piece lifts its weight by this factor, so that products of a word stay in range.
+LIFT = 64.0
 
 
 def read_vocabulary(path: str) -> list[bytes]:
@@ -96,9 +98,15 @@ class Lattice:
             edge = self.edges([words[k] for k in at], spans)
             alpha = np.zeros((n + 1, len(at), weights.shape[1]))
             alpha[0] = 1.0
+            scale = np.full(alpha[0].shape, -n * np.log(LIFT))
             for k, (i, j) in enumerate(spans):
                 alpha[j] += alpha[i] * weights[edge[:, k]]
-            out[at] = np.log(alpha[n]) - n * np.log(LIFT)
+                if i == j - 1 and (small := alpha[j] < 1e-100).any():
+                    # the last piece that can end here: all sums that later ones build on are lifted alike
+                    lift = np.where(small, alpha[j], 1.0)
+                    alpha[max(0, j - self.longest) : j + 1] /= lift
+                    scale += np.log(lift)
+            out[at] = np.log(alpha[n]) + scale
         return out
 
     def expected(self, words: list[bytes], counts: np.ndarray, weights: np.ndarray, part: int = 4096) -> np.ndarray:
@@ -115,7 +123,8 @@ class Lattice:
             for k in range(len(spans) - 1, -1, -1):
                 i, j = spans[k]
                 beta[i] += beta[j] * w[:, k]
-            scale = counts[at] * UNIT / alpha[n]
+            # a word beyond the range of doubles teaches nothing
+            scale = np.divide(counts[at] * UNIT, alpha[n], out=np.zeros(len(at)), where=alpha[n] > 0)
             for k, (i, j) in enumerate(spans):
                 np.add.at(out, edge[:, k], np.rint(alpha[i] * w[:, k] * beta[j] * scale).astype(np.int64))
         return out[:-1]
@@ -200,7 +209,8 @@ def fit_language_id(docs: DataFrame, vocabulary: str | None = None, sample: int
             units[r["piece"], r["k"]] = r["units"]
         shared.unpersist()
         units = units / UNIT + SMOOTH
-        p = units / units.sum(axis=0)
+        p = units / units.sum(axis=0) + FLOOR
+        p /= p.sum(axis=0)
     stash.drop(words)
     model.probabilities = p
     return model
