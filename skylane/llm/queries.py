@@ -10,7 +10,7 @@ from skylane.llm.chat import chat_examples, read_turns, trainable
 from skylane.llm.common import Stash, table
 from skylane.llm.exact import exact_dedup
 from skylane.llm.langid import fit_language_id, held_out_third, predict_language
-from skylane.llm.licenses import PHRASES, TEMPLATES, _template_words, scan_licenses
+from skylane.llm.licenses import PHRASES, TEMPLATES, scan_licenses, template_tokens, template_words
 from skylane.llm.lines import line_dedup
 from skylane.llm.packing import pack_documents
 from skylane.llm.search import lexical_search
@@ -180,27 +180,27 @@ FROM p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.m = g.m GROUP BY p.doc_id
 @query
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return scan_licenses(docs, containment=0.9).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return scan_licenses(docs, containment=0.8).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
 def _license_sql() -> str:
-    longest = max(len(_template_words(t)) for _, t in TEMPLATES)
-    rows = ", ".join(f"('{label}', {sorted(set(_template_words(t)))})" for label, t in TEMPLATES)
+    rows = ", ".join(f"({k}, '{label}', {len(template_words(t))}, {sorted(set(template_tokens(t)))})" for k, (label, t) in enumerate(TEMPLATES))
     tests = " OR ".join("(" + " AND ".join(f"w.ws[i + {j + 1}] = '{q}'" for j, q in enumerate(p.split(" "))) + f" AND label = '{label}')" for p, label in PHRASES.items())
     bases = ", ".join(f"('{label}')" for label in PHRASES.values())
     return rf"""
-WITH t(label, s) AS (VALUES {rows}), b(label) AS (VALUES {bases}),
+WITH t(no, label, size, s) AS (VALUES {rows}), b(label) AS (VALUES {bases}),
 low AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
 w AS (SELECT doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM low),
 pl AS (SELECT doc_id, unnest(range(len(ws))) AS i FROM w WHERE list_contains(ws, 'license')),
 places AS (SELECT doc_id, i, label FROM pl JOIN w USING (doc_id), b WHERE {tests}),
 base AS (SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS z, list(DISTINCT label) AS ls FROM places GROUP BY doc_id),
-ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM low),
-lw AS (SELECT doc_id, regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM ln),
-bs AS (SELECT doc_id, ws, unnest(range(0, greatest(len(ws) - {longest}, 1), {longest})) AS o FROM lw),
-bl AS (SELECT doc_id, list_slice(ws, o + 1, o + {2 * longest}) AS ws FROM bs),
-m AS (SELECT doc_id, label, len(list_filter(s, lambda x: list_contains(ws, x))) / len(s) AS share FROM bl, t WHERE list_has_any(ws, s)),
-tm AS (SELECT doc_id, list(DISTINCT label) AS ls, max(share) AS share FROM m WHERE share >= 0.9 - 1e-9 GROUP BY doc_id)
+tt AS (SELECT no, unnest(s) AS pair FROM t),
+pr AS (SELECT doc_id, len(ws) AS n, unnest(range(len(ws) - 1)) AS pos, unnest(list_transform(range(len(ws) - 1), lambda i: ws[i + 1] || ' ' || ws[i + 2])) AS pair FROM w WHERE len(ws) > 1),
+h AS (SELECT pr.doc_id, pr.n, pr.pos, pr.pair, tt.no, t.size FROM pr JOIN tt USING (pair) JOIN t USING (no)),
+bl AS (SELECT doc_id, no, pair, pos // size - back AS k, n, pos, size FROM h, (VALUES (0), (1)) AS o(back)),
+m AS (SELECT doc_id, no, k, count(DISTINCT pair) AS shared FROM bl
+      WHERE k >= 0 AND k * size < greatest(n - size, 1) AND pos + 1 < (k + 2) * size GROUP BY doc_id, no, k),
+tm AS (SELECT doc_id, list(DISTINCT label) AS ls, max(shared / len(s)) AS share FROM m JOIN t USING (no) WHERE shared / len(s) >= 0.8 - 1e-9 GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, coalesce(base.n, 0) AS n_base, base.a AS first_word, base.z AS last_word,
        coalesce(array_to_string(list_sort(base.ls), ','), '') AS base_labels,
        array_to_string(list_sort(list_distinct(list_concat(coalesce(base.ls, []), coalesce(tm.ls, [])))), ',') AS labels,

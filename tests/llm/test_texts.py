@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from skylane.llm.automaton import SuffixAutomaton
 from skylane.llm.bpe import SpeculativeBPE, bpe_encode
 from skylane.llm.exact import CountingQuotientFilter, exact_dedup
-from skylane.llm.licenses import TEMPLATES, scan_licenses
+from skylane.llm.licenses import PHRASES, TEMPLATES, scan_licenses, template_tokens, template_words
 from skylane.llm.lines import line_dedup
 from skylane.llm.packing import cut, pack_documents, packed_sequences, plan_best_fit, token_pieces
 from skylane.llm.simhash import simhash_dedup, trie_pairs
@@ -289,7 +289,7 @@ def test_licenses(odd_docs, spark):
     )
     got = {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, round(r.score, 3)) for r in scan_licenses(more).collect()}
     assert got[1] == (7, 2, 1, 4, "gpl,mit", "gpl,mit", 1.0)
-    assert got[2][1:] == (0, None, None, "", "cc", 1.0)
+    assert got[2][1:] == (0, None, None, "", "cc", 0.8)
     assert got[3] == (2, 0, None, None, "", "", 0.0) and got[4][5] == "" and got[5][1] == 0
 
 
@@ -308,6 +308,39 @@ def test_licenses_wrapped_over_lines(spark):
         assert label in got[i].labels.split(",") and got[i].score == 1.0, rows[i]
 
 
+def test_licenses_need_the_words_in_order(spark):
+    texts = ["He reserved a table and talked about human rights to all", "the license of MIT under the sea was released", "All rights of way are reserved"]
+    got = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [(r.labels, r.score) for r in got] == [("", 0.0)] * 3
+
+
+def test_licenses_against_brute_force(spark):
+    """Templates with changed, dropped and repeated words, in texts that hold internal names as columns."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for _, t in TEMPLATES:
+        for change in (0.02, 0.08, 0.2):
+            ws = [w if rng.random() > change else rng.choice(["", "other", w + " " + w]) for w in t.split()]
+            lead = ["Kind"] * int(rng.integers(0, 60))
+            rows.append((len(rows), " ".join([*lead, *ws, "and", "the", "software", "is", "provided", *ws[:5]]), "r", "h", "b", "l", "t", "w"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string, hits string, block string, places string, rest string, `more` string")
+    got = scan_licenses(df)
+    assert got.columns[:7] == ["doc_id", "row", "hits", "block", "places", "rest", "more"]
+    for r in got.collect():
+        ws = template_words(rows[r.doc_id][1])
+        labels, best = set(), 0.0
+        for label, t in TEMPLATES:
+            size, s = len(template_words(t)), set(template_tokens(t))
+            for o in range(0, max(len(ws) - size, 1), size):
+                share = len(s & {f"{a} {b}" for a, b in zip(ws[o : o + 2 * size], ws[o + 1 : o + 2 * size])}) / len(s)
+                if share >= 0.8 - 1e-9:
+                    labels.add(label)
+                    best = max(best, share)
+        base = {label for p, label in PHRASES.items() if f" {p} " in f" {' '.join(ws)} "}
+        assert (r.labels, r.score) == (",".join(sorted(labels | base)), 1.0 if base else best)
+        assert (r.row, r.hits, r.rest) == ("r", "h", "t") and r.n_words == len(ws)
+
+
 def test_licenses_empty(no_docs):
     assert scan_licenses(no_docs).collect() == []
 
