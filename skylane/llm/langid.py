@@ -69,65 +69,114 @@ def text_words(text: str | None) -> Counter:
 
 
 class Lattice:
-    """All segmentations of words over a vocabulary."""
+    """All segmentations of words over a vocabulary.
+
+    The vocabulary is a trie of bytes. Its steps (node, byte) -> node lie in an open-addressed
+    table, so many words walk it at once; a walk ends where no piece goes on.
+    """
 
     def __init__(self, vocabulary: list[bytes]):
-        self.ids = {p: k for k, p in enumerate(vocabulary)}
         self.size = len(vocabulary)
         self.longest = max(map(len, vocabulary))
-        self.lift = LIFT ** np.array([len(p) for p in vocabulary] + [0], np.float64)
-
-    def spans(self, n: int) -> list[tuple[int, int]]:
-        """The (start, end) that a piece of a word of ``n`` bytes can have, by end."""
-        return [(i, j) for j in range(1, n + 1) for i in range(max(0, j - self.longest), j)]
+        self.lift = LIFT ** np.array([len(p) for p in vocabulary], np.float64)
+        step: dict[int, int] = {}
+        piece = {}
+        for k, p in enumerate(vocabulary):
+            node = 0
+            for b in p:
+                node = step.setdefault(node << 8 | b, len(step) + 1)
+            piece[node] = k
+        self.piece = np.full(len(step) + 1, -1, np.int64)
+        self.piece[list(piece)] = list(piece.values())
+        bits = max(4, (4 * len(step)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        keys, nodes = np.array(list(step), np.uint64), np.array(list(step.values()), np.int64)
+        self.key, self.node = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
+        slot = self._slot(keys)
+        todo = np.arange(len(keys))
+        while len(todo):
+            free = todo[self.key[slot[todo]] < 0]
+            _, first = np.unique(slot[free], return_index=True)
+            at = free[first]
+            self.key[slot[at]], self.node[slot[at]] = keys[at].astype(np.int64), nodes[at]
+            todo = todo[self.key[slot[todo]] != keys[todo].astype(np.int64)]
+            slot[todo] = (slot[todo] + 1) & self.last
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def _step(self, nodes: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The node behind each node and byte; -1 where there is none."""
+        want = nodes << 8 | byte
+        slot = self._slot(want.astype(np.uint64))
+        out = np.full(len(want), -1, np.int64)
+        todo = np.arange(len(want))
+        while len(todo):
+            there = self.key[slot[todo]]
+            hit = there == want[todo]
+            out[todo[hit]] = self.node[slot[todo[hit]]]
+            todo = todo[~hit & (there >= 0)]
+            slot[todo] = (slot[todo] + 1) & self.last
+        return out
 
-    def edges(self, words: list[bytes], spans: list[tuple[int, int]]) -> np.ndarray:
-        """Piece of each word (all of one length) and span; ``size`` where there is none."""
-        get, none = self.ids.get, self.size
-        return np.array([[get(w[i:j], none) for i, j in spans] for w in words], np.int32).reshape(len(words), len(spans))
+    def edges(self, words: list[bytes], n: int) -> list[list[tuple[int, np.ndarray, np.ndarray]]]:
+        """For each end 0..n of words of ``n`` bytes: (start, rows, pieces) where pieces end there."""
+        byte = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), n).astype(np.int64)
+        out: list[list] = [[] for _ in range(n + 1)]
+        for i in range(n):
+            rows, node = np.arange(len(words)), np.zeros(len(words), np.int64)
+            for j in range(i + 1, min(n, i + self.longest) + 1):
+                node = self._step(node, byte[rows, j - 1])
+                on = node >= 0
+                rows, node = rows[on], node[on]
+                if not len(rows):
+                    break
+                piece = self.piece[node]
+                is_piece = piece >= 0
+                if is_piece.any():
+                    out[j].append((i, rows[is_piece], piece[is_piece]))
+        return out
 
     def weights(self, p: np.ndarray) -> np.ndarray:
-        """Lifted weights of (pieces, languages) with a row of zeros for no piece."""
-        return np.vstack([p, np.zeros((1, p.shape[1]))]) * self.lift[:, None]
+        """Lifted weights of (pieces, languages)."""
+        return p * self.lift[:, None]
 
-    def log_likelihood(self, words: list[bytes], weights: np.ndarray, part: int = 4096) -> np.ndarray:
+    def log_likelihood(self, words: list[bytes], weights: np.ndarray, part: int = 16384) -> np.ndarray:
         """(words, languages): log of the sum over all segmentations."""
         out = np.empty((len(words), weights.shape[1]))
         for n, at in by_length(words, part):
-            spans = self.spans(n)
-            edge = self.edges([words[k] for k in at], spans)
             alpha = np.zeros((n + 1, len(at), weights.shape[1]))
             alpha[0] = 1.0
             scale = np.full(alpha[0].shape, -n * np.log(LIFT))
-            for k, (i, j) in enumerate(spans):
-                alpha[j] += alpha[i] * weights[edge[:, k]]
-                if i == j - 1 and (small := alpha[j] < 1e-100).any():
-                    # the last piece that can end here: all sums that later ones build on are lifted alike
-                    lift = np.where(small, alpha[j], 1.0)
+            for j, ending in enumerate(self.edges([words[k] for k in at], n)):
+                for i, rows, piece in ending:
+                    alpha[j][rows] += alpha[i][rows] * weights[piece]
+                if (small := alpha[j] < 1e-100).any():
+                    # all sums that later ones build on are lifted alike
+                    lift = np.where(small & (alpha[j] > 0), alpha[j], 1.0)
                     alpha[max(0, j - self.longest) : j + 1] /= lift
                     scale += np.log(lift)
             out[at] = np.log(alpha[n]) + scale
         return out
 
-    def expected(self, words: list[bytes], counts: np.ndarray, weights: np.ndarray, part: int = 4096) -> np.ndarray:
+    def expected(self, words: list[bytes], counts: np.ndarray, weights: np.ndarray, part: int = 16384) -> np.ndarray:
         """Expected uses of each piece by words of one language, in units of 1 / UNIT, from sums over both sides."""
-        out = np.zeros(self.size + 1, np.int64)
+        out = np.zeros(self.size, np.int64)
         for n, at in by_length(words, part):
-            spans = self.spans(n)
-            edge = self.edges([words[k] for k in at], spans)
-            w = weights[edge]
+            edges = self.edges([words[k] for k in at], n)
             alpha, beta = np.zeros((n + 1, len(at))), np.zeros((n + 1, len(at)))
             alpha[0] = beta[n] = 1.0
-            for k, (i, j) in enumerate(spans):
-                alpha[j] += alpha[i] * w[:, k]
-            for k in range(len(spans) - 1, -1, -1):
-                i, j = spans[k]
-                beta[i] += beta[j] * w[:, k]
+            for j, ending in enumerate(edges):
+                for i, rows, piece in ending:
+                    alpha[j][rows] += alpha[i][rows] * weights[piece]
             # a word beyond the range of doubles teaches nothing
             scale = np.divide(counts[at] * UNIT, alpha[n], out=np.zeros(len(at)), where=alpha[n] > 0)
-            for k, (i, j) in enumerate(spans):
-                np.add.at(out, edge[:, k], np.rint(alpha[i] * w[:, k] * beta[j] * scale).astype(np.int64))
-        return out[:-1]
+            for j in range(n, 0, -1):
+                for i, rows, piece in edges[j]:
+                    w = weights[piece] * beta[j][rows]
+                    beta[i][rows] += w
+                    np.add.at(out, piece, np.rint(alpha[i][rows] * w * scale[rows]).astype(np.int64))
+        return out
 
 
 def by_length(words: list[bytes], part: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -217,27 +266,30 @@ def fit_language_id(docs: DataFrame, vocabulary: str | None = None, sample: int
 
 
 class LanguageScorer:
-    """Posteriors of texts; words met before are looked up, at most ``keep`` of them."""
+    """Posteriors of texts; words met before are looked up, as many as fit about ``memory`` bytes."""
 
-    def __init__(self, model: LanguageModel, keep: int = 200_000):
+    def __init__(self, model: LanguageModel, memory: int = 64 << 20):
         self.lattice = Lattice(model.vocabulary)
         self.weights = self.lattice.weights(model.probabilities)
         self.prior = np.log(model.shares)
-        self.keep, self.known = keep, {}
+        self.keep = max(1, memory // (8 * len(model.languages) + 200))
+        self.known: dict[str, np.ndarray] = {}
+
+    def learn(self, words: list[str]) -> None:
+        cut = [stretches(w) for w in words]
+        at = {s: k for k, s in enumerate(dict.fromkeys(s for c in cut for s in c))}
+        found = self.lattice.log_likelihood(list(at), self.weights)
+        for w, c in zip(words, cut):
+            self.known[w] = found[at[c[0]]] if len(c) == 1 else found[[at[s] for s in c]].sum(axis=0)
 
     def posteriors(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(texts, languages) posteriors, and whether a text has a letter at all."""
-        words = [text_words(t) for t in texts]
+        words = [Counter(LETTERS.findall(t or "")) for t in texts]
+        if len(self.known) > self.keep:
+            for w in list(self.known)[: len(self.known) // 2]:
+                del self.known[w]
         known = self.known
-        new = [w for w in dict.fromkeys(w for c in words for w in c) if w not in known]
-        if len(known) + len(new) > self.keep:
-            for w in list(known)[: len(known) // 2]:
-                if len(known) + len(new) <= self.keep:
-                    break
-                del known[w]
-            # what went may be in these texts
-            new = [w for w in dict.fromkeys(w for c in words for w in c) if w not in known]
-        known.update(zip(new, self.lattice.log_likelihood(new, self.weights)))
+        self.learn([w for w in dict.fromkeys(w for c in words for w in c) if w not in known])
         total = np.tile(self.prior, (len(texts), 1))
         for k, c in enumerate(words):
             if c:
