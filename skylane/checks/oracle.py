@@ -571,3 +571,20 @@ SQL["strict_drop"] = B + "SELECT ROW_ID, DISTANCE, ARRIVAL_DELAY FROM flights"
 SQL["feature_label"] = ("SELECT * FROM (VALUES " + ", ".join(f"({k}, '{c}', 'feature')" for k, c in enumerate(KEEP)) + f", ({len(KEEP)}, 'ARRIVAL_DELAY', 'label')) AS t(position, column_name, role)")
 SQL["feature_table_roundtrip"] = FEAT_FIT.rstrip() + f"\nSELECT ROW_ID, ARRIVAL_DELAY, {', '.join(f'{R(c)} AS {c}' for c in KEEP)} FROM train"
 SQL["sql_views"] = B + "SELECT AIRLINE, count(*) AS flights, count(ARRIVAL_DELAY) AS arrived FROM flights JOIN airports ON IATA_CODE = ORIGIN_AIRPORT GROUP BY AIRLINE"
+
+SQL["csv_by_header"] = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders"
+_BROKEN = "l_orderkey % 97 = 0 OR l_orderkey % 89 = 0"
+SQL["csv_good_rows"] = f"""SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER) AS qty, CAST(l_shipdate AS DATE) AS day
+FROM lineitem WHERE NOT ({_BROKEN})"""
+SQL["csv_quarantine"] = f"""WITH t AS (SELECT *, {_BROKEN} AS bad, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS q, strftime(l_shipdate, '%Y-%m-%d') AS d FROM lineitem)
+SELECT CASE WHEN l_orderkey % 89 = 0 THEN left(d, 8) || '32' ELSE d END || ',' || CASE WHEN l_orderkey % 97 = 0 THEN 'q' ELSE '' END || q
+       || ',' || l_returnflag || ',' || l_linenumber || ',' || l_orderkey AS record,
+       (SELECT count(*) FROM t WHERE NOT bad) AS n_rows, (SELECT count(*) FROM t WHERE bad) AS n_bad
+FROM t WHERE bad"""
+_SPLITS = """WITH f AS (SELECT unnest(range(45)) AS k),
+c AS (SELECT l_partkey % 40 AS k, count(*) AS n FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1),
+i AS (SELECT 'PART_' || lpad(CAST(f.k AS VARCHAR), 2, '0') AS feature, CAST(coalesce(c.n, 0) AS DOUBLE) AS importance FROM f LEFT JOIN c USING (k)),
+r AS (SELECT feature, importance, CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank FROM i)
+"""
+SQL["split_count_ranking"] = _SPLITS + "SELECT * FROM r"
+SQL["split_count_top15"] = _SPLITS + "SELECT * FROM r WHERE rank <= 15"

@@ -453,18 +453,49 @@ def q_tree_search(spark, sf):
 def q_tree_importance(spark, sf):
     """M14 + T1 + T2 + S7 + S10: importances of the best model, saved, loaded, written as CSV and read back."""
     from ..operators import select, trees
-    from ..sources.tables import read_csv
+    from ..sources.csv_tables import read_csv
     from .scoring import shared_path, write_importance
 
     _, best, _, _, feat = _tree_run(spark, sf)
     path = shared_path(spark, "trees")
     trees.save_trees(best, f"{path}/model")
-    model = trees.load_trees(f"{path}/model")
-    table = select.rank_by_importance(trees.feature_importance(model, feat, spark), top=15)
+    table = select.rank_by_importance(trees.split_counts(trees.node_table(spark, f"{path}/model"), feat), top=15)
     write_importance(table, f"{path}/importance")
     return read_csv(spark, f"{path}/importance", table.schema)
 
 
+def _order_nodes(spark, sf):
+    """Orders as trees and their lines as nodes: a node table that SQL can see too."""
+    li = read_table(spark, sf, "lineitem", raw=True)
+    return li.select(F.col("l_orderkey").alias("tree"), F.col("l_linenumber").alias("node"),
+                     (F.col("l_partkey") % 40).cast("int").alias("feature_index"), F.col("l_discount").alias("threshold"),
+                     F.when(F.col("l_returnflag") != "N", F.col("l_linenumber") + 1).otherwise(-1).alias("left_child"))
+
+
+ORDER_FEATURES = [f"PART_{k:02d}" for k in range(45)]
+
+
+@query("split_count_ranking")
+def q_split_counts(spark, sf):
+    """M14 + T1: features by the number of splits over a node table, unused ones with 0."""
+    from ..operators import select, trees
+
+    return select.rank_by_importance(trees.split_counts(_order_nodes(spark, sf), ORDER_FEATURES))
+
+
+@query("split_count_top15")
+def q_split_top(spark, sf):
+    """T2 + S7: the first fifteen of them, written as CSV to the shared folder and read back by header."""
+    from ..operators import select, trees
+    from ..sources.csv_tables import read_csv
+    from .scoring import shared_path, write_importance
+
+    table = select.rank_by_importance(trees.split_counts(_order_nodes(spark, sf), ORDER_FEATURES), top=15)
+    path = shared_path(spark, "importance")
+    write_importance(table, path)
+    return read_csv(spark, path, table.schema)
+
+
 @query("tree_metrics")
 def q_tree_metrics(spark, sf):
     """M8 evaluated on both splits with the exact metrics, their gaps and the test confusion counts."""
@@ -676,7 +707,8 @@ def q_best(spark, sf):
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, sf):
     """S5 (CSV) + S1: write the flight view as CSV to the shared folder, read it back with a declared schema."""
-    from ..sources.tables import read_csv, write_table
+    from ..sources.csv_tables import read_csv
+    from ..sources.tables import write_table
     from .scoring import shared_path
 
     f = flights_view(spark, sf).select(ID, "AIRLINE", "FLIGHT_NUMBER", "DISTANCE", "ARRIVAL_DELAY", "CANCELLATION_REASON")
@@ -685,6 +717,49 @@ def q_csv_roundtrip(spark, sf):
     return read_csv(spark, path, f.schema)
 
 
+@query("csv_by_header")
+def q_csv_by_header(spark, sf):
+    """S1 + S3: a CSV whose columns stand in another order, with one more, read by the names in its header."""
+    from ..sources.csv_tables import read_csv
+    from ..sources.tables import write_table
+    from .scoring import shared_path
+
+    o = read_table(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    path = shared_path(spark, "orders-csv")
+    write_table(o.select(*reversed(o.columns), F.lit("x").alias("o_more")), path, fmt="csv")
+    return read_csv(spark, path, o.schema)
+
+
+def _broken_lines(spark, sf):
+    """Lines as CSV: every 97th order has a text for the quantity, every 89th a day that does not exist."""
+    from ..sources.csv_tables import ingest_csv
+    from ..sources.tables import write_table
+    from .scoring import shared_path
+
+    li = read_table(spark, sf, "lineitem")
+    qty, day = F.col("l_quantity").cast("int").cast("string"), F.col("l_shipdate").cast("date").cast("string")
+    text = li.select(
+        F.when(F.col("l_orderkey") % 89 == 0, F.concat(F.substring(day, 1, 8), F.lit("32"))).otherwise(day).alias("day"),
+        F.when(F.col("l_orderkey") % 97 == 0, F.concat(F.lit("q"), qty)).otherwise(qty).alias("qty"),
+        "l_returnflag", "l_linenumber", "l_orderkey")
+    path = shared_path(spark, "lines")
+    write_table(text, f"{path}/csv", fmt="csv")
+    return ingest_csv(spark, f"{path}/csv", "l_orderkey long, l_linenumber int, qty int, day date", f"{path}/rows")
+
+
+@query("csv_good_rows")
+def q_csv_good(spark, sf):
+    """S1 + S4: the rows of a partly broken CSV that fit their types."""
+    return _broken_lines(spark, sf).rows
+
+
+@query("csv_quarantine")
+def q_csv_quarantine(spark, sf):
+    """The raw text of the rows that do not, with the counts of both kinds from the same pass."""
+    got = _broken_lines(spark, sf)
+    return got.quarantine.select("record", F.lit(got.n_rows).cast("long").alias("n_rows"), F.lit(got.n_bad).cast("long").alias("n_bad"))
+
+
 @query("roc_curve_roundtrip")
 def q_roc_roundtrip(spark, sf):
     """ROC rows written as JSON (numbers as numbers, the infinite threshold as text) and read back."""

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import bayes, metrics, sampling, select, smote, trees
 from . import features as feats
 from . import training
-from .scoring import write_metrics
+from .scoring import shared_path, write_metrics
 
 LABEL = feats.LABEL_COL
 ID = feats.ID_COL
@@ -114,7 +114,9 @@ def variant_frames(spark: SparkSession, sf_dir: str, names: Sequence[str] = VARI
 
     def top15_tree():
         model = trees.fit_trees(train, cols, LABEL, params=screening)
-        imp = select.rank_by_importance(trees.feature_importance(model, cols, spark), top=15)
+        path = shared_path(spark, "screening")
+        trees.save_trees(model, path)
+        imp = select.rank_by_importance(trees.split_counts(trees.node_table(spark, path), cols), top=15)
         return train, [r["feature"] for r in imp.orderBy("rank").collect()]
 
     def corr():

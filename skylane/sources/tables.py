@@ -1,4 +1,4 @@
-"""Sources and sinks (S1-S6, S11) and the flight-shaped views over the test tables.
+"""Sources and sinks (S2, S4-S6, S11; CSV is in ``csv_tables``) and the flight-shaped views over the test tables.
 
 The test tables are TPC-H-like; ``flights_view`` and ``airports_view`` derive the
 flight fact table and the airport dimension from them with plain joins, so every
@@ -45,11 +45,6 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV with a declared schema (no inference pass over the data)."""
-    return nan_to_null(spark.read.schema(schema).option("header", True).csv(path))
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     """Distributed write, one file per task; never funnels through one task."""
     w = df.write.mode("overwrite").format(fmt)
