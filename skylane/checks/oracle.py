@@ -484,6 +484,34 @@ nn_ranked AS (SELECT ROW_ID, d2, row_number() OVER (PARTITION BY ROW_ID ORDER BY
 SELECT ROW_ID, cast(slot as integer) AS slot, {R('d2')} AS d2 FROM nn_ranked WHERE slot < 5"""
 
 
+def _smote_sql(ratio: float | None) -> str:
+    target = "n_maj" if ratio is None else f"cast(floor({ratio} * n_maj) as bigint)"
+    tie = "md5(concat_ws(',', " + ", ".join(f"cast(cast(floor({c} * 1e6 + 0.5) as bigint) as varchar)" for c in KEEP) + "))"
+    same = " AND ".join(f"a.{c} = b.{c}" for c in KEEP)
+    new = ", ".join(f"b.{c} + d.u * (n.{c} - b.{c}) AS {c}" for c in KEEP)
+    digits = lambda text, n: f"cast(('0x' || substr(md5('42|{text}' || cast(j as varchar)), 1, {n})) as bigint)"
+    return FEAT_FIT.rstrip() + f""",
+cnt AS (SELECT ARRIVAL_DELAY AS y, count(*) AS n FROM train GROUP BY 1),
+roles AS (SELECT (SELECT y FROM cnt ORDER BY n, y LIMIT 1) AS ymin, (SELECT n FROM cnt ORDER BY n, y LIMIT 1) AS n_min,
+                 (SELECT n FROM cnt ORDER BY n DESC, y DESC LIMIT 1) AS n_maj),
+mins AS (SELECT t.*, row_number() OVER (ORDER BY md5('42|' || ROW_ID), ROW_ID) - 1 AS idx, {tie} AS tie
+         FROM train t, roles WHERE t.ARRIVAL_DELAY = roles.ymin),
+near AS (SELECT a.idx, b.idx AS nidx, row_number() OVER (PARTITION BY a.idx ORDER BY CASE WHEN {same} THEN 0 ELSE 1 END, round({_D2}, 9), b.tie, b.idx) - 1 AS slot
+         FROM mins a JOIN mins b ON a.idx <> b.idx),
+draws AS (SELECT j, {digits('smote-base|', 15)} % roles.n_min AS idx, {digits('smote-nn|', 15)} % least(5, roles.n_min - 1) AS slot,
+                 {digits('smote-u|', 8)} / 4294967296.0::double AS u
+          FROM roles, (SELECT unnest(range((SELECT {target} - n_min FROM roles))) AS j)),
+allrows AS (SELECT ROW_ID, ARRIVAL_DELAY, {', '.join(KEEP)} FROM train
+            UNION ALL
+            SELECT md5(b.ROW_ID || '|smote|' || cast(d.j as varchar)), b.ARRIVAL_DELAY, {new}
+            FROM draws d JOIN mins b USING (idx) JOIN near ON near.idx = d.idx AND near.slot = d.slot JOIN mins n ON n.idx = near.nidx)
+SELECT ROW_ID, ARRIVAL_DELAY, {', '.join(f"{R(c)} AS {c}" for c in KEEP)} FROM allrows"""
+
+
+SQL["smote_balanced"] = _smote_sql(None)
+SQL["smote_ratio"] = _smote_sql(0.3)
+
+
 def _variant_sql(features: list[str], train: str = "ftrain", test: str = "ftest", name: str = "all_features",
                  extra_ctes: str = "") -> str:
     mom = ", ".join(f"avg(t.{c}) AS t_{i}, var_pop(t.{c}) AS v_{i}" for i, c in enumerate(features))

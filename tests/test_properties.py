@@ -167,3 +167,55 @@ def test_rank_with_hot_copies(spark):
     assert s.count() == 900
     per = {v["y"]: (v["n"], v["t"]) for v in s.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.sum("IS_TEST").alias("t")).collect()}
     assert per[1] == (600, 180) and per[0] == (300, 90)
+
+
+def clustered(n):
+    """Points of which most lie in two tiny clusters, on a line, or at one value of an axis."""
+    rng = np.random.default_rng(8)
+    pts = rng.normal(size=(n, 3))
+    pts[: n // 3] = 1e-4 * pts[: n // 3]
+    pts[n // 3 : n // 2] = 5 + 1e-6 * pts[n // 3 : n // 2]
+    pts[n // 2 : n // 2 + n // 5, :2] = 0.0
+    return pts
+
+
+@pytest.mark.parametrize("target, fanout", [(16, 4), (50, 16)])
+def test_cells_stay_below_their_target(spark, target, fanout):
+    from skylane.operators.kdcells import cells_in_reach, kd_cells
+
+    pts = clustered(900)
+    pts[700:] = pts[699]  # keys without places of their own
+    df = spark.createDataFrame([(f"k{i}", *map(float, p), 0.3) for i, p in enumerate(pts)], "key string, u double, v double, w double, R double").persist()
+    cells = kd_cells(df, ["u", "v", "w"], target, fanout)
+    at = {r.key: r.cell for r in cells.points.collect()}
+    assert len(at) == 900 == cells.points.count()
+    sizes = {}
+    for c in at.values():
+        sizes[c] = sizes.get(c, 0) + 1
+    assert max(sizes.values()) == cells.largest <= target
+    # every point within the radius lies in a cell that the ball reaches
+    reach = {}
+    for r in cells_in_reach(df, ["u", "v", "w"], cells).collect():
+        reach.setdefault(r.key, []).append(r.cell)
+    d = np.sqrt(((pts[:, None] - pts[None]) ** 2).sum(-1))
+    for i in range(0, 900, 7):
+        mine = reach[f"k{i}"]
+        assert len(mine) == len(set(mine))
+        assert {at[f"k{j}"] for j in np.flatnonzero(d[i] <= 0.3)} <= set(mine)
+    df.unpersist()
+
+
+def test_knn_in_dense_clusters(spark):
+    pts = clustered(400)
+    feats = ["a", "b", "c"]
+    df = spark.createDataFrame([(f"k{i}", *map(float, p)) for i, p in enumerate(pts)], "rid string, a double, b double, c double")
+    keyed, distinct = smote.distinct_points(df, feats, smote.principal_directions(df, feats, 3))
+    nn = smote.knn_table(distinct, feats, 5, target=20)
+    vec = {r["key"]: np.array([r["a"], r["b"], r["c"]]) for r in distinct.collect()}
+    got = {}
+    for r in nn.collect():
+        got.setdefault(r["key"], []).append(((vec[r["key"]] - vec[r["nkey"]]) ** 2).sum())
+    for r in keyed.select("rid", "key").collect():
+        i = int(r["rid"][1:])
+        want = np.sort(((pts - pts[i]) ** 2).sum(-1))[1:6]
+        assert np.allclose(sorted(got[r["key"]]), want, atol=2e-9)
