@@ -2,21 +2,25 @@
 
 Confusion counts are one pass of ``count_if``. ROC and AUC first collapse rows
 to one row per distinct score (partial aggregation absorbs ties and hot scores),
-then use bucketed prefix sums over equi-depth score buckets, so no step holds all
-scores in one task.
+then range-partition these rows on the score. A partition's own sums need one pass over
+Arrow batches; what lies before a partition is the sum of one row a partition, so no
+step holds all scores in one task.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .ranks import bucketed_prefix_sums
-from .stats import bucket_count, value_bucketizer, values_at_ranks
+from .stats import values_at_ranks
+
 
 def _c(x):
     return F.col(x) if isinstance(x, str) else x
@@ -67,69 +71,107 @@ def score_table(df: DataFrame, label: str, score: str) -> DataFrame:
     )
 
 
-def _bucketed(per: DataFrame, score: str, buckets: int | None, n: int) -> DataFrame:
-    bz = value_bucketizer(per, score, buckets or bucket_count(n), out="_sb")
-    return bz.transform(per).withColumn("_sb", F.col("_sb").cast("int"))
+def _ranged(per: DataFrame, score: str, ranges: int | None) -> DataFrame:
+    """(place, score, pos, neg), highest first: ``place`` numbers the ranges of the score in order, each sorted inside."""
+    n = ranges or int(per.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = per.select(F.col(score).cast("double").alias("score"), "pos", "neg")
+    rows = rows.repartitionByRange(n, F.desc("score")).sortWithinPartitions(F.desc("score"))
+    return rows.select(F.spark_partition_id().alias("place"), "score", "pos", "neg")
 
 
-def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
-    """Tie-aware ROC-AUC = P(s+ > s-) + 0.5 P(s+ = s-); NULL if a class is absent.
+def _range_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a range: its place, counts, first point, and the pairs of a positive above a negative inside it."""
+    pos = neg = 0
+    pairs, first, place, some = 0.0, (0, 0), 0, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        p, n = batch.column("pos").to_numpy().astype(np.float64), batch.column("neg").to_numpy().astype(np.float64)
+        if not some:
+            some, first, place = True, (int(p[0]), int(n[0])), batch.column("place")[0].as_py()
+        # positives above a negative's score count in full, those at it by half
+        pairs += float((n * (pos + np.cumsum(p) - p / 2)).sum())
+        pos, neg = pos + int(p.sum()), neg + int(n.sum())
+    if some:
+        row = {"place": place, "pos": pos, "neg": neg, "first_pos": first[0], "first_neg": first[1], "pairs": pairs}
+        yield pa.RecordBatch.from_pydict({c: [x] for c, x in row.items()})
 
-    The number of value buckets follows the number of distinct scores.
-    """
-    # read twice (split points, then the sums): one scan and shuffle of the scored rows, not two
+
+_SUMS = "place long, pos long, neg long, first_pos long, first_neg long, pairs double"
+
+
+def roc_auc(df: DataFrame, label: str, score: str, ranges: int | None = None) -> DataFrame:
+    """Tie-aware ROC-AUC = P(s+ > s-) + 0.5 P(s+ = s-); NULL if a class is absent."""
+    # the range exchange samples its input first: one scan and aggregate of the scored rows, not two
     per = score_table(df, label, score).persist(StorageLevel.MEMORY_AND_DISK)
-    b = _bucketed(per, score, buckets, per.count())
-    cum = bucketed_prefix_sums(b, "_sb", [score], ["neg"], inclusive=False)
-    auc = cum.agg(
-        F.try_divide(
-            F.sum(F.col("pos") * (F.col("neg_cum") + 0.5 * F.col("neg"))),
-            F.sum("pos").cast("double") * F.sum("neg").cast("double"),
-        ).alias("roc_auc")
-    ).first()["roc_auc"]
+    sums = sorted(_ranged(per, score, ranges).mapInArrow(_range_sums, _SUMS).collect())  # a row a range
     per.unpersist()
-    return df.sparkSession.createDataFrame([(auc,)], "roc_auc double")
+    above, won = 0, 0.0
+    for r in sums:
+        won += r["pairs"] + above * r["neg"]
+        above += r["pos"]
+    pairs = above * sum(r["neg"] for r in sums)
+    return df.sparkSession.createDataFrame([(won / pairs if pairs else None,)], "roc_auc double")
+
+
+def _curve_points(before: dict, after: dict, totals: tuple, top: int, drop: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+
+        pos = neg = 0
+
+        def points(s, p, n, keep):
+            nonlocal pos, neg
+            cp, cn = pos + np.cumsum(p), neg + np.cumsum(n)
+            pos, neg = int(cp[-1]), int(cn[-1])
+            rate = lambda c, total: pa.array(c[keep] / total) if total else pa.nulls(int(keep.sum()), pa.float64())
+            return pa.RecordBatch.from_arrays([pa.array(s[keep]), rate(cn, totals[1]), rate(cp, totals[0])], ["threshold", "fpr", "tpr"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is None:  # a task's rows are one range's
+                place = batch.column("place")[0].as_py()
+                (pos, neg), first = before[place], place == top
+            now = [batch.column(c).to_numpy() for c in ("score", "pos", "neg")]
+            if held is not None:
+                now = [np.concatenate([h, x]) for h, x in zip(held, now)]
+            s, p, n = now
+            # a point whose step equals the next one's lies on a line: the last point waits for what follows
+            held = [x[-1:] for x in now]
+            if len(s) > 1:
+                keep = (p[1:] != p[:-1]) | (n[1:] != n[:-1]) | (not drop)
+                keep[0] |= first
+                first = False
+                yield points(s[:-1], p[:-1], n[:-1], keep)
+        if held is not None:
+            s, p, n = held
+            same = after.get(place) == (int(p[0]), int(n[0]))
+            yield points(s, p, n, np.array([first or not same or not drop]))
+
+    return run
 
 
 def roc_curve(df: DataFrame, label: str, score: str, drop_intermediate: bool = True,
-              buckets: int | None = None) -> DataFrame:
+              ranges: int | None = None) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score, descending, with the leading
     (inf, 0, 0) point; interior points whose step equals the next step are dropped
     (the second-difference rule)."""
-    # read by several steps, the last of them when the caller asks: a checkpoint needs no release
+    # read twice, the second time when the caller asks: a checkpoint needs no release and keeps its partitions
     ensure_checkpoint_dir(df.sparkSession)
-    per = score_table(df, label, score).checkpoint()
-    totals = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.max(score).alias("top"), F.count(F.lit(1)).alias("n")).first()
-    P, N = float(totals["P"] or 0), float(totals["N"] or 0)
-    b = _bucketed(per, score, buckets, totals["n"]).withColumn("_sb", -F.col("_sb"))
-    cum = bucketed_prefix_sums(b, "_sb", [F.col(score).desc()], ["pos", "neg"], inclusive=True)
-    pts = cum
-    if drop_intermediate:
-        # a point stays unless its step equals the next one's; the next of a bucket's last point
-        # is the first of the bucket after it
-        w = Window.partitionBy("_sb").orderBy(F.col(score).desc())
-        ranked = cum.withColumn("_i", F.row_number().over(w))
-        firsts = ranked.where(F.col("_i") == 1).select("_sb", F.col("pos").alias("_fp"), F.col("neg").alias("_fn"))
-        wb = Window.orderBy("_sb")
-        nxt = firsts.select(
-            F.lag("_sb").over(wb).alias("_sb"), F.col("_fp").alias("_np_b"), F.col("_fn").alias("_nn_b")
-        ).where(F.col("_sb").isNotNull())
-        j = ranked.join(F.broadcast(nxt), "_sb", "left")
-        np_ = F.coalesce(F.lead("pos").over(w), F.col("_np_b"))
-        nn_ = F.coalesce(F.lead("neg").over(w), F.col("_nn_b"))
-        is_first = F.col(score) == F.lit(totals["top"])
-        is_last = np_.isNull()
-        keep = is_first | is_last | (np_ != F.col("pos")) | (nn_ != F.col("neg"))
-        pts = j.withColumn("_keep", keep).where(F.col("_keep"))
-    body = pts.select(
-        F.col(score).cast("double").alias("threshold"),
-        F.try_divide(F.col("neg_cum").cast("double"), F.lit(N)).alias("fpr"),
-        F.try_divide(F.col("pos_cum").cast("double"), F.lit(P)).alias("tpr"),
-    )
-    spark = df.sparkSession
-    head = spark.range(1).select(
-        F.lit(math.inf).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
-    )
+    per = score_table(df, label, score).persist(StorageLevel.MEMORY_AND_DISK)
+    points = _ranged(per, score, ranges).checkpoint()
+    per.unpersist()
+    sums = sorted(points.mapInArrow(_range_sums, _SUMS).collect())  # a row a range
+    before, after, pos, neg = {}, {}, 0, 0
+    for r, nxt in zip(sums, [*sums[1:], None]):
+        before[r["place"]] = (pos, neg)
+        pos, neg = pos + r["pos"], neg + r["neg"]
+        if nxt:
+            after[r["place"]] = (nxt["first_pos"], nxt["first_neg"])
+    top = sums[0]["place"] if sums else -1
+    body = points.mapInArrow(_curve_points(before, after, (pos, neg), top, drop_intermediate), "threshold double, fpr double, tpr double")
+    head = df.sparkSession.range(1).select(F.lit(math.inf).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return head.unionByName(body)
 
 

@@ -131,10 +131,10 @@ def test_draws_reach_past_32_bits(spark):
 def test_auc_and_curve_do_not_depend_on_buckets(spark):
     rows = [(i * 37 % 101 / 101, int((i * i) % 7 < 3)) for i in range(300)]
     df = spark.createDataFrame(rows, "p double, y int")
-    want = metrics.roc_auc(df, "y", "p", buckets=2).first()[0]
-    assert metrics.roc_auc(df, "y", "p", buckets=50).first()[0] == pytest.approx(want)
+    want = metrics.roc_auc(df, "y", "p", ranges=2).first()[0]
+    assert metrics.roc_auc(df, "y", "p", ranges=50).first()[0] == pytest.approx(want)
     assert metrics.roc_auc(df, "y", "p").first()[0] == pytest.approx(want)
-    curves = [sorted(map(tuple, metrics.roc_curve(df, "y", "p", buckets=b).collect())) for b in (2, 50, None)]
+    curves = [sorted(map(tuple, metrics.roc_curve(df, "y", "p", ranges=b).collect())) for b in (2, 50, None)]
     assert curves[0] == curves[1] == curves[2]
 
 
