@@ -171,27 +171,6 @@ def spell_out(df: DataFrame) -> DataFrame:
     return df.withColumn("_i", F.explode(F.sequence(F.col("_k"), F.least(F.col("_k") + step, F.col("_copies")) - 1))).drop("_k")
 
 
-def bucketed_prefix_sums(df: DataFrame, bucket: str, order: Sequence[str | Column], values: Sequence[str],
-                         groups: Sequence[str] = (), suffix: str = "_cum", inclusive: bool = True) -> DataFrame:
-    """Running sums of ``values`` within ``groups`` ordered by (bucket, *order).
-
-    Rows must be unique in the order (group first when ties exist).
-    """
-    g = list(groups)
-    totals = df.groupBy(*g, bucket).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-    w = Window.partitionBy(*g).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *g, bucket, *[F.coalesce(F.sum(f"_t_{v}").over(w), F.lit(0)).alias(f"_o_{v}") for v in values]
-    )
-    frame = (Window.partitionBy(*g, bucket).orderBy(*_cols(order))
-             .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
-    out = df.join(F.broadcast(offsets), [*g, bucket])
-    return out.select(
-        *df.columns,
-        *[(F.coalesce(F.sum(v).over(frame), F.lit(0)) + F.col(f"_o_{v}")).alias(f"{v}{suffix}") for v in values],
-    )
-
-
 def hash_bucket(hexcol: Column, digits: int = RANK_DIGITS) -> Column:
     """Monotone bucket of an md5 hex string: its first ``digits`` hex digits."""
     return F.conv(F.substring(hexcol, 1, digits), 16, 10).cast("int")
