@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +86,26 @@ def ship(spark: SparkSession) -> None:
     sc._skylane_shipped = True
 
 
+def sheltered(*names: str):
+    """For operators with columns of their own: input columns so called, or with two leading underscores, step aside.
+
+    They come back under their names; tables without such columns are passed on as they are.
+    """
+
+    def wrap(operator):
+        @wraps(operator)
+        def run(docs: DataFrame, *args, **options) -> DataFrame:
+            aside = {c: f"aside{k}_{uuid.uuid4().hex}" for k, c in enumerate(docs.columns) if c.startswith("__") or c.lower() in names}
+            if not aside:
+                return operator(docs, *args, **options)
+            out = operator(docs.withColumnsRenamed(aside), *args, **options)
+            return out.withColumnsRenamed({new: old for old, new in aside.items()})
+
+        return run
+
+    return wrap
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with a null-free join key: the id and a hash of the text.
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylane.llm.common import WHITE, ship
+from skylane.llm.common import WHITE, sheltered, ship
 
 
 def _filter_bits(rows: int, block: int) -> int:
@@ -109,6 +109,7 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, " ")
 
 
+@sheltered()
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with keep_id, group_size, kept and text_sha256 (of the normalised text).
 

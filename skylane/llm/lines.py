@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylane.llm.common import WHITE, Stash, keyed
+from skylane.llm.common import WHITE, Stash, keyed, sheltered
 
 LEAD = 3
 MASK = "<*>"
@@ -94,7 +94,7 @@ def recurring_lines(src: DataFrame, min_docs: int, fixed: float) -> DataFrame:
     leaves = counted.groupBy("path").agg(F.sum("docs").alias("total")).filter(F.col("total") >= min_docs)
     wanted = pairs.join(leaves.select("path"), "path").groupBy(*key).agg(F.collect_set("hash").alias("__wanted"))
     # reads every column, so that this join and the last one share one exchange of the texts
-    every = F.hash(*src.columns)
+    every = F.hash(*(c for c, t in src.dtypes if "map<" not in t and "variant" not in t))
     spelled = src.join(wanted, key).select("__wanted", every.alias("__every"), F.explode(_lines(F.col("text"))).alias("raw"))
     spelled = spelled.select("__wanted", "__every", masked(F.col("raw")).alias("line"))
     wants = F.array_contains("__wanted", F.when(F.col("__every") >= -(1 << 31), F.col("hash")))
@@ -116,6 +116,7 @@ def recurring_lines(src: DataFrame, min_docs: int, fixed: float) -> DataFrame:
     return gone.groupBy(*key).agg(F.collect_set("hash").alias("__gone"))
 
 
+@sheltered()
 def line_dedup(docs: DataFrame, min_docs: int = 3, fixed: float = 0.6, kept: str = "kept_text") -> DataFrame:
     """``docs`` with n_lines, n_dropped and ``kept`` (the kept lines joined by line feeds)."""
     src = keyed(docs.drop("n_lines", "n_dropped", *([kept] if kept != "text" else [])))

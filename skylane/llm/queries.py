@@ -158,22 +158,33 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op3_line_dedup"] = r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 raw AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS k FROM d),
-l AS (SELECT doc_id, line, k, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS ws FROM raw),
-p AS (SELECT doc_id, k, line, ws, array_to_string(ws, ' ') AS m, len(ws) || ' ' || array_to_string(list_slice(ws, 1, 3), ' ') AS path FROM l),
+l AS (SELECT doc_id, line, k, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS vs FROM raw),
+q AS (SELECT doc_id, line, k, vs, list_transform(vs, lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS ws FROM l),
+p AS (SELECT doc_id, k, line, ws, array_to_string(vs, ' ') AS v, array_to_string(ws, ' ') AS m, len(ws) || ' ' || array_to_string(list_slice(ws, 1, 3), ' ') AS path FROM q),
+-- lines that half of their fields or more make up count as they stand as well
+lit AS (SELECT DISTINCT doc_id, v FROM p WHERE len(ws) > 0 AND len(ws) - (length(m) - length(replace(m, '<*>', ''))) / 3 < 0.6 * len(ws) + 1e-9),
+often AS (SELECT v FROM lit GROUP BY v HAVING count(*) >= 3),
+gone_as_is AS (SELECT doc_id, v FROM lit SEMI JOIN often USING (v)),
 pairs AS (SELECT DISTINCT doc_id, path, m, ws FROM p WHERE len(ws) > 0),
-counted AS (SELECT path, m, ws, count(*) AS docs FROM pairs GROUP BY path, m, ws),
-leaves AS (SELECT path FROM counted GROUP BY path HAVING sum(docs) >= 3),
-words AS (SELECT path, m, docs, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM counted SEMI JOIN leaves USING (path)),
-fix AS (SELECT path, pos, w FROM words WHERE w <> '<*>' GROUP BY path, pos, w HAVING sum(docs) >= 3),
-shape AS (SELECT a.path, a.m, string_agg(CASE WHEN f.w IS NULL THEN '<*>' ELSE a.w END, ' ' ORDER BY a.pos) AS shape
-          FROM words a LEFT JOIN fix f ON a.path = f.path AND a.pos = f.pos AND a.w = f.w
-          GROUP BY a.path, a.m HAVING avg(CASE WHEN f.w IS NULL THEN 0 ELSE 1 END) >= 0.6),
+counted AS (SELECT path, m, ws, CAST(count(*) AS BIGINT) AS docs FROM pairs GROUP BY path, m, ws),
+leaves AS (SELECT path, greatest(3, CAST(ceil(sum(docs) / 2) AS BIGINT)) AS half FROM counted GROUP BY path HAVING sum(docs) >= 3),
+words AS (SELECT path, m, docs, half, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM counted JOIN leaves USING (path)),
+fix AS (SELECT path, pos, w, half, CAST(sum(docs) AS BIGINT) AS n FROM words WHERE w <> '<*>' GROUP BY path, pos, w, half HAVING sum(docs) >= 3),
+-- two ranks of a word at a place: how many pairs have it, and how few such words the place has; half of the leaf is above all
+rk AS (SELECT path, pos, w, least(n, half) AS n, CASE WHEN n < half THEN 4611686018427387904 - count(*) OVER (PARTITION BY path, pos) ELSE 4611686018427387904 END AS few FROM fix),
+places AS (SELECT a.path, a.m, list(a.w ORDER BY a.pos) AS ws, list(coalesce(r.n, 0) ORDER BY a.pos) AS n, list(coalesce(r.few, 0) ORDER BY a.pos) AS few
+           FROM words a LEFT JOIN rk r ON a.path = r.path AND a.pos = r.pos AND a.w = r.w GROUP BY a.path, a.m),
+ranked AS (SELECT path, m, ws, n AS ranks FROM places UNION ALL SELECT path, m, ws, few FROM places),
+cuts AS (SELECT path, m, ws, ranks, unnest(list_filter(list_distinct(ranks), lambda r: r > 0 AND r <= list_reverse_sort(ranks)[CAST(ceil(len(ranks) * 0.6 - 1e-9) AS INTEGER)])) AS cut FROM ranked),
+shape AS (SELECT DISTINCT path, m, array_to_string(list_transform(range(len(ws)), lambda i: CASE WHEN ranks[i + 1] >= cut THEN ws[i + 1] ELSE '<*>' END), ' ') AS shape FROM cuts),
 placed AS (SELECT doc_id, path, m, shape FROM pairs JOIN shape USING (path, m)),
 rec AS (SELECT path, shape FROM placed GROUP BY path, shape HAVING count(DISTINCT doc_id) >= 3),
-gone AS (SELECT DISTINCT doc_id, m FROM placed SEMI JOIN rec USING (path, shape))
-SELECT p.doc_id, count(*) AS n_lines, count(g.m) AS n_dropped,
-       sha256(coalesce(string_agg(p.line, chr(10) ORDER BY p.k) FILTER (WHERE g.m IS NULL), '')) AS kept_sha256
-FROM p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.m = g.m GROUP BY p.doc_id
+gone AS (SELECT DISTINCT doc_id, m FROM placed SEMI JOIN rec USING (path, shape)),
+marked AS (SELECT p.doc_id, p.k, p.line, g.m IS NOT NULL OR x.v IS NOT NULL AS away
+           FROM p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.m = g.m LEFT JOIN gone_as_is x ON p.doc_id = x.doc_id AND p.v = x.v)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE away) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT away), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
 """
 
 

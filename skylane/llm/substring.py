@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylane.llm.automaton import SuffixAutomaton
-from skylane.llm.common import Words, keyed, mix, pieces, ship, words_of
+from skylane.llm.common import Words, keyed, mix, pieces, sheltered, ship, words_of
 
 ANCHOR = 10
 
@@ -246,6 +246,7 @@ def repeated_spans(docs: DataFrame, window: int = 35, hot: int = 256) -> DataFra
     return found.select("__id", "__tx", moved.alias("spans")).groupBy("__id", "__tx").agg(F.flatten(F.collect_set("spans")).alias("__spans"))
 
 
+@sheltered()
 def substring_dedup(docs: DataFrame, window: int = 35, hot: int = 256, kept: str = "kept_text") -> DataFrame:
     """``docs`` with n_words, n_removed, ``kept`` (the kept words joined by one space) and removed_spans.
 

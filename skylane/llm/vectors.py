@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylane.llm.common import Stash, ship
+from skylane.llm.common import Stash, sheltered, ship
 from skylane.llm.components import connected_components, local_roots
 
 BUCKET = 400
@@ -156,6 +156,7 @@ def vector_links(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.9
     return rows.mapInArrow(_compare(threshold, part), "node long, links long, root long")
 
 
+@sheltered()
 def embedding_dedup(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.999) -> DataFrame:
     """``vectors`` (vec_id, embedding, ...) with n_links, component_id and kept.
 
