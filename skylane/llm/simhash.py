@@ -29,8 +29,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylane.llm.common import Stash, pieces, ship
+from skylane.llm.common import Stash, pieces, sheltered, ship
 from skylane.llm.components import connected_components, local_roots
+from skylane.operators.joins import lookup_join
 
 THIRDS = (22, 21, 21)
 _SPREAD = np.array([sum(1 << (8 * j) for j in range(8) if v >> j & 1) for v in range(256)], np.uint64)
@@ -241,6 +242,7 @@ def trie_links(distinct: DataFrame, distance: int, node_size: int = 4096, part:
     return rows.repartition("turn", "node", "salt").sortWithinPartitions("turn", "node", "salt", "away").mapInArrow(_walk(depth, distance, part), "a long, b long")
 
 
+@sheltered("first")
 def simhash_dedup(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """``docs`` without text, with fingerprint (16 hex digits), component_id and kept.
 
@@ -260,7 +262,7 @@ def simhash_dedup(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataF
     parts = connected_components(links, stash)
     named = leaves.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     names = named.groupBy("component").agg(F.min("first").alias("first"))
-    labels = named.select("fp", "component").join(names, "component").select(F.col("fp").alias("__fp"), "first")
+    labels = lookup_join(named.select("fp", "component"), names, ["component"], how="inner").select(F.col("fp").alias("__fp"), "first")
     out = marked.join(labels, "__fp", "left")
     hexed = F.lpad(F.lower(F.hex("__fp")), 16, "0")
     return out.withColumns({"fingerprint": hexed, "component_id": F.col("first.doc_id"), "kept": F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_hash") == F.col("text_hash"))}).drop("__fp", "first")
