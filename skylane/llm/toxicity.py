@@ -13,8 +13,11 @@ step emits the pattern that the whole state stands for (an insult at a target,
 a negated insult, a reported threat, ...). A clause's patterns become a document's
 features, and a logistic model fitted on labelled rows weighs the patterns.
 
-The word classes start from the lists below. Insulting words are also learned: words
-and word stems that labelled toxic texts have and clean ones lack. Both fits use at most
+The word classes start from the lists below. Words are also learned: words and word
+stems that labelled toxic texts have and clean ones lack. They pass through the same states
+as insults, so a negated or reported one counts as such, and weigh by their clause. The
+fitted weights stay near a multiple of the start weights and keep their order (at a target,
+plain, reported, negated), so no sample can turn it round. Both fits use at most
 ``sample`` labelled rows (those with the smallest hash of their id), equal texts
 once; that is their documented bound. Scoring covers every document.
 
@@ -46,8 +49,20 @@ WORDS = {
     "negation": "not no never isn't aren't wasn't weren't don't doesn't didn't won't can't cannot without nobody".split(),
     "report": "said says say called calls wrote writes claimed claims quoted tweeted shouted heard read reported alleged".split(),
 }
-PATTERNS = ("insult", "strong_insult", "insult_at_target", "negated_insult", "reported_insult", "threat", "negated_threat", "reported_threat", "learned")
-START_WEIGHTS = {"insult": 2.0, "strong_insult": 2.5, "insult_at_target": 3.0, "negated_insult": -0.5, "reported_insult": 0.3, "threat": 3.0, "negated_threat": -0.5, "reported_threat": 0.3, "learned": 1.0}
+#: Weights before any label is seen. Words that labels taught stand in the same forms as insults.
+START_WEIGHTS = {
+    "insult": 2.0, "strong_insult": 2.5, "insult_at_target": 3.0, "negated_insult": -0.5, "reported_insult": 0.3,
+    "threat": 3.0, "negated_threat": -0.5, "reported_threat": 0.3,
+    "learned": 1.0, "learned_at_target": 1.5, "negated_learned": -0.25, "reported_learned": 0.15,
+}
+PATTERNS = tuple(START_WEIGHTS)
+#: No fit may turn these round: each pattern weighs at most as much as the next.
+CHAINS = (
+    ("negated_insult", "reported_insult", "insult", "strong_insult"),
+    ("negated_insult", "reported_insult", "insult", "insult_at_target"),
+    ("negated_threat", "reported_threat", "threat"),
+    ("negated_learned", "reported_learned", "learned", "learned_at_target"),
+)
 BIAS = -2.5
 CLAUSE = re.compile(r"[.!?;:\n]+")
 TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*|[\"“”«»]")
@@ -96,12 +111,10 @@ class Grammar:
         else:
             left = max(left - 1, 0)
             stage = stage if left else 0
-        if kind == "insult":
-            emitted = "insult_at_target" if target else "strong_insult" if intensified else "insult"
-        elif kind == "learned":
-            emitted = "learned"
-        if emitted and emitted != "learned":
-            base = "threat" if emitted == "threat" else "insult"
+        base = "threat" if emitted else kind if kind in ("insult", "learned") else None
+        if base and not emitted:
+            emitted = f"{base}_at_target" if target else "strong_insult" if intensified and base == "insult" else base
+        if base:
             emitted = f"negated_{base}" if negation else f"reported_{base}" if report else emitted
         out = ((target, negation, report, kind == "intensifier", stage, left), emitted)
         self.moves[state, kind] = out
@@ -123,30 +136,26 @@ class Grammar:
                 yield found
 
     def features(self, text: str | None) -> np.ndarray:
-        """Clauses with each pattern (log), the weight of learned words, and whether any clause was hit."""
-        out = np.zeros(len(PATTERNS) + 1)
-        seen: dict[str, float] = {}
-        hit = 0
+        """How much clauses match each pattern (log): a clause counts once, a learned word once, by its weight."""
+        out = np.zeros(len(PATTERNS))
+        seen = set()
         for found in self.clauses(text or ""):
-            hit += 1
-            for p in {p for p, _ in found}:
-                out[PATTERNS.index(p)] += 1
-            seen.update((w, self.learned[w]) for p, w in found if p == "learned")
-        out = np.log1p(out)
-        out[PATTERNS.index("learned")] = min(sum(seen.values()), 10.0)
-        out[-1] = float(hit > 0)
-        return out
+            for p, w in dict.fromkeys((p, w if w in self.learned else "") for p, w in found):
+                if not w or (p, w) not in seen:
+                    seen.add((p, w))
+                    out[PATTERNS.index(p)] += self.learned.get(w, 1.0)
+        return np.log1p(out)
 
 
 @dataclass
 class ToxicityModel:
     learned: dict[str, float] = field(default_factory=dict)
-    weights: list[float] = field(default_factory=lambda: [START_WEIGHTS[p] for p in PATTERNS] + [0.0])
+    weights: list[float] = field(default_factory=lambda: list(START_WEIGHTS.values()))
     bias: float = BIAS
 
     def scores(self, texts: list[str | None], grammar: Grammar | None = None) -> np.ndarray:
         grammar = grammar or Grammar(self.learned)
-        x = np.array([grammar.features(t) for t in texts]).reshape(len(texts), len(PATTERNS) + 1)
+        x = np.array([grammar.features(t) for t in texts]).reshape(len(texts), len(PATTERNS))
         return 1 / (1 + np.exp(-np.clip(x @ np.array(self.weights) + self.bias, -30, 30)))
 
 
@@ -155,19 +164,63 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[list[float], float]:
-    """Newton steps on a ridge-penalised logistic loss."""
-    a = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(a.shape[1])
-    penalty = np.full(len(w), ridge)
-    penalty[-1] = 1e-6
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(penalty), a.T @ (y - p) - penalty * w)
-        w += step
-        if np.abs(step).max() < 1e-8:
+def _newton(a: np.ndarray, y: np.ndarray, at: np.ndarray, penalty: np.ndarray, offset: np.ndarray | float = 0.0) -> np.ndarray:
+    """The minimum of a logistic loss with a ridge towards ``at``: Newton steps, each halved until the loss falls.
+
+    Classes that the patterns part cleanly leave next to no curvature, where whole steps would run away.
+    """
+
+    def loss(w: np.ndarray) -> float:
+        z = a @ w + offset
+        return float((np.logaddexp(0, z) - y * z).sum() + (penalty * (w - at) ** 2).sum() / 2)
+
+    w, now = at.copy(), loss(at)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(a @ w + offset, -500, 500)))
+        slope = a.T @ (p - y) + penalty * (w - at)
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(penalty), -slope)
+        size = 1.0
+        while (after := loss(w + size * step)) > now and size > 1e-10:
+            size /= 2
+        if after >= now:
+            break
+        w, was, now = w + size * step, now, after
+        if was - now < 1e-9 * max(1.0, now):
             break
-    return w[:-1].tolist(), float(w[-1])
+    return w
+
+
+def _in_order(w: np.ndarray, support: np.ndarray) -> np.ndarray:
+    """``w`` with the order of ``CHAINS``: neighbours that break it take their mean, weighted by support."""
+    w = w.copy()
+    for _ in range(100):
+        was = w.copy()
+        for chain in CHAINS:
+            ks = [PATTERNS.index(p) for p in chain]
+            for lo, hi in zip(ks, ks[1:]):
+                if w[lo] > w[hi]:
+                    w[[lo, hi]] = np.average(w[[lo, hi]], weights=support[[lo, hi]])
+        if np.abs(w - was).max() < 1e-9:
+            break
+    for chain in CHAINS:  # what the last rounds left of a violation
+        ks = [PATTERNS.index(p) for p in chain]
+        w[ks[0]] = min(w[ks[0]], 0.0)
+        w[ks] = np.maximum.accumulate(w[ks])
+    return w
+
+
+def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[list[float], float]:
+    """Weights near a multiple of the start weights, in their order, and the bias that goes with them.
+
+    The multiple is fitted, so a pattern without examples keeps its place among the others.
+    """
+    start, one = np.array(list(START_WEIGHTS.values())), np.ones((len(x), 1))
+    a = np.column_stack([x @ start, x, one])
+    first = np.concatenate([[1.0], np.zeros(len(start)), [BIAS]])
+    fit = _newton(a, y, first, np.concatenate([[ridge], np.full(len(start), ridge), [ridge / 10]]))
+    w = _in_order(max(fit[0], 0.1) * start + fit[1:-1], 1.0 + (x > 0).sum(axis=0))
+    bias = _newton(one, y, np.array([BIAS]), np.array([ridge / 10]), x @ w)
+    return w.tolist(), float(bias[0])
 
 
 def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

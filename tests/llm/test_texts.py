@@ -1,9 +1,11 @@
 """Operators on texts against brute force: edge rows, empty tables, clashing columns."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -19,9 +21,12 @@ from skylane.llm.exact import CountingQuotientFilter, exact_dedup
 from skylane.llm.licenses import PHRASES, TEMPLATES, scan_licenses, template_tokens, template_words
 from skylane.llm.lines import line_dedup
 from skylane.llm.packing import cut, pack_documents, packed_sequences, plan_best_fit, token_pieces
+from skylane.llm.queries import SQL
 from skylane.llm.simhash import simhash_dedup, trie_pairs
 from skylane.llm.substring import substring_dedup
-from skylane.llm.toxicity import Grammar, ToxicityModel, fit_toxicity, score_toxicity
+from skylane.llm.toxicity import PATTERNS, WORDS, Grammar, ToxicityModel, _fit_logistic, fit_toxicity, score_toxicity
+
+from skylane.llm.vectors import embedding_dedup
 
 from .conftest import odd_texts
 
@@ -369,6 +374,41 @@ def test_line_dedup_in_a_large_leaf(spark):
         assert got.pop(-1) == 0 and len(got) == 64 * copies + 16 and set(got.values()) == {1}
 
 
+def test_line_dedup_equals_its_sql(spark):
+    """Large leaves, two templates in a leaf, verbatim lines with digits and odd white space, as DuckDB sees them."""
+    rng = np.random.default_rng(4)
+    names, cities = "Ann Bob Cy Di Ed Flo Gus Hal".split(), "Oslo Rome Paris Bonn Kyiv Lima Cork Riga".split()
+    lines = [f"Visits to the site from {a} in {b}" for a in names for b in cities]
+    lines += [f"Visits to the page by {a} on {b}" for a in names[:4] for b in cities[:4]]
+    lines += ["Page 3 of 10", "Copyright 2024", "12:30", " 555  0199\t12 ", "<*> <*>", "1 2", "", "Visits to the old pond were quiet once", "a<*>b 7"]
+    lines += [f"Page {i} of 1{i}" for i in range(5)] + [f"the {a} went {b}" for a in names for b in cities]
+    rows = [(i, "\n".join(rng.choice(lines, size=rng.integers(0, 9)))) for i in range(160)] + [(200, None), (201, "\n\n")]
+    got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = Counter((r.doc_id, r.n_lines, r.n_dropped, sha((r.kept_text).encode())) for r in got.collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = con.execute("SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM (" + SQL["op3_line_dedup"] + ")").fetchall()
+    assert got == Counter(map(tuple, want))
+    assert sum(n for _, _, n, _ in want) > 100
+
+
+@pytest.mark.parametrize("operator", [substring_dedup, simhash_dedup, line_dedup, exact_dedup, scan_licenses, embedding_dedup])
+def test_columns_with_internal_names_come_back(spark, operator):
+    names = ["__id", "__tx", "__fp", "__v", "__gone", "__kept", "__spans", "__anchors", "__mine", "__norm", "first", "row", "rest"]
+    text = "one two three four five " * 9
+    rows = [(i, text, [1.0, float(i % 2)], {"a": i}, *[f"{c} {i}" for c in names]) for i in range(4)]
+    extra = ", ".join(f"{c} string" for c in names)
+    df = spark.createDataFrame(rows, f"doc_id long, text string, embedding array<double>, notes map<string,int>, {extra}")
+    if operator is embedding_dedup:
+        df = df.withColumnRenamed("doc_id", "vec_id")
+    got = operator(df)
+    assert set(names) | {"notes"} <= set(got.columns)
+    id_col = got.columns[got.columns.index("vec_id" if operator is embedding_dedup else "doc_id")]
+    for r in got.collect():
+        assert [r[c] for c in names] == [f"{c} {r[id_col]}" for c in names] and r["notes"] == {"a": r[id_col]}
+
+
 def test_line_dedup_of_verbatim_lines_with_digits(spark):
     """Lines that are mostly fields go when three documents have them as they stand, not when only the fields match."""
     same = ["Page 3 of 10", "Copyright 2024", "12:30", " 555  0199\t12 "]
@@ -391,6 +431,57 @@ def test_grammar_tells_patterns_apart():
     assert of("he wrote that I will kill you") == ["reported_threat"]
     assert of("I will not kill you") == ["negated_threat"]
     assert of("kill the process") == [] and of("a nice day") == [] and of("zorb") == ["learned"]
+    assert of("you zorb") == ["learned_at_target"] and of("not a zorb") == ["negated_learned"] and of("they say zorb") == ["reported_learned"]
+
+
+def plain_patterns(text, learned):
+    """The patterns of a text by looking back from each word, without states."""
+    out = []
+    kind = {w: c for c, ws in WORDS.items() for w in ws} | dict.fromkeys(learned, "learned") | dict.fromkeys('"“”«»', "report")
+    for clause in re.split(r"[.!?;:\n]+", text.lower()):
+        ws = re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)*|[\"“”«»]", clause)
+        ks = [kind.get(w, "other") for w in ws]
+        if not any(k in ("insult", "harm", "learned") for k in ks):
+            continue
+        begun = 0  # a threat takes words from here on only
+        for i, k in enumerate(ks):
+            near = lambda c, n: c in ks[max(0, i - n + 1) : i + 1]
+            base = None
+            if k in ("insult", "learned"):
+                base, form = k, f"{k}_at_target" if near("target", 6) else "strong_insult" if k == "insult" and i and ks[i - 1] == "intensifier" else k
+            elif k == "target":
+                # intention, then harm within reach of it, then this person within reach of the harm
+                for j in range(max(begun, i - 6), i):
+                    since = [m for m in range(max(begun, j - 6), j) if ks[m] == "intent"]
+                    # the last intention or harm before it decides
+                    later = [m for m in range(j + 1, i) if ks[m] == "intent"]
+                    if ks[j] == "harm" and since and not later:
+                        base = form = "threat"
+                if base:
+                    begun = i + 1
+            if base:
+                out.append(f"negated_{base}" if near("negation", 3) else f"reported_{base}" if "report" in ks[: i + 1] else form)
+    return out
+
+
+@settings(max_examples=300, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.sampled_from("you idiot not so he will said zorb day of the . , kill".split()), max_size=14))
+def test_grammar_against_a_reader_without_states(words):
+    g = Grammar({"zorb": 2.0})
+    text = " ".join(words)
+    assert [p for c in g.clauses(text) for p, _ in c] == plain_patterns(text, ["zorb"])
+
+
+SAID = ["I will kill you", "you are an idiot", "an idiot", "he said an idiot came", "you are not an idiot", "a nice day"]
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_fitted_weights_keep_the_order_of_the_patterns(spark, sf):
+    d = f"/root/testdata/sf{sf}"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    for model in (ToxicityModel(), fit_toxicity(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"))):
+        threat, at, plain, said, negated, none = model.scores(SAID)
+        assert threat >= 0.3 and at >= 0.3 and at >= plain > said >= negated and none >= negated and negated < 0.3 and none < 0.3
 
 
 def test_toxicity(spark, odd_docs, no_docs):
@@ -410,6 +501,21 @@ def test_toxicity(spark, odd_docs, no_docs):
     assert score_toxicity(no_docs, base).collect() == [] and fit_toxicity(no_docs, labels).learned == {}
 
 
+@pytest.mark.parametrize("rows", [40, 2_000, 20_000])
+def test_fits_of_cleanly_parted_classes_stay_in_place(rows):
+    """However many rows, and however strong their patterns, texts without a pattern score low and insults high."""
+    rng = np.random.default_rng(6)
+    y = (np.arange(rows) % 8 == 0).astype(float)
+    x = np.zeros((rows, len(PATTERNS)))
+    for p in ("insult", "insult_at_target", "learned"):
+        x[y == 1, PATTERNS.index(p)] = np.log1p(rng.integers(1, 60, int(y.sum())))
+    for toxic in (x, np.where(rng.random(x.shape) < 0.01, 1.0, x)):
+        weights, bias = _fit_logistic(toxic, y)
+        score = 1 / (1 + np.exp(-(toxic @ np.array(weights) + bias)))
+        assert np.isfinite(weights).all() and bias < -2
+        assert (score[(y == 0) & ~toxic.any(axis=1)] < 0.1).all() and (score[y == 1] > 0.5).all()
+
+
 def test_held_out_rows_do_not_teach(spark):
     docs = spark.createDataFrame([(i, "bad" if zlib.crc32(str(i).encode()) % 4 == 2 else "good") for i in range(200)], "doc_id long, text string")
     labels = docs.select("doc_id", (F.col("text") == "bad").cast("int").alias("toxic"))
