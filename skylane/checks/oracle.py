@@ -616,3 +616,5 @@ r AS (SELECT feature, importance, CAST(row_number() OVER (ORDER BY importance DE
 """
 SQL["split_count_ranking"] = _SPLITS + "SELECT * FROM r"
 SQL["split_count_top15"] = _SPLITS + "SELECT * FROM r WHERE rank <= 15"
+SQL["cleaning_counts"] = C + """SELECT 'loaded' AS step, count(*) AS n_rows FROM flights UNION ALL SELECT 'completed', count(*) FROM eligible
+UNION ALL SELECT 'in_range', count(*) FROM in_range, sbounds WHERE ARRIVAL_DELAY BETWEEN sbounds.lo AND sbounds.hi UNION ALL SELECT 'complete', count(*) FROM cleaned"""

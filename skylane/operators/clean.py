@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.features import day_of_year as _doy
@@ -163,17 +163,37 @@ def airport_coordinates(flights: DataFrame, airports: DataFrame) -> DataFrame:
     return out.drop("ORIGIN_AIRPORT", "DESTINATION_AIRPORT")
 
 
+class StepCounts:
+    """Rows after each named step, counted by the first action that runs it and not by a job of its own."""
+
+    def __init__(self):
+        self.seen: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, step: str) -> DataFrame:
+        """``df`` with its rows counted under ``step``; filters that follow stay above the count."""
+        self.seen[step] = Observation()
+        return df.observe(self.seen[step], F.count(F.lit(1)).alias("n"))
+
+    def rows(self) -> list[tuple[str, int]]:
+        """(step, rows) in order; waits for the action."""
+        return [(step, o.get["n"]) for step, o in self.seen.items()]
+
+
 def clean_flights(flights: DataFrame, airports: DataFrame, lower: float = 0.0, upper: float = 1.0,
-                  sigmas: float = 1.0) -> DataFrame:
+                  sigmas: float = 1.0, counts: StepCounts | None = None) -> DataFrame:
     """P1 -> P2 -> F1 -> X8 -> F2 -> P3 -> F3 -> J1 -> F6.
 
     The airport lookups are left joins on unique keys and change no row, so the
     target's statistics come from its narrow projection before them, and the
     target filter sits below both lookups, where it can reach the scan. Nothing is cached.
+
+    With ``counts`` the rows loaded, completed, in range and complete are counted on the way,
+    the first two by the statistics' pass; without it no count holds up a filter.
     """
-    df = drop_sparse_columns(flights)
+    watch = counts.watch if counts else lambda df, step: df
+    df = watch(drop_sparse_columns(flights), "loaded")
     df = drop_leakage_columns(df)
-    df = completed_flights(df)
+    df = watch(completed_flights(df), "completed")
     df = add_day_of_year(df)
     target = F.col("ARRIVAL_DELAY")
     if lower <= 0.0 and upper >= 1.0:
@@ -192,4 +212,5 @@ def clean_flights(flights: DataFrame, airports: DataFrame, lower: float = 0.0, u
         df = quantile_filter(df, "ARRIVAL_DELAY", lower, upper)
         df = drop_useless_columns(df)
         df = sigma_filter(df, "ARRIVAL_DELAY", sigmas)
-    return drop_null_rows(airport_coordinates(df, airports))
+    df = watch(df, "in_range")
+    return watch(drop_null_rows(airport_coordinates(df, airports)), "complete")

@@ -140,6 +140,17 @@ def q_clean(spark, sf):
     return training.cleaned(spark, sf)
 
 
+@query("cleaning_counts")
+def q_cleaning_counts(spark, sf):
+    """F6 + A19: rows after each cleaning step, counted while the cleaned table is written."""
+    from ..sources.tables import airports_view, write_table
+    from .scoring import shared_path
+
+    counts = clean.StepCounts()
+    write_table(clean.clean_flights(flights_view(spark, sf), airports_view(spark, sf), counts=counts), shared_path(spark, "cleaned"))
+    return spark.createDataFrame(counts.rows(), "step string, n_rows long")  # four rows
+
+
 # --------------------------------------------------------------- features ---
 
 def _event_clock(spark, sf):
