@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -68,6 +68,47 @@ def write_importance(importance: DataFrame, path: str) -> None:
     write_table(importance, path, fmt="csv")
 
 
+def _files(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def published(spark: SparkSession, root: str) -> list[str]:
+    """Folders of the complete versions under ``root``, oldest first."""
+    fs, p = _files(spark, f"{root}/manifest")
+    if not fs.exists(p):
+        return []
+    # a manifest that broke off has no committed file, so it names no version
+    rows = spark.read.schema("version string").json(f"{root}/manifest/*").collect()  # as many as are kept
+    return [f"{root}/versions/{v}" for v in sorted(r["version"] for r in rows)]
+
+
+def publish(spark: SparkSession, root: str, write: Callable[[str], None], keep: int = 2) -> str:
+    """A new version under ``root``: ``write`` fills a folder of its own, and only then a manifest names it.
+
+    Readers follow the manifests, so they see the former version until everything of the new one is
+    written. The last ``keep`` versions stay, older ones and their manifests go.
+    """
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    folder = f"{root}/versions/{version}"
+    write(folder)
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.json(f"{root}/manifest/{version}")
+    for old in published(spark, root)[:-keep]:
+        # the manifest first, so that no reader is sent to a folder that goes
+        for path in (f"{root}/manifest/{old.rsplit('/', 1)[1]}", old):
+            fs, p = _files(spark, path)
+            fs.delete(p, True)
+    return folder
+
+
+def load_published(spark: SparkSession, root: str) -> tuple[bayes.GaussianNB, feats.FittedFeatures]:
+    """The scorer of the latest complete version under ``root``."""
+    versions = published(spark, root)
+    if not versions:
+        raise FileNotFoundError(f"{root} has no complete version")
+    return load_scorer(spark, versions[-1])
+
+
 def load_scorer(spark: SparkSession, path: str) -> tuple[bayes.GaussianNB, feats.FittedFeatures]:
     """The model and the feature fit that ``train_and_save`` wrote to ``path``."""
     return bayes.GaussianNB.load(spark, f"{path}/model"), feats.FittedFeatures.load(spark, f"{path}/features")
@@ -79,7 +120,8 @@ def train_and_save(spark: SparkSession, sf_dir: str, smoothing: float = bayes.DE
 
     Returns (model, metrics DataFrame, output folder). The metrics frame holds the
     train/test rows plus cv_mean, cv_std, var_smoothing and threshold; the folder also
-    has the model and the feature fit (see ``load_scorer``) and the times.
+    has the model and the feature fit (see ``load_scorer``) and the times. It is a version of
+    its own under ``out_dir``, which readers see once it is complete (``load_published``).
     """
     sfe = training.split_features(spark, sf_dir)
     feat = list(feats.KEEP_FEATURES)
@@ -95,11 +137,13 @@ def train_and_save(spark: SparkSession, sf_dir: str, smoothing: float = bayes.DE
         "split string, metric string, value double",
     )
     report = rows.unionByName(extra)
-    out_dir = out_dir or shared_path(spark, "nb_model")
-    model.save(spark, f"{out_dir}/model")
-    sfe.fitted.save(spark, f"{out_dir}/features")
-    write_metrics(report, f"{out_dir}/metrics")
     meta = {"feature_columns": feat, "var_smoothing": smoothing, "threshold": threshold,
             "training_and_report_time": fit_time, "trained_at": time.time()}
-    spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(f"{out_dir}/meta")
-    return model, report, out_dir
+
+    def write(folder: str) -> None:
+        model.save(spark, f"{folder}/model")
+        sfe.fitted.save(spark, f"{folder}/features")
+        write_metrics(report, f"{folder}/metrics")
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(f"{folder}/meta")
+
+    return model, report, publish(spark, out_dir or shared_path(spark, "nb_model"), write)

@@ -157,3 +157,34 @@ def test_broadcast_limit_counts_bytes(spark):
     assert "broadcast" in p(joins.lookup_join(fact, dim, ["k"]))
     salted = joins.lookup_join(fact, dim, ["k"], max_broadcast_bytes=100)
     assert "broadcast" not in p(salted) and salted.count() == 1000
+
+
+def test_a_publication_that_breaks_off_leaves_the_former_model(spark, tmp_path):
+    from skylane.plans import scoring
+
+    root = str(tmp_path / "models")
+    table = lambda x: spark.createDataFrame([(x,)], "x int").coalesce(1).write
+
+    def version(x, broken=False):
+        def write(folder):
+            table(x).parquet(f"{folder}/model")
+            if broken:
+                raise RuntimeError("lost")
+            table(x).parquet(f"{folder}/features")
+
+        return write
+
+    assert scoring.published(spark, root) == []
+    with pytest.raises(FileNotFoundError):
+        scoring.load_published(spark, root)
+    first = scoring.publish(spark, root, version(1))
+    with pytest.raises(RuntimeError):
+        scoring.publish(spark, root, version(2, broken=True))
+    assert scoring.published(spark, root) == [first]
+    # a manifest without its committed file names nothing either
+    (tmp_path / "models" / "manifest" / "99999-x" / "_temporary").mkdir(parents=True)
+    assert scoring.published(spark, root) == [first]
+    second, third = (scoring.publish(spark, root, version(x)) for x in (3, 4))
+    assert scoring.published(spark, root) == [second, third]
+    assert not (tmp_path / "models" / "versions" / first.rsplit("/", 1)[1]).exists()
+    assert spark.read.parquet(f"{third}/model").first().x == 4
