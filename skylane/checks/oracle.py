@@ -235,6 +235,17 @@ FROM lineitem, (SELECT avg(l_extendedprice) AS mu, stddev_pop(l_extendedprice) A
 SQL["min_max"] = f"""SELECT l_orderkey, l_linenumber,
   {R('CASE WHEN s.hi = s.lo THEN 0.0::double ELSE (l_extendedprice - s.lo) / (s.hi - s.lo) END')} AS PRICE_NORMALIZED
 FROM lineitem, (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem) s"""
+_CATEGORY_INDEX = """
+cats AS (SELECT 'customer' AS "column", cast(o_custkey AS varchar) AS category, count(*) AS rows FROM orders GROUP BY 2
+         UNION ALL SELECT 'priority', o_orderpriority, count(*) FROM orders GROUP BY 2),
+cat_index AS (SELECT "column", category, rows, row_number() OVER (PARTITION BY "column" ORDER BY category NULLS LAST) - 1 AS index FROM cats)"""
+SQL["category_index"] = f"WITH {_CATEGORY_INDEX} SELECT * FROM cat_index"
+SQL["category_vectors"] = f"""WITH {_CATEGORY_INDEX},
+cat_n AS (SELECT "column", count(*) AS n FROM cat_index GROUP BY 1),
+cat_text AS (SELECT "column", category, '(' || n || ',[' || index || '],[1.0])' AS vec FROM cat_index JOIN cat_n USING ("column"))
+SELECT o_orderkey, c.vec AS customer, p.vec AS priority FROM orders
+JOIN cat_text c ON c."column" = 'customer' AND c.category IS NOT DISTINCT FROM cast(o_custkey AS varchar)
+JOIN cat_text p ON p."column" = 'priority' AND p.category IS NOT DISTINCT FROM o_orderpriority"""
 SQL["one_hot"] = """SELECT o_orderkey AS O_ORDERKEY,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0::double ELSE 0.0::double END AS "O_ORDERPRIORITY_1-URGENT",
   CASE WHEN o_orderpriority = '2-HIGH' THEN 1.0::double ELSE 0.0::double END AS "O_ORDERPRIORITY_2-HIGH",

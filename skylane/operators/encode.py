@@ -62,24 +62,28 @@ def normalize_column(df: DataFrame, col: str, method: str = "standard") -> DataF
 
 # ---------------------------------------------------------------- one-hot ---
 
-def fit_categories(df: DataFrame, cols: Sequence[str], max_categories: int | None = None) -> dict[str, list]:
+# Values that may become columns of their own; a schema of more serves nobody (see ``categories``).
+NAMED_CATEGORIES = 10_000
+
+
+def fit_categories(df: DataFrame, cols: Sequence[str], max_categories: int = NAMED_CATEGORIES) -> dict[str, list]:
     """Sorted distinct values per column (NULL last, as its own category).
 
     All columns are scanned in one job over (column, value) pairs. Every value becomes
-    a column, so the list is as long as the schema it makes; ``max_categories``
-    turns a longer one into an error.
+    a column, so the list is as long as the schema it makes. More than
+    ``max_categories`` values are an error; ``categories.fit_category_vectors`` encodes any number.
     """
     cols = list(cols)
     pairs = df.select(
         F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)])).alias("p")
     ).select("p.i", "p.v").distinct()
-    rows = (pairs.limit(max_categories * len(cols) + 1) if max_categories else pairs).collect()
+    rows = pairs.limit(max_categories * len(cols) + 1).collect()
     cats: dict[str, list] = {c: [] for c in cols}
     for r in rows:
         cats[cols[r["i"]]].append(r["v"])
     for c, vals in cats.items():
-        if max_categories and len(vals) > max_categories:
-            raise ValueError(f"{c}: more than {max_categories} categories; refusing to one-hot encode")
+        if len(vals) > max_categories:
+            raise ValueError(f"{c}: more than {max_categories} categories; fit_category_vectors encodes them")
         vals.sort(key=lambda v: (v is None, v))
     return cats
 
@@ -100,7 +104,7 @@ def apply_one_hot(df: DataFrame, cats: dict[str, list], drop_source: bool = True
     return out.drop(*cats) if drop_source else out
 
 
-def one_hot_encode(df: DataFrame, col: str, max_categories: int | None = None) -> DataFrame:
+def one_hot_encode(df: DataFrame, col: str, max_categories: int = NAMED_CATEGORIES) -> DataFrame:
     """X11 fitted on ``df`` itself."""
     if col not in df.columns:
         raise ValueError(f"Column '{col}' not found")

@@ -222,6 +222,28 @@ def q_onehot(spark, sf):
     return encode.uppercase_columns(encode.one_hot_encode(o, "o_orderpriority"))
 
 
+def _order_categories(spark, sf):
+    return read_table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"), F.col("o_orderpriority").alias("priority"))
+
+
+@query("category_index")
+def q_category_index(spark, sf):
+    """A7 for any number of values: customers and priorities of all orders, numbered in their order."""
+    from ..operators.categories import category_index
+
+    return category_index(_order_categories(spark, sf), ["customer", "priority"])
+
+
+@query("category_vectors")
+def q_category_vectors(spark, sf):
+    """X11 as sparse vectors, written out as text: one customer and one priority vector an order."""
+    from ..operators.categories import fit_category_vectors
+
+    o = _order_categories(spark, sf)
+    out = fit_category_vectors(o, ["customer", "priority"]).transform(o)
+    return out.select("o_orderkey", F.col("customer_VEC").cast("string").alias("customer"), F.col("priority_VEC").cast("string").alias("priority"))
+
+
 @query("frequency")
 def q_frequency(spark, sf):
     li = _lineitem_prices(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey")

@@ -127,7 +127,7 @@ class FittedFeatures:
 
 
 def fit_features(train: DataFrame, one_hot: bool = True, period_from: str = "hhmm",
-                 max_categories: int | None = None) -> FittedFeatures:
+                 max_categories: int = encode.NAMED_CATEGORIES) -> FittedFeatures:
     base = scalar_features(train, period_from)
     scalers = encode.fit_scalers(base, SCALED_COLUMNS, "standard")
     cats = encode.fit_categories(base, ONE_HOT_COLUMNS, max_categories) if one_hot else {}
