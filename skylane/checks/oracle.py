@@ -495,27 +495,34 @@ nn_ranked AS (SELECT ROW_ID, d2, row_number() OVER (PARTITION BY ROW_ID ORDER BY
 SELECT ROW_ID, cast(slot as integer) AS slot, {R('d2')} AS d2 FROM nn_ranked WHERE slot < 5"""
 
 
-def _smote_sql(ratio: float | None) -> str:
+def _smote_ctes(cols: list[str], train: str, ratio: float | None) -> str:
+    """``allrows``: ``train`` and its synthetic rows, neighbours by brute force; a whole-number column stays one (cut off)."""
     target = "n_maj" if ratio is None else f"cast(floor({ratio} * n_maj) as bigint)"
-    tie = "md5(concat_ws(',', " + ", ".join(f"cast(cast(floor({c} * 1e6 + 0.5) as bigint) as varchar)" for c in KEEP) + "))"
-    same = " AND ".join(f"a.{c} = b.{c}" for c in KEEP)
-    new = ", ".join(f"b.{c} + d.u * (n.{c} - b.{c}) AS {c}" for c in KEEP)
+    tie = "md5(concat_ws(',', " + ", ".join(f"cast(cast(floor({c} * 1e6 + 0.5) as bigint) as varchar)" for c in cols) + "))"
+    same = " AND ".join(f"a.{c} = b.{c}" for c in cols)
+    d2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in cols)
+    point = {c: f"b.{c} + d.u * (n.{c} - b.{c})" for c in cols}
+    new = ", ".join((f"cast(trunc({x}) AS integer)" if c == "IS_WEEKEND" else x) + f" AS {c}" for c, x in point.items())
     digits = lambda text, n: f"cast(('0x' || substr(md5('42|{text}' || cast(j as varchar)), 1, {n})) as bigint)"
-    return FEAT_FIT.rstrip() + f""",
-cnt AS (SELECT ARRIVAL_DELAY AS y, count(*) AS n FROM train GROUP BY 1),
+    return f"""
+cnt AS (SELECT ARRIVAL_DELAY AS y, count(*) AS n FROM {train} GROUP BY 1),
 roles AS (SELECT (SELECT y FROM cnt ORDER BY n, y LIMIT 1) AS ymin, (SELECT n FROM cnt ORDER BY n, y LIMIT 1) AS n_min,
                  (SELECT n FROM cnt ORDER BY n DESC, y DESC LIMIT 1) AS n_maj),
 mins AS (SELECT t.*, row_number() OVER (ORDER BY md5('42|' || ROW_ID), ROW_ID) - 1 AS idx, {tie} AS tie
-         FROM train t, roles WHERE t.ARRIVAL_DELAY = roles.ymin),
-near AS (SELECT a.idx, b.idx AS nidx, row_number() OVER (PARTITION BY a.idx ORDER BY CASE WHEN {same} THEN 0 ELSE 1 END, round({_D2}, 9), b.tie, b.idx) - 1 AS slot
+         FROM {train} t, roles WHERE t.ARRIVAL_DELAY = roles.ymin),
+near AS (SELECT a.idx, b.idx AS nidx, row_number() OVER (PARTITION BY a.idx ORDER BY CASE WHEN {same} THEN 0 ELSE 1 END, round({d2}, 9), b.tie, b.idx) - 1 AS slot
          FROM mins a JOIN mins b ON a.idx <> b.idx),
 draws AS (SELECT j, {digits('smote-base|', 15)} % roles.n_min AS idx, {digits('smote-nn|', 15)} % least(5, roles.n_min - 1) AS slot,
                  {digits('smote-u|', 8)} / 4294967296.0::double AS u
           FROM roles, (SELECT unnest(range((SELECT {target} - n_min FROM roles))) AS j)),
-allrows AS (SELECT ROW_ID, ARRIVAL_DELAY, {', '.join(KEEP)} FROM train
+allrows AS (SELECT ROW_ID, ARRIVAL_DELAY, {', '.join(cols)} FROM {train}
             UNION ALL
             SELECT md5(b.ROW_ID || '|smote|' || cast(d.j as varchar)), b.ARRIVAL_DELAY, {new}
-            FROM draws d JOIN mins b USING (idx) JOIN near ON near.idx = d.idx AND near.slot = d.slot JOIN mins n ON n.idx = near.nidx)
+            FROM draws d JOIN mins b USING (idx) JOIN near ON near.idx = d.idx AND near.slot = d.slot JOIN mins n ON n.idx = near.nidx)"""
+
+
+def _smote_sql(ratio: float | None) -> str:
+    return FEAT_FIT.rstrip() + "," + _smote_ctes(KEEP, "train", ratio) + f"""
 SELECT ROW_ID, ARRIVAL_DELAY, {', '.join(f"{R(c)} AS {c}" for c in KEEP)} FROM allrows"""
 
 
@@ -524,14 +531,17 @@ SQL["smote_ratio"] = _smote_sql(0.3)
 
 
 def _variant_sql(features: list[str], train: str = "ftrain", test: str = "ftest", name: str = "all_features",
-                 extra_ctes: str = "") -> str:
+                 extra_ctes: str = "", chosen: str | None = None) -> str:
+    """``chosen`` is a table (feature, selected) whose 0/1 weighs each feature's part of the sums."""
+    weight = [f"(SELECT selected FROM {chosen} WHERE feature = '{c}') * " if chosen else "" for c in features]
+    n_features = f"(SELECT cast(sum(selected) AS integer) FROM {chosen})" if chosen else len(features)
     mom = ", ".join(f"avg(t.{c}) AS t_{i}, var_pop(t.{c}) AS v_{i}" for i, c in enumerate(features))
-    overall = "greatest(" + ", ".join(f"var_pop(t.{c})" for c in features) + ")"
+    overall = "greatest(" + ", ".join(f"{w}var_pop(t.{c})" for c, w in zip(features, weight)) + ")"
     grid_list = ", ".join(repr(g) for g in GRID)
 
     def j(alias, src="x", var_expr=lambda a, i: f"({a}.v_{i} + g.sm * {a}.mv)"):
-        const = f"ln({alias}.prior) - 0.5 * (" + " + ".join(f"ln(2 * pi() * {var_expr(alias, i)})" for i in range(len(features))) + ")"
-        quad = " + ".join(f"({src}.{c} - {alias}.t_{i}) * ({src}.{c} - {alias}.t_{i}) / {var_expr(alias, i)}" for i, c in enumerate(features))
+        const = f"ln({alias}.prior) - 0.5 * (" + " + ".join(f"{w}ln(2 * pi() * {var_expr(alias, i)})" for i, w in enumerate(weight)) + ")"
+        quad = " + ".join(f"{w}({src}.{c} - {alias}.t_{i}) * ({src}.{c} - {alias}.t_{i}) / {var_expr(alias, i)}" for i, (c, w) in enumerate(zip(features, weight)))
         return f"(({const}) - 0.5 * ({quad}))"
 
     return FEAT_ALL.rstrip() + ",\n" + (extra_ctes.strip() + ",\n" if extra_ctes else "") + f"""
@@ -559,7 +569,7 @@ scp AS (SELECT y, CASE WHEN j0 - j1 > 0 THEN exp(-(j0 - j1)) / (1 + exp(-(j0 - j
 sct AS (SELECT y AS ARRIVAL_DELAY, PROBA, CASE WHEN PROBA >= 0.5 THEN 1 ELSE 0 END AS PRED FROM scp),
 cc AS ({confusion("sct", "PRED")})
 SELECT '{name}' AS variant, (SELECT var_smoothing FROM best) AS var_smoothing, {R('(SELECT cv_mean FROM best)')} AS cv_f1,
-       {len(features)} AS n_features,
+       {n_features} AS n_features,
        {R('coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0)')} AS f1,
        {R('coalesce(tp::double / nullif(tp + fn, 0), 0)')} AS recall,
        {R('coalesce(tp::double / nullif(tp + fp, 0), 0)')} AS precision,
@@ -569,6 +579,11 @@ FROM cc"""
 
 
 SQL["variant_all_features"] = _variant_sql(ALL_FEATURES)
+SQL["variant_correlation_screen"] = _variant_sql(ALL_FEATURES, name="correlation_screen", extra_ctes=CORR_CTE, chosen="corr_sel")
+SQL["variant_smote_balanced"] = _variant_sql(ALL_FEATURES, train="allrows", name="smote_balanced",
+                                             extra_ctes=_smote_ctes(ALL_FEATURES, "ftrain", None))
+SQL["variant_smote_ratio"] = _variant_sql(ALL_FEATURES, train="allrows", name="smote_ratio_0.3",
+                                          extra_ctes=_smote_ctes(ALL_FEATURES, "ftrain", 0.3))
 
 # variant 6: the all-feature train split grown to balance by random oversampling
 _ROS_TRAIN = f"""

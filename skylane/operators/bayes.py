@@ -71,6 +71,31 @@ def _collect_moments(mf: DataFrame, features, label, groups=()) -> dict:
     return out
 
 
+@dataclass
+class FoldMoments:
+    """Moments per (fold, class) of some columns, from one scan; any subset of the columns is a slice."""
+
+    features: list
+    parts: dict  # (fold, class) -> Moments
+
+    @classmethod
+    def of(cls, folded: DataFrame, features: Sequence[str], label: str, fold_col: str = "FOLD") -> "FoldMoments":
+        names = list(features)
+        return cls(names, _collect_moments(moments_frame(folded, names, label, [fold_col]), names, label, [fold_col]))
+
+    def sliced(self, features: Sequence[str]) -> dict:
+        at = [self.features.index(c) for c in features]
+        return {k: Moments(m.n, [m.mean[i] for i in at], [m.m2[i] for i in at]) for k, m in self.parts.items()}
+
+    def per_class(self, features: Sequence[str]) -> dict:
+        """{class: Moments} of all folds together: what a fit on every row needs."""
+        out: dict = {}
+        zero = [0.0] * len(features)
+        for (_, c), m in sorted(self.sliced(features).items()):
+            out[c] = out.get(c, Moments(0, zero, zero)).merge(m)
+        return out
+
+
 @dataclass
 class GaussianNB:
     features: list
@@ -238,10 +263,13 @@ def _jll_expr(features, ci: int, s: Column) -> Column:
 
 
 def cv_fold_counts(folded: DataFrame, features: Sequence[str], label: str, smoothings: Sequence[float],
-                   fold_col: str = "FOLD") -> DataFrame:
-    """Per (fold, smoothing index): TP, FP, FN, TN of held-out argmax predictions."""
+                   fold_col: str = "FOLD", moments: FoldMoments | None = None) -> DataFrame:
+    """Per (fold, smoothing index): TP, FP, FN, TN of held-out argmax predictions.
+
+    ``moments`` are those of these rows and folds if the caller has them already.
+    """
     spark = folded.sparkSession
-    fm_raw = _collect_moments(moments_frame(folded, features, label, [fold_col]), features, label, [fold_col])
+    fm_raw = (moments or FoldMoments.of(folded, features, label, fold_col)).sliced(features)
     classes = sorted({key[1] for key in fm_raw})
     k = max(key[0] for key in fm_raw) + 1
     params = _fold_param_table(spark, fm_raw, features, k, classes, list(smoothings))
@@ -262,9 +290,9 @@ def cv_fold_counts(folded: DataFrame, features: Sequence[str], label: str, smoot
 
 
 def cv_f1(folded: DataFrame, features: Sequence[str], label: str, smoothings: Sequence[float] = (DEFAULT_SMOOTHING,),
-          fold_col: str = "FOLD") -> DataFrame:
+          fold_col: str = "FOLD", moments: FoldMoments | None = None) -> DataFrame:
     """M5: per smoothing value the fold F1 scores, their mean and population std."""
-    counts = cv_fold_counts(folded, features, label, smoothings, fold_col)
+    counts = cv_fold_counts(folded, features, label, smoothings, fold_col, moments)
     f1 = F.coalesce(F.try_divide((2 * F.col("tp")).cast("double"), (2 * F.col("tp") + F.col("fp") + F.col("fn")).cast("double")), F.lit(0.0))
     grid = folded.sparkSession.createDataFrame([(i, float(s)) for i, s in enumerate(smoothings)], "s int, var_smoothing double")
     per = counts.withColumn("f1", f1)
@@ -277,11 +305,12 @@ def cv_f1(folded: DataFrame, features: Sequence[str], label: str, smoothings: Se
 
 
 def smoothing_search(folded: DataFrame, features: Sequence[str], label: str,
-                     grid: Sequence[float] = SMOOTHING_GRID, fold_col: str = "FOLD") -> DataFrame:
+                     grid: Sequence[float] = SMOOTHING_GRID, fold_col: str = "FOLD",
+                     moments: FoldMoments | None = None) -> DataFrame:
     """M6: every grid value scored in the same two scans; rank 1 = best mean F1
     (ties: smaller smoothing)."""
     from pyspark.sql import Window
 
-    res = cv_f1(folded, features, label, grid, fold_col)
+    res = cv_f1(folded, features, label, grid, fold_col, moments)
     w = Window.orderBy(F.col("cv_mean").desc(), F.col("var_smoothing").asc())
     return res.withColumn("rank", F.row_number().over(w))

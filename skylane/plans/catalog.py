@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -662,30 +661,47 @@ def q_smote_ratio(spark, sf):
 
 # -------------------------------------------------------------- comparison ---
 
-@query("variant_all_features")
-def q_variant_all(spark, sf):
-    """M15 variant 1: smoothing search over every feature, refit, test metrics."""
-    from .compare import _variant_inputs, nb_search_and_evaluate
+def _variant(spark, sf, name):
+    """One variant's row of the report."""
+    from .compare import nb_variant, variant_frames
 
-    train, test, cols = _variant_inputs(spark, sf)
-    r = nb_search_and_evaluate("all_features", train, test, cols)
+    frames, test = variant_frames(spark, sf, [name])
+    train, cols = frames[name]()
+    r = nb_variant(name, train, test, cols).row
+    train.release()
     return r.select("variant", "var_smoothing", r6("cv_f1").alias("cv_f1"), "n_features", r6("f1").alias("f1"),
                     r6("recall").alias("recall"), r6("precision").alias("precision"),
                     r6("accuracy").alias("accuracy"), r6("roc_auc").alias("roc_auc"))
 
 
+@query("variant_all_features")
+def q_variant_all(spark, sf):
+    """M15 variant 1: smoothing search over every feature, refit, test metrics."""
+    return _variant(spark, sf, "all_features")
+
+
+@query("variant_correlation_screen")
+def q_variant_corr(spark, sf):
+    """M15 variant 3: the same on the features that the correlation screen selects."""
+    return _variant(spark, sf, "correlation_screen")
+
+
+@query("variant_smote_balanced")
+def q_variant_smote(spark, sf):
+    """M15 variant 4: SMOTE over every feature to balance, then the same."""
+    return _variant(spark, sf, "smote_balanced")
+
+
+@query("variant_smote_ratio")
+def q_variant_smote_ratio(spark, sf):
+    """M15 variant 5: SMOTE until the minority is 0.3 of the majority, then the same."""
+    return _variant(spark, sf, "smote_ratio_0.3")
+
+
 @query("variant_random_oversample")
 def q_variant_ros(spark, sf):
     """M15 variant 6: random oversampling to balance, then the same search, refit and test metrics."""
-    from .compare import _variant_inputs, nb_search_and_evaluate
-
-    train, test, cols = _variant_inputs(spark, sf)
-    # read by the fold ranking and again by the refit
-    grown = sampling.random_oversample(train, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
-    r = nb_search_and_evaluate("random_oversample", grown, test, cols)
-    return r.select("variant", "var_smoothing", r6("cv_f1").alias("cv_f1"), "n_features", r6("f1").alias("f1"),
-                    r6("recall").alias("recall"), r6("precision").alias("precision"),
-                    r6("accuracy").alias("accuracy"), r6("roc_auc").alias("roc_auc"))
+    return _variant(spark, sf, "random_oversample")
 
 
 def _two_variants(spark, sf):

@@ -2,7 +2,9 @@
 
 All variants share one split and one feature fit. Each variant is a training
 transform (feature subset or resampling) followed by the same smoothing search
-(9 values x 5 folds, two scans), a refit with the best value and exact test metrics.
+(9 values x 5 folds), a refit with the best value and exact test metrics. The moments per
+(fold, class) of every column come from one scan of a training table: variants that
+differ in their features alone slice them, and the refit merges the folds'.
 """
 
 from __future__ import annotations
@@ -43,23 +45,47 @@ class VariantReport:
     roc: DataFrame
 
 
+class FoldedTrain:
+    """A training table dealt into folds, with the moments of its columns; both are made once, when first used."""
+
+    def __init__(self, train: DataFrame, features: Sequence[str], folds: int = 5):
+        self.features, self._train, self._folds = list(features), train, folds
+        self._folded = self._moments = None
+
+    @property
+    def folded(self) -> DataFrame:
+        if self._folded is None:
+            # read for the moments, by every search and by the train metrics
+            self._folded = sampling.kfold(self._train, self._folds).persist(StorageLevel.MEMORY_AND_DISK)
+        return self._folded
+
+    @property
+    def moments(self) -> bayes.FoldMoments:
+        if self._moments is None:
+            self._moments = bayes.FoldMoments.of(self.folded, self.features, LABEL)
+        return self._moments
+
+    def release(self) -> None:
+        if self._folded is not None:
+            self._folded.unpersist()
+        self._folded = None
+
+
 RATES = ("f1", "recall", "precision", "accuracy")
 
 
-def nb_variant(name: str, train: DataFrame, test: DataFrame, features: Sequence[str],
-               grid: Sequence[float] = bayes.SMOOTHING_GRID, folds: int = 5, threshold: float = 0.5,
+def nb_variant(name: str, train: FoldedTrain, test: DataFrame, features: Sequence[str],
+               grid: Sequence[float] = bayes.SMOOTHING_GRID, threshold: float = 0.5,
                started: float | None = None) -> VariantReport:
     """One variant: search the smoothing grid by CV F1, refit, evaluate both sides."""
-    spark = train.sparkSession
+    spark = test.sparkSession
     t0 = started or time.perf_counter()
-    # the search reads the folds twice (moments, then scoring)
-    folded = sampling.kfold(train, folds).persist(StorageLevel.MEMORY_AND_DISK)
-    best = bayes.smoothing_search(folded, list(features), LABEL, grid).where(F.col("rank") == 1).first()
-    model = bayes.fit_gaussian_nb(train, list(features), LABEL, float(best["var_smoothing"]))
+    features = list(features)
+    best = bayes.smoothing_search(train.folded, features, LABEL, grid, moments=train.moments).where(F.col("rank") == 1).first()
+    model = bayes.GaussianNB.from_moments(features, train.moments.per_class(features), float(best["var_smoothing"]))
     search_time = time.perf_counter() - t0
-    folded.unpersist()
     got = {}
-    for side, df in (("test", test), ("train", train)):
+    for side, df in (("test", test), ("train", train.folded)):
         x = model.transform(df).withColumn("PREDICTION", (F.col("PROBA") >= threshold).cast("int"))
         x = x.select(LABEL, "PROBA", "PREDICTION").persist(StorageLevel.MEMORY_AND_DISK)
         r = metrics.classification_metrics(x, LABEL, "PREDICTION").first().asDict()
@@ -85,8 +111,11 @@ def nb_variant(name: str, train: DataFrame, test: DataFrame, features: Sequence[
 def nb_search_and_evaluate(name: str, train: DataFrame, test: DataFrame, features: Sequence[str],
                            grid: Sequence[float] = bayes.SMOOTHING_GRID, folds: int = 5,
                            threshold: float = 0.5) -> DataFrame:
-    """The row of ``nb_variant``."""
-    return nb_variant(name, train, test, features, grid, folds, threshold).row
+    """The row of ``nb_variant`` for one training table."""
+    dealt = FoldedTrain(train, features, folds)
+    row = nb_variant(name, dealt, test, features, grid, threshold).row
+    dealt.release()
+    return row
 
 
 def _variant_inputs(spark: SparkSession, sf_dir: str):
@@ -103,25 +132,27 @@ def screening_report(model, test: DataFrame, features: Sequence[str]) -> DataFra
 
 def variant_frames(spark: SparkSession, sf_dir: str, names: Sequence[str] = VARIANTS,
                    screening: dict = SCREENING) -> tuple[dict[str, Callable[[], tuple]], DataFrame]:
-    """Lazily built (train, features) per variant; the test split never changes.
+    """Lazily built (FoldedTrain, features) per variant; the test split never changes, and the
+    variants that choose features share one table.
 
     ``screening`` has the parameters of the trees that pick variant 2's features.
     """
     train, test, cols = _variant_inputs(spark, sf_dir)
+    whole = FoldedTrain(train, cols)
 
     def all_features():
-        return train, cols
+        return whole, cols
 
     def top15_tree():
         model = trees.fit_trees(train, cols, LABEL, params=screening)
         path = shared_path(spark, "screening")
         trees.save_trees(model, path)
         imp = select.rank_by_importance(trees.split_counts(trees.node_table(spark, path), cols), top=15)
-        return train, [r["feature"] for r in imp.orderBy("rank").collect()]
+        return whole, [r["feature"] for r in imp.orderBy("rank").collect()]
 
     def corr():
         screen = select.correlation_screen(train, cols, LABEL, 0.6, 15)
-        return train, select.selected_features(screen)
+        return whole, select.selected_features(screen)
 
     shared = {}
 
@@ -132,14 +163,13 @@ def variant_frames(spark: SparkSession, sf_dir: str, names: Sequence[str] = VARI
         return shared["b"]
 
     def smote_full():
-        return smote.smote(train, cols, LABEL, basis=basis()), cols
+        return FoldedTrain(smote.smote(train, cols, LABEL, basis=basis()), cols), cols
 
     def smote_ratio():
-        return smote.smote(train, cols, LABEL, ratio=0.3, basis=basis()), cols
+        return FoldedTrain(smote.smote(train, cols, LABEL, ratio=0.3, basis=basis()), cols), cols
 
     def ros():
-        # read by the fold ranking and again by the refit
-        return sampling.random_oversample(train, LABEL).persist(StorageLevel.MEMORY_AND_DISK), cols
+        return FoldedTrain(sampling.random_oversample(train, LABEL), cols), cols
 
     table = {
         "all_features": all_features, "top15_tree_importance": top15_tree, "correlation_screen": corr,
@@ -155,13 +185,18 @@ def compare_variants(spark: SparkSession, sf_dir: str, names: Sequence[str] = VA
     With ``out_dir`` the report and the ROC points of every variant are written as JSON (S9).
     """
     frames, test = variant_frames(spark, sf_dir, names, screening)
-    rows, curves = None, None
+    rows, curves, last = None, None, None
     for name, build in frames.items():
         t0 = time.perf_counter()
         tr, cols = build()
+        if last is not None and last is not tr:
+            last.release()
+        last = tr
         r = nb_variant(name, tr, test.select(ID, LABEL, *cols), cols, started=t0)
         rows = r.row if rows is None else rows.unionByName(r.row)
         curves = r.roc if curves is None else curves.unionByName(r.roc)
+    if last is not None:
+        last.release()
     report = ranked(rows)
     if out_dir:
         write_metrics(report, f"{out_dir}/report")
