@@ -21,7 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylane.llm.common import WHITE, sheltered, ship
+from skylane.llm.common import WHITE, Stash, sheltered, ship
+from skylane.operators.joins import MAX_BROADCAST_BYTES, row_width
+
+
+# Entries that may wait unmerged beside those held.
+RUNS = 1 << 16
 
 
 def _filter_bits(rows: int, block: int) -> int:
@@ -33,16 +38,38 @@ class CountingQuotientFilter:
 
     def __init__(self, bits: int):
         self.bits = bits
-        self.fp, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self._fp, self._count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self._runs: list[tuple[np.ndarray, np.ndarray]] = []
+        self._waiting = 0
 
     def add(self, fp: np.ndarray, count: np.ndarray | None = None) -> None:
-        """Merge sorted runs: equal fingerprints (one quotient and remainder) sum their counts."""
-        every = np.concatenate([self.fp, fp])
-        times = np.concatenate([self.count, np.ones(len(fp), np.int64) if count is None else count])
+        """Take in a run of fingerprints. Runs are merged once as many wait as are held, so many small ones cost no more than one."""
+        self._runs.append((fp, np.ones(len(fp), np.int64) if count is None else count))
+        self._waiting += len(fp)
+        if self._waiting > max(len(self._fp), RUNS):
+            self._merge()
+
+    def _merge(self) -> None:
+        """Equal fingerprints (one quotient and remainder) sum their counts."""
+        if not self._runs:
+            return
+        every = np.concatenate([self._fp, *(fp for fp, _ in self._runs)])
+        times = np.concatenate([self._count, *(count for _, count in self._runs)])
+        self._runs, self._waiting = [], 0
         order = np.argsort(every, kind="stable")
         every, times = every[order], times[order]
         head = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
-        self.fp, self.count = every[head], np.add.reduceat(times, head) if len(head) else times
+        self._fp, self._count = every[head], np.add.reduceat(times, head) if len(head) else times
+
+    @property
+    def fp(self) -> np.ndarray:
+        self._merge()
+        return self._fp
+
+    @property
+    def count(self) -> np.ndarray:
+        self._merge()
+        return self._count
 
     def blocks(self) -> Iterator[tuple[int, bytes, bytes]]:
         """(quotient, remainders, counts) of each block that holds something."""
@@ -109,23 +136,30 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, " ")
 
 
+def _sized(small: DataFrame, most: int) -> DataFrame:
+    """``small``, a written table, marked for broadcast if it is at most ``most`` bytes; beyond that Spark shuffles both sides."""
+    return F.broadcast(small) if small.count() * row_width(small) <= most else small
+
+
 @sheltered()
-def exact_dedup(docs: DataFrame) -> DataFrame:
+def exact_dedup(docs: DataFrame, broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``docs`` with keep_id, group_size, kept and text_sha256 (of the normalised text).
 
-    Other columns are passed on; columns of these names are replaced.
+    Other columns are passed on; columns of these names are replaced. The repeated fingerprints and
+    the groups are written; while they fit ``broadcast_bytes``, texts that occur once stay where they are.
     """
+    stash = Stash(docs.sparkSession)
     src = docs.drop("keep_id", "group_size", "kept", "text_sha256")
     src = src.withColumns({"__fp": F.xxhash64(normalised(F.col("text")))})
-    repeats = repeated_fingerprints(src.select("__fp"), docs.count()).select(F.col("fp").alias("__fp"))
-    routed = src.join(repeats, "__fp")
+    repeats = stash.write(repeated_fingerprints(src.select("__fp"), docs.count()).select(F.col("fp").alias("__fp")))
+    routed = src.select("__fp", "doc_id", "text").join(_sized(repeats, broadcast_bytes), "__fp", "left_semi")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id")))
     # grouped by the bytes alone, so that copies are summed up where they are before they meet
     groups = routed.groupBy(normalised(F.col("text")).alias("__norm")).agg(F.min("__fp").alias("__fp"), first.alias("keep"), F.count("*").alias("size"))
-    # joined on the digest too, so that texts which share a fingerprint by accident stay apart, and both sides
-    # are dealt out for this join alone: a group of copies is a skewed key that Spark can split
-    groups = groups.select("__fp", F.sha2("__norm", 256).alias("text_sha256"), F.struct("keep", "size").alias("__mine"))
-    out = src.withColumn("text_sha256", F.sha2(normalised(F.col("text")), 256)).join(groups, ["__fp", "text_sha256"], "left")
+    # joined on the digest too, so that texts which share a fingerprint by accident stay apart; where the groups
+    # are too many to broadcast, a group of copies is a skewed key of this join alone, which Spark can split
+    groups = stash.write(groups.select("__fp", F.sha2("__norm", 256).alias("text_sha256"), F.struct("keep", "size").alias("__mine")))
+    out = src.withColumn("text_sha256", F.sha2(normalised(F.col("text")), 256)).join(_sized(groups, broadcast_bytes), ["__fp", "text_sha256"], "left")
     return out.withColumns(
         {
             "keep_id": F.when(F.col("__mine").isNull(), F.col("doc_id")).otherwise(F.col("__mine.keep.id")),

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -163,8 +164,9 @@ def squeeze(t):
     return "".join(out)
 
 
-def test_exact_dedup(odd_docs):
-    got = exact_dedup(odd_docs).collect()
+@pytest.mark.parametrize("broadcast_bytes", [64 << 20, 0])
+def test_exact_dedup(odd_docs, broadcast_bytes):
+    got = exact_dedup(odd_docs, broadcast_bytes).collect()
     texts = [(i, squeeze(t)) for i, t in odd_texts()]
     n = Counter(t for _, t in texts)
     keep = {t: min((i for i, u in texts if u == t and i is not None), default=None) for t in n}
@@ -188,6 +190,17 @@ def test_quotient_filters_merge_without_loss(parts, bits):
     assert dict(zip(merged.fp.tolist(), merged.count.tolist())) == Counter(x for p in parts for x in p)
 
 
+def test_quotient_filter_takes_many_small_runs():
+    fps = np.random.default_rng(3).integers(0, 2**20, 300_000, dtype=np.uint64)
+    one = CountingQuotientFilter(0)
+    began = time.perf_counter()
+    for lo in range(0, len(fps), 2):
+        one.add(fps[lo : lo + 2])
+    values, counts = np.unique(fps, return_counts=True)
+    assert np.array_equal(one.fp, values) and np.array_equal(one.count, counts)
+    assert time.perf_counter() - began < 20  # merging at each run would take hours
+
+
 def test_bpe_matches_the_library(odd_docs):
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     want = Counter()
