@@ -261,6 +261,11 @@ SQL["bools_to_ints"] = """SELECT event_id, cast(value > 50 as integer) AS is_lar
   cast(event_type = 'click' as integer) AS is_click FROM events"""
 
 
+SQL["narrow_types_values"] = """SELECT cast(l_orderkey AS bigint) AS l_orderkey, cast(l_partkey AS bigint) AS l_partkey,
+  cast(l_linenumber AS bigint) AS l_linenumber, cast(cast(l_quantity AS float) AS double) AS l_quantity,
+  cast(cast(l_discount AS float) AS double) AS l_discount, cast(l_linenumber * 20 AS bigint) AS l_wide FROM lineitem"""
+
+
 def _narrow(col: str, expr: str, is_int: bool) -> str:
     if is_int:
         return (f"SELECT '{col}' AS column_name, CASE WHEN min({expr}) > -128 AND max({expr}) < 127 THEN 'tinyint' "

@@ -263,19 +263,29 @@ def q_bools(spark, sf):
     return encode.bools_to_ints(ev)
 
 
-@query("narrow_types")
-def q_narrow(spark, sf):
-    """P12 decision per numeric lineitem column (one aggregate of all mins and maxes)."""
-    li = read_table(spark, sf, "lineitem").select(
+def _narrowable(spark, sf):
+    return read_table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount",
         (F.col("l_linenumber") * 20).alias("l_wide"),
     )
-    plan = encode.narrow_types_plan(li)
-    narrowed = li.withColumns({c: F.col(c).cast(t) for c, t in plan.items()})
-    types = dict(narrowed.dtypes)
+
+
+@query("narrow_types")
+def q_narrow(spark, sf):
+    """P12 decision per numeric lineitem column (one aggregate of all mins and maxes)."""
+    li = _narrowable(spark, sf)
+    types = dict(encode.narrow_types(li).dtypes)
     return spark.createDataFrame([(c, types[c]) for c in li.columns], "column_name string, narrowed string")
 
 
+@query("narrow_types_values")
+def q_narrow_values(spark, sf):
+    """P12 applied: every row's narrowed values, widened again so that what narrowing lost would show."""
+    li = _narrowable(spark, sf)
+    whole = {f.name for f in li.schema.fields if f.dataType.typeName() in ("byte", "short", "integer", "long")}
+    return encode.narrow_types(li).select(*[F.col(c).cast("long" if c in whole else "double").alias(c) for c in li.columns])
+
+
 def _features(spark, sf, refit: bool, side: str = "test", keep=feats.KEEP_FEATURES, one_hot=False):
     sfe = training.split_features(spark, sf, refit=refit, keep=keep, one_hot=one_hot)
     df = sfe.test if side == "test" else sfe.train
