@@ -60,3 +60,32 @@ def test_rank_windows_expand_no_long_arrays(spark):
     df = spark.range(10).select((F.col("id") % 2).cast("int").alias("b")).union(spark.range(5).select(F.lit(0).alias("b")))
     got = sorted(r["r"] for r in bucketed_row_number(df, "b", [], out="r").collect())
     assert got == list(range(15))
+
+
+def test_flight_lines_are_shuffled_once(spark):
+    """Orders meet their customers before the lines do, so one exchange at most stands above the lines."""
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = plan(flights_view(spark, SF0001).select("ROW_ID", "AIRLINE", "ORIGIN_AIRPORT")).split("\n")
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    depth = lambda x: len(x) - len(x.lstrip(" :+-|"))
+    at = next(i for i, x in enumerate(lines) if "Scan parquet" in x and "l_orderkey" in x)
+    above, d = [], depth(lines[at])
+    for x in reversed(lines[:at]):
+        if depth(x) < d:
+            above, d = [*above, x], depth(x)
+    by_order = [x for x in above if "Exchange" in x and "l_suppkey" not in x.split("hashpartitioning(")[-1].split(",")[0]]
+    assert len(by_order) == 1
+
+
+def test_split_reads_staged_rows(spark):
+    """The split and its feature tables do not join the lines again for each pass."""
+    sfe = training.split_features(spark, SF0001)
+    for df in (sfe.train, sfe.test):
+        p = df._jdf.queryExecution().toString()
+        assert "lineitem.parquet" not in p and "l_orderkey" not in p
+    sfe.release()
