@@ -188,3 +188,16 @@ def test_a_publication_that_breaks_off_leaves_the_former_model(spark, tmp_path):
     assert scoring.published(spark, root) == [second, third]
     assert not (tmp_path / "models" / "versions" / first.rsplit("/", 1)[1]).exists()
     assert spark.read.parquet(f"{third}/model").first().x == 4
+
+
+def test_ranked_variants_share_one_split(spark, monkeypatch):
+    """Both ranked variants come from one split and feature fit, and neither leaves a training table behind."""
+    from skylane.plans import catalog, compare
+
+    made, held = [], []
+    split, release = training.split_features, compare.FoldedTrain.release
+    monkeypatch.setattr(training, "split_features", lambda *a, **k: made.append(1) or split(*a, **k))
+    monkeypatch.setattr(compare.FoldedTrain, "release", lambda self: held.append(self) or release(self))
+    rows = catalog.REGISTRY["rank_variants"](spark, SF0001).collect()
+    assert sorted(r["variant"] for r in rows) == ["all_features", "random_oversample"]
+    assert len(made) == 1 and len({id(x) for x in held}) == 2
