@@ -219,3 +219,29 @@ def test_knn_in_dense_clusters(spark):
         i = int(r["rid"][1:])
         want = np.sort(((pts - pts[i]) ** 2).sum(-1))[1:6]
         assert np.allclose(sorted(got[r["key"]]), want, atol=2e-9)
+
+
+def test_neighbour_search_probes_few_cells(spark, monkeypatch):
+    """Distances spread over six directions: a point's ball meets a small part of the cells, and the neighbours are exact."""
+    rng = np.random.default_rng(6)
+    pts = rng.uniform(size=(2500, 6)) * [30, 20, 20, 15, 15, 10]
+    feats = list("abcdef")
+    df = spark.createDataFrame([(f"k{i}", *map(float, p)) for i, p in enumerate(pts)], "rid string, " + ", ".join(f"{c} double" for c in feats))
+    keyed, distinct = smote.distinct_points(df, feats, smote.principal_directions(df, feats))
+    met, search = [], smote.cells_in_reach
+
+    def counted(balls, us, cells, **more):
+        out = search(balls, us, cells, **more)
+        met.append((out.count(), cells.points.select("cell").distinct().count()))
+        return out
+
+    monkeypatch.setattr(smote, "cells_in_reach", counted)
+    nn = smote.knn_table(distinct, feats, 5)
+    at = {r["key"]: int(r["rid"][1:]) for r in keyed.select("rid", "key").collect()}
+    got = {}
+    for r in nn.collect():
+        got.setdefault(at[r["key"]], set()).add(at[r["nkey"]])
+    for i in range(0, 2500, 13):
+        assert got[i] == set(np.argsort(((pts - pts[i]) ** 2).sum(-1))[1:6].tolist())
+    probes, cells = met[0]
+    assert probes < 0.3 * cells * len(pts), (probes, cells)
