@@ -82,6 +82,19 @@ def test_flight_lines_are_shuffled_once(spark):
     assert len(by_order) == 1
 
 
+def test_suppliers_do_not_shuffle_the_lines_again(spark):
+    """Suppliers beyond Spark's own broadcast threshold but within the proved bound: no exchange of lines by supplier."""
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(flights_view(spark, SF0001).select("ROW_ID", "AIRLINE", "ORIGIN_AIRPORT"))
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert "hashpartitioning(l_orderkey" in p and "hashpartitioning(l_suppkey" not in p
+
+
 def test_split_reads_staged_rows(spark):
     """The split and its feature tables do not join the lines again for each pass."""
     sfe = training.split_features(spark, SF0001)
