@@ -95,6 +95,26 @@ def test_frequency_null_key(spark):
     assert got[:3] == pytest.approx([2 / 3, 2 / 3, 1 / 3]) and got[3] is None
 
 
+def test_large_frequency_table_is_not_copied(spark):
+    """A table beyond the broadcast bound: hot, rare, unseen and NULL keys, and no row of it more than once."""
+    rows = [(i, 7) for i in range(1500)] + [(2000 + i, 100 + i // 2) for i in range(2400)] + [(9000, None), (9001, None)]
+    train = spark.createDataFrame(rows, "i int, Key int")
+    table = encode.fit_frequency(train, "Key")
+    odd = spark.createDataFrame([(9002, 55), (9003, 55)], "i int, Key int")
+    df = train.unionByName(odd).withColumn("other", F.lit("x"))
+    small, large = (encode.apply_frequency(df, table, "Key", **bound) for bound in ({}, {"max_broadcast_bytes": 1000}))
+    assert large.columns == small.columns == ["Key", "i", "other", "Key_FREQ"] and large.dtypes == small.dtypes
+    got = large.collect()
+    assert sorted(map(str, got)) == sorted(map(str, small.collect())) and len(got) == len(rows) + 2
+    p = large._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in p.lower()
+    # the salt is a key of the join, so the hot and NULL keys' rows do not meet in one task
+    joined = next(x for x in p.split("\n") if "Join" in x)
+    assert joined.count("_salt#") == 2 and joined.count("_cold#") == 2
+    unseen = {r["Key_FREQ"] for r in got if r["i"] >= 9000}
+    assert unseen == {None}
+
+
 def test_one_hot_null_and_unseen(spark):
     train = spark.createDataFrame([(1, "b"), (2, "a"), (3, None)], "i int, c string")
     cats = encode.fit_categories(train, ["c"])

@@ -95,6 +95,18 @@ def test_suppliers_do_not_shuffle_the_lines_again(spark):
     assert "hashpartitioning(l_orderkey" in p and "hashpartitioning(l_suppkey" not in p
 
 
+def test_single_use_scores_keep_no_rows(spark):
+    """Queries that read each side once cache neither, and the frequency is looked up over source columns."""
+    from skylane.plans.catalog import REGISTRY
+
+    p = REGISTRY["predicted_share"](spark, SF0001)._jdf.queryExecution().toString()
+    assert "InMemoryRelation" not in p
+    sfe = training.split_features(spark, SF0001, persist=False)
+    lines = sfe.train._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, x in enumerate(lines) if "Join" in x and "FLIGHT_NUMBER" in x)
+    assert not any("SIN(" in x.upper() and "AS DAY_OF_YEAR_SIN" in x for x in lines[at:])
+
+
 def test_split_reads_staged_rows(spark):
     """The split and its feature tables do not join the lines again for each pass."""
     sfe = training.split_features(spark, SF0001)
