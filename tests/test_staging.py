@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skylane.functions.features import hash_hex
 from skylane.operators import ranks, sampling
-from skylane.plans import training
+from skylane.plans import catalog, training
 from skylane.session import METHOD_LIMIT, ensure_checkpoint_dir
 from skylane.sources import tables
 
@@ -85,6 +85,14 @@ def test_counts_of_a_split_are_few(spark):
     assert s.where("IS_TEST = 1").count() == math.floor(0.3 * 60_000 + 0.5)
 
 
+def test_score_batch_splits_once(spark, odd_dir, monkeypatch):
+    calls = []
+    keep = sampling.stratified_split
+    monkeypatch.setattr(sampling, "stratified_split", lambda *a, **k: calls.append(1) or keep(*a, **k))
+    catalog.REGISTRY["score_batch"](spark, odd_dir).count()
+    assert len(calls) == 1
+
+
 def test_method_limit(spark, odd_dir):
     try:
         spark.conf.unset(METHOD_LIMIT)
