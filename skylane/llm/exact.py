@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylane.llm.common import WHITE, Stash, sheltered, ship
-from skylane.operators.joins import MAX_BROADCAST_BYTES, row_width
+from skylane.llm.common import WHITE, Stash, sheltered, ship, sized
+from skylane.operators.joins import MAX_BROADCAST_BYTES
 
 
 # Entries that may wait unmerged beside those held.
@@ -136,11 +136,6 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, " ")
 
 
-def _sized(small: DataFrame, most: int) -> DataFrame:
-    """``small``, a written table, marked for broadcast if it is at most ``most`` bytes; beyond that Spark shuffles both sides."""
-    return F.broadcast(small) if small.count() * row_width(small) <= most else small
-
-
 @sheltered()
 def exact_dedup(docs: DataFrame, broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``docs`` with keep_id, group_size, kept and text_sha256 (of the normalised text).
@@ -152,14 +147,14 @@ def exact_dedup(docs: DataFrame, broadcast_bytes: int = MAX_BROADCAST_BYTES) ->
     src = docs.drop("keep_id", "group_size", "kept", "text_sha256")
     src = src.withColumns({"__fp": F.xxhash64(normalised(F.col("text")))})
     repeats = stash.write(repeated_fingerprints(src.select("__fp"), docs.count()).select(F.col("fp").alias("__fp")))
-    routed = src.select("__fp", "doc_id", "text").join(_sized(repeats, broadcast_bytes), "__fp", "left_semi")
+    routed = src.select("__fp", "doc_id", "text").join(sized(repeats, broadcast_bytes), "__fp", "left_semi")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id")))
     # grouped by the bytes alone, so that copies are summed up where they are before they meet
     groups = routed.groupBy(normalised(F.col("text")).alias("__norm")).agg(F.min("__fp").alias("__fp"), first.alias("keep"), F.count("*").alias("size"))
     # joined on the digest too, so that texts which share a fingerprint by accident stay apart; where the groups
     # are too many to broadcast, a group of copies is a skewed key of this join alone, which Spark can split
     groups = stash.write(groups.select("__fp", F.sha2("__norm", 256).alias("text_sha256"), F.struct("keep", "size").alias("__mine")))
-    out = src.withColumn("text_sha256", F.sha2(normalised(F.col("text")), 256)).join(_sized(groups, broadcast_bytes), ["__fp", "text_sha256"], "left")
+    out = src.withColumn("text_sha256", F.sha2(normalised(F.col("text")), 256)).join(sized(groups, broadcast_bytes), ["__fp", "text_sha256"], "left")
     return out.withColumns(
         {
             "keep_id": F.when(F.col("__mine").isNull(), F.col("doc_id")).otherwise(F.col("__mine.keep.id")),

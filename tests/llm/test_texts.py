@@ -18,9 +18,10 @@ from tokenizers import Tokenizer
 
 from skylane.llm.automaton import SuffixAutomaton
 from skylane.llm.bpe import SpeculativeBPE, bpe_encode
+from skylane.llm.common import Stash, keyed
 from skylane.llm.exact import CountingQuotientFilter, exact_dedup
 from skylane.llm.licenses import PHRASES, TEMPLATES, scan_licenses, template_tokens, template_words
-from skylane.llm.lines import line_dedup
+from skylane.llm.lines import line_dedup, recurring_lines
 from skylane.llm.packing import cut, pack_documents, packed_sequences, plan_best_fit, token_pieces
 from skylane.llm.queries import SQL
 from skylane.llm.simhash import simhash_dedup, trie_pairs
@@ -533,3 +534,16 @@ def test_held_out_rows_do_not_teach(spark):
     docs = spark.createDataFrame([(i, "bad" if zlib.crc32(str(i).encode()) % 4 == 2 else "good") for i in range(200)], "doc_id long, text string")
     labels = docs.select("doc_id", (F.col("text") == "bad").cast("int").alias("toxic"))
     assert fit_toxicity(docs, labels).learned == {}
+
+
+def test_line_dedup_masks_a_line_once(spark, monkeypatch):
+    """The first pass over the texts masks in one step alone, and leaves too many to broadcast give the same rows."""
+    plans, write = [], Stash.write
+    monkeypatch.setattr(Stash, "write", lambda self, df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(self, df))
+    lines = [f"the {a} went {b} at {k}" for a in ("dog", "cat") for b in ("home", "away", "home") for k in range(4)] + [" \t\x0b", "", "7 8"]
+    rows = [(i, "\n".join(lines[i % 5 :: 1 + i % 4])) for i in range(40)] + [(3, None), (3, lines[0]), (4, "\n".join(lines[4:]))]
+    src = keyed(spark.createDataFrame(rows, "doc_id long, text string"))
+    gone = [{(r[0], r[1]): sorted(r[2]) for r in recurring_lines(src, 3, 0.6, most).collect()} for most in (1 << 26, 0)]
+    assert gone[0] == gone[1] and gone[0]
+    steps = [x for x in plans[0].splitlines() if "[0-9]" in x]
+    assert len(steps) == 1 and "Filter" not in steps[0]
