@@ -40,6 +40,30 @@ def test_targets_are_those_of_the_flights(spark, odd_dir):
     assert rows(got) == rows(tables.flights_view(spark, odd_dir).select(*got.columns))
 
 
+def test_targets_leave_lines_where_they_are(spark, odd_dir, monkeypatch):
+    """Only orders without exactly one partner go to the lines; too many to broadcast give the same rows."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        spark.conf.set(threshold, "-1")
+        got = tables.flight_targets(spark, odd_dir)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan
+        assert "Exchange hashpartitioning" in tables.flight_targets(spark, odd_dir, 0)._jdf.queryExecution().executedPlan().toString()
+        want = rows(tables.flights_view(spark, odd_dir).select(*got.columns))
+        assert rows(got) == want and rows(tables.flight_targets(spark, odd_dir, 0)) == want
+    finally:
+        spark.conf.set(threshold, before)
+
+
+def test_targets_of_lines_with_one_partner_each(spark, odd_dir, tmp_path):
+    for t in ("lineitem", "supplier", "customer"):
+        spark.read.parquet(f"{odd_dir}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    spark.createDataFrame([(i, i % 28) for i in range(100)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    got = tables.flight_targets(spark, str(tmp_path))
+    assert rows(got) == rows(tables.flights_view(spark, str(tmp_path)).select(*got.columns))
+
+
 def test_staged_rows_are_written_once_and_shuffle_kept_lines(spark, odd_dir, monkeypatch):
     frames = []
     keep = tables.staged
