@@ -201,3 +201,28 @@ def test_ranked_variants_share_one_split(spark, monkeypatch):
     rows = catalog.REGISTRY["rank_variants"](spark, SF0001).collect()
     assert sorted(r["variant"] for r in rows) == ["all_features", "random_oversample"]
     assert len(made) == 1 and len({id(x) for x in held}) == 2
+
+
+class Asked(Exception):
+    """Ends a query once it has asked for its work."""
+
+
+def recorder(asked):
+    def call(*args, **kwargs):
+        asked.append(kwargs)
+        raise Asked
+    return call
+
+
+@pytest.mark.parametrize("name", ["tree_search", "tree_importance", "tree_metrics"])
+def test_tree_queries_search_the_whole_grid(spark, monkeypatch, points, name):
+    """The registered queries search the library's grid, none of their own."""
+    from skylane.plans import catalog
+
+    asked = []
+    monkeypatch.setattr(catalog, "_nb_inputs", lambda *a, **k: (points, points, ["a", "b"]))
+    monkeypatch.setattr(trees, "tree_search", recorder(asked))
+    with pytest.raises(Asked):
+        catalog.REGISTRY[name](spark, SF0001)
+    assert asked[0].get("n_candidates", 5) == 5 and asked[0].get("grid", trees.TREE_GRID) == trees.TREE_GRID
+    assert trees.TREE_GRID["n_estimators"] == [800, 1500, 2000] and trees.TREE_GRID["max_depth"] == [10, 15]
