@@ -226,3 +226,17 @@ def test_tree_queries_search_the_whole_grid(spark, monkeypatch, points, name):
         catalog.REGISTRY[name](spark, SF0001)
     assert asked[0].get("n_candidates", 5) == 5 and asked[0].get("grid", trees.TREE_GRID) == trees.TREE_GRID
     assert trees.TREE_GRID["n_estimators"] == [800, 1500, 2000] and trees.TREE_GRID["max_depth"] == [10, 15]
+
+
+@pytest.mark.parametrize("name", ["compare_variants"])
+def test_comparison_queries_screen_with_the_whole_trees(spark, monkeypatch, points, name):
+    """The screening variant is fitted with all its trees at their full depth."""
+    from skylane.plans import catalog
+
+    asked = []
+    monkeypatch.setattr(compare, "_variant_inputs", lambda *a: (points, points, ["a", "b"]))
+    monkeypatch.setattr(compare.compare_variants, "__defaults__", (["top15_tree_importance"], *compare.compare_variants.__defaults__[1:]))
+    monkeypatch.setattr(trees, "fit_trees", recorder(asked))
+    with pytest.raises(Asked):
+        catalog.REGISTRY[name](spark, SF0001)
+    assert asked[0]["params"] == {"n_estimators": 1000, "learning_rate": 0.1, "max_depth": 15}
