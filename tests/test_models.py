@@ -228,7 +228,7 @@ def test_tree_queries_search_the_whole_grid(spark, monkeypatch, points, name):
     assert trees.TREE_GRID["n_estimators"] == [800, 1500, 2000] and trees.TREE_GRID["max_depth"] == [10, 15]
 
 
-@pytest.mark.parametrize("name", ["compare_variants"])
+@pytest.mark.parametrize("name", ["compare_variants", "best_by_metric"])
 def test_comparison_queries_screen_with_the_whole_trees(spark, monkeypatch, points, name):
     """The screening variant is fitted with all its trees at their full depth."""
     from skylane.plans import catalog
