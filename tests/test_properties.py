@@ -245,3 +245,46 @@ def test_neighbour_search_probes_few_cells(spark, monkeypatch):
         assert got[i] == set(np.argsort(((pts - pts[i]) ** 2).sum(-1))[1:6].tolist())
     probes, cells = met[0]
     assert probes < 0.3 * cells * len(pts), (probes, cells)
+
+
+def rows_with_copies():
+    """A minority of which a third is one vector, the rest apart, and a majority."""
+    rng = np.random.default_rng(11)
+    pts = rng.normal(size=(90, 3)).round(2)
+    pts[:30] = pts[0]
+    return [(f"m{i}", 1, *map(float, p)) for i, p in enumerate(pts)] + [(f"n{i}", 0, 0.0, 0.0, 0.0) for i in range(400)]
+
+
+def test_synthetic_rows_meet_vectors_without_copies_of_the_table(spark, monkeypatch):
+    """Vectors too many to broadcast meet the draws by one shuffle each, without a copy a salt, and the rows are the same."""
+    df = spark.createDataFrame(rows_with_copies(), "ROW_ID string, y int, a double, b double, c double")
+    want = sorted(map(tuple, smote.smote(df, ["a", "b", "c"], "y").collect()))
+
+    def salted(*args, **kwargs):
+        raise AssertionError("a table was copied")
+
+    monkeypatch.setattr(smote, "MAX_BROADCAST_BYTES", 0, raising=False)
+    monkeypatch.setattr(smote, "lookup_join", salted)
+    assert sorted(map(tuple, smote.smote(df, ["a", "b", "c"], "y").collect())) == want and len(want) == 800
+
+
+def test_balls_go_to_groups_of_cells(spark, monkeypatch):
+    """A ball is one row a group of sibling cells, every leaf in reach lies in one of them, and a group that
+    many balls meet is dealt out with the same neighbours."""
+    from skylane.operators.kdcells import cells_in_reach, group_of, kd_cells
+
+    pts = clustered(600)
+    feats = ["a", "b", "c"]
+    balls = spark.createDataFrame([(f"k{i}", *map(float, p), 0.8) for i, p in enumerate(pts)], "key string, u double, v double, w double, R double").persist()
+    cells = kd_cells(balls, ["u", "v", "w"], 8)
+    leaves = cells_in_reach(balls, ["u", "v", "w"], cells).withColumn("grp", group_of())
+    groups = cells_in_reach(balls, ["u", "v", "w"], cells, groups=True)
+    sent = [tuple(r) for r in groups.collect()]
+    assert len(sent) == len(set(sent)) < leaves.count() / 2
+    assert {(r["key"], r["grp"]) for r in leaves.collect()} <= set(sent)
+    balls.unpersist()
+    df = spark.createDataFrame([(f"k{i}", *map(float, p)) for i, p in enumerate(pts)], "rid string, a double, b double, c double")
+    _, distinct = smote.distinct_points(df, feats, smote.principal_directions(df, feats, 3))
+    want = sorted(map(tuple, smote.knn_table(distinct, feats, 5, target=8).collect()))
+    monkeypatch.setattr(smote, "PROBES", 20)
+    assert sorted(map(tuple, smote.knn_table(distinct, feats, 5, target=8).collect())) == want
