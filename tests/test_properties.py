@@ -288,3 +288,21 @@ def test_balls_go_to_groups_of_cells(spark, monkeypatch):
     want = sorted(map(tuple, smote.knn_table(distinct, feats, 5, target=8).collect()))
     monkeypatch.setattr(smote, "PROBES", 20)
     assert sorted(map(tuple, smote.knn_table(distinct, feats, 5, target=8).collect())) == want
+
+
+def test_search_scores_rows_in_one_pass_without_a_row_a_smoothing(spark):
+    """Counts are those of the fitted model, and no row is spelled out for each smoothing value."""
+    rng = np.random.default_rng(4)
+    rows = [(i % 3, int(a + b > 1.0), float(a), float(b) if i % 17 else None) for i, (a, b) in enumerate(rng.normal(size=(300, 2)))]
+    df = spark.createDataFrame(rows, "FOLD int, y int, a double, b double")
+    grid = [1e-9, 1e-2]
+    moments = bayes.FoldMoments.of(df.where("b IS NOT NULL"), ["a", "b"], "y")
+    counts = bayes.cv_fold_counts(df, ["a", "b"], "y", grid, moments=moments)
+    assert "Generate" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["FOLD"], r["s"]): (r["tp"], r["fp"], r["fn"], r["tn"]) for r in counts.collect()}
+    for f in range(3):
+        for s, smoothing in enumerate(grid):
+            model = bayes.fit_gaussian_nb(df.where((F.col("FOLD") != f) & F.col("b").isNotNull()), ["a", "b"], "y", smoothing)
+            seen = model.transform(df.where((F.col("FOLD") == f) & F.col("b").isNotNull())).select("y", "PREDICTION").collect()
+            want = [sum(r["y"] == y and r["PREDICTION"] == p for r in seen) for y, p in ((1, 1), (0, 1), (1, 0), (0, 0))]
+            assert got[f, s] == tuple(want)
