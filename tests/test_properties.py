@@ -306,3 +306,19 @@ def test_search_scores_rows_in_one_pass_without_a_row_a_smoothing(spark):
             seen = model.transform(df.where((F.col("FOLD") == f) & F.col("b").isNotNull())).select("y", "PREDICTION").collect()
             want = [sum(r["y"] == y and r["PREDICTION"] == p for r in seen) for y, p in ((1, 1), (0, 1), (1, 0), (0, 0))]
             assert got[f, s] == tuple(want)
+
+
+def test_variant_copies_are_written_once(spark, monkeypatch):
+    """The copies of the oversampled variant are read from files by the passes that follow, not drawn again."""
+    from skylane.plans import compare
+
+    df = spark.createDataFrame([(f"r{i}", float(i), int(i % 7 == 0)) for i in range(70)], f"ROW_ID string, a double, {LABEL} int")
+    monkeypatch.setattr(compare, "_variant_inputs", lambda *a: (df, df, ["a"]))
+    frames, _ = compare.variant_frames(spark, "", ["random_oversample"])
+    dealt, _ = frames["random_oversample"]()
+    assert "Join" not in dealt._train._jdf.queryExecution().optimizedPlan().toString()
+    assert rows_of(dealt._train) == rows_of(sampling.random_oversample(df, LABEL))
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()))
